@@ -50,7 +50,8 @@ def ampersands(text: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Array of tokens in order; lower case, except that tokens with a URL keep theirs."""
     found = F.regexp_extract_all(ampersands(text), F.lit(TOKEN), F.lit(0))
-    return F.transform(found, lambda t: F.when(t.rlike(URL), t).otherwise(F.lower(t)))
+    # The plain search keeps the pattern away from most tokens.
+    return F.transform(found, lambda t: F.when(t.contains("://") & t.rlike(URL), t).otherwise(F.lower(t)))
 
 
 def words(text: Column) -> Column:

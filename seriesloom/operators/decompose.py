@@ -124,8 +124,9 @@ def residual_curve(series: DataFrame, basis: DataFrame, functions: int, by: Sequ
         lambda norm, c: F.greatest(norm - c * c, F.lit(0.0)),
         initial=F.col("norm"),
     )
+    # Outer, because the filter that Spark adds to a plain explode would fit every series twice.
     lengths = fitted.select(*keys, F.array(*[F.sqrt(n) for n in norms]).alias("lengths"))
-    return lengths.select(*keys, F.posexplode("lengths").alias("i", "residual"))
+    return lengths.select(*keys, F.posexplode_outer("lengths").alias("i", "residual"))
 
 
 def reconstruct(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
@@ -134,7 +135,7 @@ def reconstruct(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] =
     fitted = _fit(series, basis, by)
     terms = [(F.get("coeffs", F.lit(i)), F.get("vectors", F.lit(i))) for i in range(k)]
     steps = accumulate(terms, lambda w, term: vec.add_scaled(w, *term), initial=F.col("mean"))
-    return fitted.select(*keys, F.posexplode(F.array(*steps)).alias("k", "approximation"))
+    return fitted.select(*keys, F.posexplode_outer(F.array(*steps)).alias("k", "approximation"))
 
 
 def beats_mean(decomposed: DataFrame, stations: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions import tokens as tok
@@ -13,9 +13,18 @@ MIN_USERS = 100
 TOP_TOKENS = 10
 
 
+def each(docs: DataFrame, pieces: Column, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per element of an expensive array.
+
+    Spark filters empty arrays before a plain explode and computes the array
+    twice for it; here the empty ones leave afterwards.
+    """
+    return docs.select(F.explode_outer(pieces).alias(name), *keep).where(F.col(name).isNotNull())
+
+
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word, n`` over all texts."""
-    words = docs.select(F.explode(tok.words(F.col(text))).alias("word"))
+    words = each(docs, tok.words(F.col(text)), "word")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -52,8 +61,13 @@ def posts_per_group(messages: DataFrame, lookup: DataFrame, default: int = DEFAU
 
 def token_users(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Distinct ``token, user_id`` pairs, with columns that depend on the user."""
-    found = F.explode(F.array_distinct(tok.tokens(F.col("text")))).alias("token")
-    return messages.select(found, "user_id", *keep).distinct()
+    return each(messages, F.array_distinct(tok.tokens(F.col("text"))), "token", ("user_id", *keep)).distinct()
+
+
+def token_counts(messages: DataFrame) -> DataFrame:
+    """Number of occurrences of every token."""
+    found = each(messages, tok.tokens(F.col("text")), "token")
+    return found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def token_mentions(messages: DataFrame) -> DataFrame:

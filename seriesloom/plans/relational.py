@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions import tokens as tok
 from seriesloom.operators.ordered import chunked_lists
-from seriesloom.operators.text import with_group
+from seriesloom.operators.text import each, with_group
 from seriesloom.plans.registry import query
 from seriesloom.plans.views import WORDS_SQL, messages, table, user_groups
+from seriesloom.sources.readers import spread
 
 # --------------------------------------------------------------------- joins
 # No join carries a hint: Spark broadcasts a side below its size threshold and
@@ -126,7 +127,7 @@ def count_rows(spark, folder):
 
 
 def _words(spark, folder):
-    return table(spark, folder, "documents").select(F.explode(tok.words(F.col("text"))).alias("word"))
+    return each(spread(table(spark, folder, "documents").select("text")), tok.words(F.col("text")), "word")
 
 
 @query("shortest_word", f"WITH {WORDS_SQL} SELECT word FROM words ORDER BY length(word), word LIMIT 1")
@@ -165,9 +166,9 @@ def group_by_key(spark, folder):
     return lists.select("k", "chunk", F.array_join(F.col("values").cast("array<string>"), ",").alias("vs"))
 
 
-@query("combine_mean", "SELECT o_custkey AS k, round(sum(o_totalprice) / count(*), 4) + 0.0 AS mean FROM orders GROUP BY 1")
+@query("combine_mean", "SELECT o_custkey AS k, round(sum(o_totalprice) / count(*), 6) + 0.0 AS mean FROM orders GROUP BY 1")
 def combine_mean(spark, folder):
-    return _pairs(spark, folder).groupBy("k").agg(F.round(F.sum("v") / F.count("v"), 4).alias("mean"))
+    return _pairs(spark, folder).groupBy("k").agg(F.round(F.sum("v") / F.count("v"), 6).alias("mean"))
 
 
 @query("count_by_key", "SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1")
@@ -267,7 +268,7 @@ def station_coverage(spark, folder):
 
 @query(
     "multi_key_agg",
-    """SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment, count(*) AS n, round(avg(o_totalprice), 4) + 0.0 AS mean
+    """SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment, count(*) AS n, round(avg(o_totalprice), 6) + 0.0 AS mean
        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4""",
 )
 def multi_key_agg(spark, folder):
@@ -276,7 +277,7 @@ def multi_key_agg(spark, folder):
     totals = totals.agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("s"))
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     folded = customer.join(totals, "c_custkey").groupBy("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return folded.agg(F.sum("n").alias("n"), F.round(F.sum("s") / F.sum("n"), 4).alias("mean"))
+    return folded.agg(F.sum("n").alias("n"), F.round(F.sum("s") / F.sum("n"), 6).alias("mean"))
 
 
 @query("unique_users", "SELECT count(DISTINCT user_id) AS users FROM events")

@@ -9,8 +9,10 @@ from seriesloom.functions import vectors as vec
 from seriesloom.operators.profile import min_max_scaled, scaled_units
 from seriesloom.operators.series_stats import quality_filter
 from seriesloom.operators.sets import subtract_bag
+from seriesloom.operators.text import each
 from seriesloom.plans.registry import query
 from seriesloom.plans.views import DAYS, SERIES_LONG_SQL, WORDS_SQL, r6, series, table
+from seriesloom.sources.readers import spread
 
 # ------------------------------------------------------------- element-wise
 
@@ -24,7 +26,8 @@ def map_square(spark, folder):
 
 @query("flatmap_words", f"WITH {WORDS_SQL} SELECT doc_id, word, count(*) AS n FROM words GROUP BY ALL")
 def flatmap_words(spark, folder):
-    words = table(spark, folder, "documents").select("doc_id", F.explode(tok.words(F.col("text"))).alias("word"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    words = each(docs, tok.words(F.col("text")), "word", ("doc_id",))
     return words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -127,7 +130,7 @@ def quality(spark, folder):
         len(string_split(word, ','))::INTEGER AS pieces, word < 'm' AS early, count(*) AS n FROM words GROUP BY ALL""",
 )
 def string_funcs(spark, folder):
-    words = table(spark, folder, "documents").select(F.explode(tok.words(F.col("text"))).alias("w"))
+    words = each(spread(table(spark, folder, "documents").select("text")), tok.words(F.col("text")), "w")
     keys = [
         F.lower("w").alias("word"),
         F.length("w").alias("chars"),

@@ -45,8 +45,7 @@ def corpus_stats(spark, folder):
     f"SELECT token, count(*) AS n FROM ({token_sql('documents', 'doc_id')}) GROUP BY 1",
 )
 def tokenize(spark, folder):
-    found = F.explode(text.tok.tokens(F.col("text"))).alias("token")
-    return _messages(spark, folder).select(found).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return text.token_counts(_messages(spark, folder))
 
 
 @query(
