@@ -1,8 +1,7 @@
 """Decomposition of series on a mean and a few basis vectors.
 
 A basis is a table with one row per group of series: key columns, ``mean`` and
-``vectors`` (array of arrays).  Joining it is left to the planner: staged bases
-are broadcast when they are below Spark's size threshold and shuffled beyond it.
+``vectors`` (array of arrays, orthonormal).
 """
 
 from __future__ import annotations
@@ -10,15 +9,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions import vectors as vec
+from seriesloom.functions.arrowtools import groups_of, matrix_of
 from seriesloom.operators.ordered import rank_slices
 from seriesloom.operators.series_stats import day_stats, principal_components
 from seriesloom.staging import stage
 
 FOURIER_FUNCTIONS = 9
+DENSE_BASIS = 4_000_000  # numbers in all means and vectors together, 32 MB
+FIT = "struct<coeffs: array<double>, norm: double, total: double>"
 
 
 def fourier_basis(spark: SparkSession, days: int, functions: int = FOURIER_FUNCTIONS) -> DataFrame:
@@ -80,16 +84,75 @@ def component_basis(series: DataFrame, by: Sequence[str], top: int) -> DataFrame
     )
 
 
-def _fit(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add ``r0`` (deviation from the mean, 0 where missing), ``vectors`` and ``coeffs``."""
+def _with_basis(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the ``mean`` and ``vectors`` of the series' group; NULL where the group has none."""
     if by:
-        joined = series.join(stage(basis, "basis"), list(by))
-    else:
-        one = stage(basis, "basis").select(F.struct("mean", "vectors")).scalar()
-        joined = series.withColumn("b_", one).select(*series.columns, "b_.mean", "b_.vectors")
+        return series.join(basis, list(by), "left")
+    one = basis.select(F.struct("mean", "vectors")).scalar()
+    return series.withColumn("b_", one).select(*series.columns, "b_.mean", "b_.vectors")
+
+
+def _joined_fit(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The fit by column expressions, for bases of any size."""
     deviation = F.transform(vec.minus(F.col("values"), F.col("mean")), lambda v: F.coalesce(v, F.lit(0.0)))
-    with_r0 = joined.withColumn("r0", deviation)
-    return with_r0.withColumn("coeffs", F.transform("vectors", lambda u: vec.dot(F.col("r0"), u)))
+    rows = _with_basis(series, basis, by).withColumn("r0", deviation)
+    coeffs = F.transform("vectors", lambda u: vec.dot(F.col("r0"), u)).alias("coeffs")
+    norm, total = vec.square_norm(F.col("r0")).alias("norm"), vec.square_norm(F.col("values")).alias("total")
+    return rows.select(*series.columns, F.struct(coeffs, norm, total).alias("fit"))
+
+
+def _dense_fit(series: DataFrame, bases: dict[tuple, tuple[np.ndarray, np.ndarray]], by: Sequence[str]) -> DataFrame:
+    """The fit as one matrix product per Arrow batch and group."""
+
+    @F.arrow_udf(FIT)
+    def fit(keys: pa.Array, values: pa.Array) -> pa.Array:
+        known = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
+        matrix = matrix_of(values.take(pa.array(known)))
+        parts = [column.take(pa.array(known)) for column in keys.flatten()[1:]]
+        coeffs: list[np.ndarray | None] = [None] * len(values)
+        norms = np.full(len(values), np.nan)
+        totals = np.full(len(values), np.nan)
+        for name, members in groups_of(parts, len(known)):
+            if name not in bases:
+                continue
+            mean, vectors = bases[name]
+            block = matrix[members]
+            rest = np.nan_to_num(block - mean)
+            block = np.nan_to_num(block)
+            rows = known[members]
+            norms[rows] = np.einsum("ij,ij->i", rest, rest)
+            totals[rows] = np.einsum("ij,ij->i", block, block)
+            for row, line in zip(rows, rest @ vectors.T):
+                coeffs[row] = line
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(coeffs, pa.list_(pa.float64())),
+                pa.array(norms, mask=np.isnan(norms)),
+                pa.array(totals, mask=np.isnan(totals)),
+            ],
+            names=["coeffs", "norm", "total"],
+        )
+
+    keys = F.struct(F.lit(0).alias("none"), *by)
+    return series.withColumn("fit", fit(keys, F.col("values")))
+
+
+def _fit(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add ``fit``: coefficients, squared length of the deviation from the mean, squared length of the series.
+
+    Up to ``DENSE_BASIS`` numbers the basis is sent to the tasks and applied as
+    matrices; beyond it is joined.
+    """
+    basis = stage(basis, "basis")
+    size = basis.agg(F.sum(F.size("mean") * (F.size("vectors") + 1)).alias("numbers")).first()["numbers"] or 0
+    if size > DENSE_BASIS:
+        return _joined_fit(series, basis, by)
+    bases = {
+        tuple(row[c] for c in by): (np.array(row["mean"]), np.array(row["vectors"]))
+        for row in basis.select(*by, "mean", "vectors").collect()
+        if all(row[c] is not None for c in by)
+    }
+    return _dense_fit(series, bases, by)
 
 
 def decompose(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
@@ -101,28 +164,26 @@ def decompose(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = (
     follow from the coefficients, ‖r_i‖² = ‖r_{i−1}‖² − coeff_i², so no residual
     vector is built.
     """
-    fitted = _fit(series, basis, by).withColumns(
-        {"total_var": vec.square_norm(F.col("values")), "norm": vec.square_norm(F.col("r0"))}
-    )
-    coeff = [F.get("coeffs", F.lit(i)) for i in range(k)]
-    norms = list(accumulate(coeff, lambda norm, c: F.greatest(norm - c * c, F.lit(0.0)), initial=F.col("norm")))
+    fitted = _fit(series, basis, by)
+    coeff = [F.get("fit.coeffs", F.lit(i)) for i in range(k)]
+    norms = list(accumulate(coeff, lambda norm, c: F.greatest(norm - c * c, F.lit(0.0)), initial=F.col("fit.norm")))
     names = ["res_mean", *[f"res_{i + 1}" for i in range(k)]]
     return fitted.select(
         *series.columns,
         *[c.alias(f"coeff_{i + 1}") for i, c in enumerate(coeff)],
-        "total_var",
-        *[F.try_divide(norm, F.col("total_var")).alias(name) for name, norm in zip(names, norms)],
+        F.col("fit.total").alias("total_var"),
+        *[F.try_divide(norm, F.col("fit.total")).alias(name) for name, norm in zip(names, norms)],
     )
 
 
 def residual_curve(series: DataFrame, basis: DataFrame, functions: int, by: Sequence[str] = ()) -> DataFrame:
     """Length of what the first i basis functions leave of a series, i = 0 … functions: ``keys…, i, residual``."""
     keys = [c for c in series.columns if c != "values"]
-    fitted = _fit(series, basis, by).select(*keys, vec.square_norm(F.col("r0")).alias("norm"), "coeffs")
+    fitted = _fit(series, basis, by)
     norms = accumulate(
-        [F.get("coeffs", F.lit(i)) for i in range(functions)],
+        [F.get("fit.coeffs", F.lit(i)) for i in range(functions)],
         lambda norm, c: F.greatest(norm - c * c, F.lit(0.0)),
-        initial=F.col("norm"),
+        initial=F.col("fit.norm"),
     )
     # Outer, because the filter that Spark adds to a plain explode would fit every series twice.
     lengths = fitted.select(*keys, F.array(*[F.sqrt(n) for n in norms]).alias("lengths"))
@@ -132,8 +193,9 @@ def residual_curve(series: DataFrame, basis: DataFrame, functions: int, by: Sequ
 def reconstruct(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
     """Approximations mean + Σ coeff_i·u_i with 0 … k vectors: ``keys…, k, approximation``."""
     keys = [c for c in series.columns if c != "values"]
-    fitted = _fit(series, basis, by)
-    terms = [(F.get("coeffs", F.lit(i)), F.get("vectors", F.lit(i))) for i in range(k)]
+    basis = stage(basis, "basis")
+    fitted = _with_basis(_fit(series, basis, by), basis, by)
+    terms = [(F.get("fit.coeffs", F.lit(i)), F.get("vectors", F.lit(i))) for i in range(k)]
     steps = accumulate(terms, lambda w, term: vec.add_scaled(w, *term), initial=F.col("mean"))
     return fitted.select(*keys, F.posexplode_outer(F.array(*steps)).alias("k", "approximation"))
 

@@ -9,11 +9,15 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from seriesloom.functions import vectors as vec
+from seriesloom.functions.arrowtools import groups_of, list_column, matrix_of
+from seriesloom.operators.layout import width
 from seriesloom.operators.ordered import exact_quantiles
 from seriesloom.staging import stage
 
@@ -57,14 +61,16 @@ def day_stats(series: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _moment_rows(name: tuple, sums: tuple[np.ndarray, ...], by: list[str]) -> pd.DataFrame:
-    products, pairs = sums
-    d = len(products)
-    frame = pd.DataFrame({"i": np.arange(d, dtype=np.int32)})
-    for column, part in zip(by, name):
-        frame[column] = part
-    frame["o"], frame["no"] = list(products), list(pairs)
-    return frame[[*by, "i", "o", "no"]]
+def _held_rows(held: dict[tuple, tuple], by: list[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Matrices as rows that hold the part from the diagonal on."""
+    for name, (products, pairs) in held.items():
+        d = len(products)
+        keys = [pa.array([part] * d, type=schema.field(c).type) for c, part in zip(by, name)]
+        upper = np.triu_indices(d)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.arange(d, 0, -1))]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(m[upper])) for m in (products, pairs)]
+        columns = [*keys, pa.array(np.arange(d, dtype=np.int32)), *lists]
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
 def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -72,9 +78,12 @@ def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
 
     Position 0 is the constant, position i + 1 is day i.  For i ≤ j, ``o`` is the
     sum of products and ``no`` the number of series with both positions present;
-    row 0 therefore holds the sums and counts that the means need.  Each task
-    adds up dense matrices, so the shuffle carries d²/2 sums per task and group
-    instead of d²/2 products per series.
+    row 0 therefore holds the sums and counts that the means need.
+
+    Tasks add up dense matrices.  Splits are merged without a shuffle until there
+    are about as many tasks as the cluster runs at once, because each of them
+    hands on d²/2 sums per group; these are added row by row, and only the
+    totals become one row per cell.
     """
     by = list(by)
     schema = T.StructType(
@@ -85,15 +94,16 @@ def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
             T.StructField("no", T.ArrayType(T.DoubleType())),
         ]
     )
-
-    def partial(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, tuple[np.ndarray, ...]] = {}
-        for frame in frames:
-            for name, rows in frame.groupby(by, dropna=False, sort=False):
-                matrix = np.stack([np.asarray(v, dtype=np.float64) for v in rows["values"]])
-                matrix = np.hstack([np.ones((len(matrix), 1)), matrix])
+    arrow = to_arrow_schema(schema)
+
+    def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            values = matrix_of(batch.column("values"))
+            for name, members in groups_of([batch.column(c) for c in by], batch.num_rows):
+                matrix = np.hstack([np.ones((len(members), 1)), values[members]])
                 mask = (~np.isnan(matrix)).astype(np.float64)
-                matrix = np.nan_to_num(matrix)
+                matrix = np.nan_to_num(matrix, copy=False)
                 sums = (matrix.T @ matrix, mask.T @ mask)
                 if name in held:
                     for total, part in zip(held[name], sums):
@@ -101,19 +111,31 @@ def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
                 else:
                     held[name] = sums
             if len(held) > HELD_GROUPS:
-                for name, sums in held.items():
-                    yield _moment_rows(name, sums, by)
+                yield from _held_rows(held, by, arrow)
                 held = {}
-        for name, sums in held.items():
-            yield _moment_rows(name, sums, by)
-
-    rows = series.where(F.col("values").isNotNull()).select(*by, "values").mapInPandas(partial, schema)
-    cells = rows.select(*by, "i", F.posexplode(F.arrays_zip("o", "no")).alias("j", "s"))
-    return (
-        cells.where(F.col("i") <= F.col("j"))
-        .groupBy(*by, "i", "j")
-        .agg(F.sum("s.o").alias("o"), F.sum("s.no").cast("long").alias("no"))
-    )
+        yield from _held_rows(held, by, arrow)
+
+    def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple, list[np.ndarray]] = {}
+        for batch in batches:
+            names = zip(*(batch.column(c).to_pylist() for c in [*by, "i"]))
+            for name, o, no in zip(names, batch.column("o"), batch.column("no")):
+                parts = [o.values.to_numpy(), no.values.to_numpy()]
+                if name in totals:
+                    for total, part in zip(totals[name], parts):
+                        total += part
+                else:
+                    totals[name] = [part.copy() for part in parts]
+        for name, (o, no) in totals.items():
+            keys = [pa.array([part], type=arrow.field(c).type) for c, part in zip([*by, "i"], name)]
+            lists = [list_column(part[None, :]) for part in (o, no)]
+            yield pa.RecordBatch.from_arrays([*keys, *lists], names=arrow.names)
+
+    rows = series.where(F.col("values").isNotNull()).select(*by, "values").coalesce(width(series.sparkSession))
+    partial = rows.mapInArrow(multiply, schema)
+    whole = partial.repartition(*by, "i").mapInArrow(add_up, schema)
+    cells = whole.select(*by, "i", F.posexplode_outer(F.arrays_zip("o", "no")).alias("at", "s"))
+    return cells.select(*by, "i", (F.col("i") + F.col("at")).alias("j"), "s.o", F.col("s.no").cast("long").alias("no"))
 
 
 def second_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -216,11 +216,11 @@ def ccdf(spark, folder):
     "neighbour_diff",
     """SELECT g, CASE WHEN count(*) > 1 THEN min(k) END AS first_key, count(*) AS n,
        CASE WHEN count(*) > 1 THEN round(sum(abs(v - p)), 2) END AS sum_abs_diff FROM (
-         SELECT o_custkey % 10 AS g, o_orderkey AS k, o_totalprice AS v,
-                lag(o_totalprice) OVER (PARTITION BY o_custkey % 10 ORDER BY o_orderkey) AS p FROM orders) GROUP BY 1""",
+         SELECT o_orderpriority AS g, o_orderkey AS k, o_totalprice AS v,
+                lag(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS p FROM orders) GROUP BY 1""",
 )
 def neighbour_diff(spark, folder):
-    orders = table(spark, folder, "orders").select((F.col("o_custkey") % 10).alias("g"), "o_orderkey", "o_totalprice")
+    orders = table(spark, folder, "orders").select(F.col("o_orderpriority").alias("g"), "o_orderkey", "o_totalprice")
     walks = ordered.neighbour_diff(orders, "g", "o_orderkey", "o_totalprice")
     return walks.withColumn("sum_abs_diff", F.round("sum_abs_diff", 2))
 
@@ -228,14 +228,14 @@ def neighbour_diff(spark, folder):
 @query(
     "rank_slices",
     """SELECT piece, g, o_orderkey, o_totalprice FROM (
-         SELECT o_custkey % 10 AS g, o_orderkey, o_totalprice,
-                row_number() OVER (PARTITION BY o_custkey % 10 ORDER BY o_totalprice, o_orderkey) AS up,
-                row_number() OVER (PARTITION BY o_custkey % 10 ORDER BY o_totalprice DESC, o_orderkey DESC) AS down FROM orders),
+         SELECT o_orderpriority AS g, o_orderkey, o_totalprice,
+                row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice, o_orderkey) AS up,
+                row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey DESC) AS down FROM orders),
        (VALUES (0, 1, 12, 0, 0), (1, 0, 0, 1, 12), (2, 0, 0, 1, 4), (3, 0, 0, 501, 504), (4, 0, 0, 1001, 1004))
          AS s(piece, u1, u2, d1, d2) WHERE up BETWEEN u1 AND u2 OR down BETWEEN d1 AND d2""",
 )
 def rank_slices(spark, folder):
-    orders = table(spark, folder, "orders").select((F.col("o_custkey") % 10).alias("g"), "o_orderkey", "o_totalprice")
+    orders = table(spark, folder, "orders").select(F.col("o_orderpriority").alias("g"), "o_orderkey", "o_totalprice")
     slices = [(0, 12), (-12, None), (-4, None), (-504, -500), (-1004, -1000)]
     return ordered.rank_slices(orders, ["o_totalprice", "o_orderkey"], slices, ["g"])
 
@@ -252,8 +252,8 @@ def partition_sizes(spark, folder):
 @query("rebalance")
 def rebalance(spark, folder):
     # A filter on the partitioning key empties most partitions; round robin levels them again.
-    keyed = layout.rebalance(table(spark, folder, "lineitem").select("l_suppkey"), 10, "l_suppkey")
-    few = keyed.where(F.col("l_suppkey") % 5 == 0)
+    keyed = layout.rebalance(table(spark, folder, "lineitem").select("l_orderkey", "l_returnflag"), 10, "l_returnflag")
+    few = keyed.where(F.col("l_returnflag") == "R")
     before = layout.partition_sizes(few, 10).withColumn("layout", F.lit("filtered"))
     after = layout.partition_sizes(layout.rebalance(few, 10), 10).withColumn("layout", F.lit("levelled"))
     return before.unionByName(after)

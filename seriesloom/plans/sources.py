@@ -46,29 +46,33 @@ def src_text(spark, folder):
     return read
 
 
+SHORT, ODD_YEAR = 0.2, -0.2  # first readings beyond these mark lines to be spoiled
+
+
 def _series_lines(spark, folder):
     """Raw lines of the series; some are a field short, some have a year that is no number."""
+    first = F.get("values", F.lit(0))
     texts = F.transform("values", lambda v: F.coalesce(v.cast("string"), F.lit("")))
-    short = F.col("station") % 50 == 0
-    fields = F.when(short, F.slice(texts, 1, DAYS - 1)).otherwise(texts)
-    year = F.when(F.col("station") % 50 == 1, F.lit("199x")).otherwise(F.col("year").cast("string"))
+    fields = F.when(first > SHORT, F.slice(texts, 1, DAYS - 1)).otherwise(texts)
+    year = F.when(first < ODD_YEAR, F.lit("199x")).otherwise(F.col("year").cast("string"))
     head = F.concat_ws(",", F.col("station").cast("string"), "measurement", year)
     return series(spark, folder).select(F.concat_ws(",", head, F.array_join(fields, ",")).alias("value"))
 
 
-_GOOD_SQL = f"""WITH {SERIES_LONG_SQL}, rows AS (SELECT station, measurement, year, count(v)::INTEGER AS present,
-  round(sum(v), 6) + 0.0 AS total FROM series_long GROUP BY 1, 2, 3)"""
+_LINES_SQL = f"""WITH {SERIES_LONG_SQL}, rows AS (
+  SELECT station, measurement, year, count(v)::INTEGER AS present, round(sum(v), 6) + 0.0 AS total,
+         coalesce(max(v) FILTER (day = 0) > {SHORT}, false) AS short, coalesce(max(v) FILTER (day = 0) < {ODD_YEAR}, false) AS odd
+  FROM series_long GROUP BY 1, 2, 3)"""
 
 
 @query(
     "ingest_series",
-    f"{_GOOD_SQL} SELECT station::VARCHAR AS station, measurement, year, present, total FROM rows WHERE station % 50 > 1",
+    f"{_LINES_SQL} SELECT station::VARCHAR AS station, measurement, year, present, total FROM rows WHERE NOT short AND NOT odd",
 )
 def ingest_series(spark, folder):
     path = scratch_path(spark, "raw-series")
     header = "station,measurement,year," + ",".join(str(day) for day in range(1, DAYS + 1))
-    lines = _series_lines(spark, folder)
-    lines.write.text(path)
+    _series_lines(spark, folder).write.text(path)
     spark.range(1).select(F.lit(header).alias("value")).write.mode("append").text(path)
     good = readers.ingest_series(spark, path, DAYS)
     present = F.filter("values", lambda v: v.isNotNull())
@@ -78,8 +82,8 @@ def ingest_series(spark, folder):
 
 @query(
     "parse_good_bad",
-    f"""{_GOOD_SQL} SELECT 'good' AS channel, station::VARCHAR AS station, {DAYS + 3} AS fields FROM rows WHERE station % 50 > 1
-        UNION ALL SELECT 'bad', station::VARCHAR, {DAYS + 2} + (station % 50)::INTEGER FROM rows WHERE station % 50 <= 1""",
+    f"""{_LINES_SQL} SELECT CASE WHEN short OR odd THEN 'bad' ELSE 'good' END AS channel, station::VARCHAR AS station,
+        {DAYS + 3} - short::INTEGER AS fields FROM rows""",
 )
 def parse_good_bad(spark, folder):
     parsed = readers.split_series_lines(_series_lines(spark, folder), DAYS)
@@ -91,15 +95,15 @@ def parse_good_bad(spark, folder):
 
 @query(
     "csv_bad_lines",
-    """SELECT CASE WHEN o_orderkey >= 20 AND o_orderkey % 89 = 0 THEN 'bad' ELSE 'good' END AS channel, count(*) AS n,
+    """SELECT CASE WHEN o_totalprice > 450000 THEN 'bad' ELSE 'good' END AS channel, count(*) AS n,
        sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1""",
 )
 def csv_bad_lines(spark, folder):
-    broken = (F.col("o_orderkey") >= 20) & (F.col("o_orderkey") % 89 == 0)
-    price = F.when(broken, F.lit("unknown")).otherwise(F.col("o_totalprice").cast("string"))
+    price = F.when(F.col("o_totalprice") > 450000, F.lit("unknown")).otherwise(F.col("o_totalprice").cast("string"))
     path = scratch_path(spark, "csv")
-    orders = table(spark, folder, "orders").select("o_orderkey", price.alias("o_totalprice"), "o_orderstatus")
-    orders.orderBy("o_orderkey").write.option("header", True).csv(path)
+    orders = table(spark, folder, "orders").orderBy("o_totalprice")  # the head of the file is sound
+    orders = orders.select("o_orderkey", price.alias("price"), "o_orderstatus")
+    orders.write.option("header", True).csv(path)
     parsed = readers.read_csv_with_bad_lines(spark, path)
     good = parsed.good.select(F.lit("good").alias("channel"), F.col("o_orderkey").cast("long").alias("k"))
     bad = parsed.bad.select(F.lit("bad").alias("channel"), F.get(F.split("raw", ","), F.lit(0)).cast("long").alias("k"))
@@ -120,7 +124,7 @@ def src_json(spark, folder):
 @query(
     "json_valid_records",
     """SELECT event_id::VARCHAR AS user_id, 'k=' || (props->>'$.k') AS text FROM events
-       WHERE event_id % 97 <> 0 AND event_type <> 'error'""",
+       WHERE value <= 150 AND event_type <> 'error'""",
 )
 def json_valid_records(spark, folder):
     # Errors stand for notices without a creation time; some other records are cut off.
@@ -131,19 +135,19 @@ def json_valid_records(spark, folder):
     )
     whole = F.to_json(record)
     broken = F.expr("substring(whole, 1, length(whole) - 3)")
-    lines = table(spark, folder, "events").select("event_id", whole.alias("whole"))
-    lines = lines.select(F.when(F.col("event_id") % 97 == 0, broken).otherwise(F.col("whole")).alias("value"))
+    lines = table(spark, folder, "events").select("value", whole.alias("whole"))
+    lines = lines.select(F.when(F.col("value") > 150, broken).otherwise(F.col("whole")).alias("value"))
     return readers.parse_messages(lines)
 
 
 @query(
     "src_tsv",
     """SELECT s_suppkey::VARCHAR AS station, s_nationkey::FLOAT AS dist_coast,
-       CASE WHEN s_suppkey % 7 <> 0 THEN s_nationkey::FLOAT END AS elevation, s_name AS name FROM supplier""",
+       CASE WHEN s_acctbal >= 1000 THEN s_nationkey::FLOAT END AS elevation, s_name AS name FROM supplier""",
 )
 def src_tsv(spark, folder):
     path = scratch_path(spark, "tsv")
-    unknown = F.col("s_suppkey") % 7 == 0
+    unknown = F.col("s_acctbal") < 1000
     stations = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("station"),
         F.col("s_nationkey").alias("dist_coast"),

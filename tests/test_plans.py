@@ -10,7 +10,8 @@ QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 # Dense kernels or exact integer geometry on Arrow batches.
 ARROW = {
     "collinear_sets", "series_second_moments", "gauss_smooth", "gauss_smooth_zero_edges", "smooth_append", "neighbour_diff",
-    "pca_eig", "eigvec_long", "variance_explained", "unpack_f16",
+    "pca_eig", "eigvec_long", "variance_explained", "unpack_f16", "fourier_residuals", "decompose_fixed_basis",
+    "decompose_pca", "reconstruct", "fit_extremes", "coefficient_extremes",
 }
 
 

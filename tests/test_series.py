@@ -120,6 +120,24 @@ def test_decomposition_on_components(series, matrix):
         assert np.all(np.diff(shares) <= 1e-9)
 
 
+def test_large_bases_are_joined_with_the_same_result(series, monkeypatch):
+    basis = dec.component_basis(series, ["measurement"], K)
+    dense = dec.decompose(series, basis, K, ["measurement"]).toPandas().set_index("station").sort_index()
+    monkeypatch.setattr(dec, "DENSE_BASIS", 0)
+    joined = dec.decompose(series, basis, K, ["measurement"]).toPandas().set_index("station").sort_index()
+    numbers = [c for c in dense.columns if c.startswith(("coeff", "res", "total"))]
+    assert np.allclose(dense[numbers], joined[numbers], atol=1e-9)
+
+
+def test_series_without_a_basis_stay(series, monkeypatch):
+    basis = dec.component_basis(series.where("measurement = 'A'"), ["measurement"], 2)
+    for limit in (dec.DENSE_BASIS, 0):
+        monkeypatch.setattr(dec, "DENSE_BASIS", limit)
+        got = dec.decompose(series, basis, 2, ["measurement"])
+        assert got.count() == 80
+        assert got.where("measurement = 'B' AND coeff_1 IS NOT NULL").count() == 0
+
+
 def test_fourier_basis_is_orthonormal_and_reconstructs(spark):
     days = 365
     table = dec.fourier_basis(spark, days)
