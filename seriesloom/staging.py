@@ -2,18 +2,19 @@
 
 A staged table cuts the lineage, survives the loss of executors, gives one
 fixed row placement to everything that reads it, and carries its real size into
-the planner, which then decides about broadcasting on that size.
+the planner, which then decides about broadcasting on that size.  All tables of
+a session lie in one folder, which its driver removes when it ends.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a private one only in local mode."""
@@ -23,15 +24,26 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    private = tempfile.mkdtemp(prefix="seriesloom-")
-    atexit.register(shutil.rmtree, private, ignore_errors=True)
-    context.setCheckpointDir(private)
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="seriesloom-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+def session_dir(spark: SparkSession) -> str:
+    """The session's own folder below the shared one."""
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        folder = f"{shared_dir(spark)}/seriesloom-{app}-{uuid.uuid4().hex[:8]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _FOLDERS[app] = folder
+    return _FOLDERS[app]
+
+
 def scratch_path(spark: SparkSession, label: str = "table") -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the session's folder."""
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "staged") -> DataFrame:

@@ -184,3 +184,13 @@ def test_extremes_are_slices_of_the_sorted_fits(series):
     well = pdf[pdf.res_2 < 0.5].sort_values(["coeff_2", "station"])
     assert sorted(low[low.piece == 0].station) == sorted(well.station[:12])
     assert sorted(low[low.piece == 1].station) == sorted(well.station[-12:])
+
+
+def test_groups_of_several_columns(series, matrix):
+    both = series.withColumn("state", F.when(F.col("year") < 1990, "NY").otherwise("VT"))
+    cov = stats.covariance(both, ["state", "measurement"]).toPandas()
+    assert len(cov) == 4 * D * (D + 1) // 2
+    rows = [i for i in range(40) if i % 3]
+    expected = covariance(matrix[rows])
+    for row in cov[(cov.state == "NY") & (cov.measurement == "A")].itertuples():
+        assert row.cov == pytest.approx(expected[row.i, row.j], abs=1e-9)
