@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from seriesloom.staging import stage
 
 ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
+STRETCH = 1 << 20  # places per stretch when values are looked up by place
+SPAN = 4096
 SALTS = 64
 SHORT_TOP = 1000  # up to here Spark prunes a per-group top-k before its shuffle
 
@@ -46,13 +48,8 @@ def _running_weight(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def place_rows(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), weighted: bool = False) -> DataFrame:
-    """Add ``before`` (rows of the group ahead of this one) and ``total`` (rows of the group).
-
-    With ``weighted`` each row stands for ``n`` equal rows.  The order should be
-    total, so that no run of equal keys is too long for one sort partition.
-    """
-    by = list(by)
+def _ranked(df: DataFrame, order: Sequence[str], by: Sequence[str], weighted: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``before_``, their number of predecessors in the whole order, and the sort partitions' sizes."""
     ordered = df.orderBy(*by, *order)
     if weighted:
         schema = T.StructType(
@@ -69,36 +66,54 @@ def place_rows(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), weig
             (F.col("place_").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1).alias("upto_"),
         )
         weight = F.lit(1)
-
     blocks = placed.groupBy("block_").agg(F.max("upto_").alias("size_"))
     earlier = F.sum("size_").over(Window.orderBy("block_")) - F.col("size_")
     offsets = blocks.select("block_", earlier.alias("offset_"))  # one row per sort partition
-    ranked = placed.join(F.broadcast(offsets), "block_").withColumn(
-        "before_", F.col("offset_") + F.col("upto_") - weight
+    ranked = placed.join(F.broadcast(offsets), "block_").select(
+        *df.columns, (F.col("offset_") + F.col("upto_") - weight).alias("before_")
     )
-    if not by:
-        everything = blocks.agg(F.sum("size_")).scalar()
-        return ranked.select(*df.columns, F.col("before_").alias("before"), everything.alias("total"))
+    return ranked, blocks
+
 
+def _group_starts(ranked: DataFrame, by: Sequence[str], weighted: bool) -> DataFrame:
+    """Per group its first place in the whole order and its number of rows."""
+    weight = F.col("n") if weighted else F.lit(1)
     starts = ranked.groupBy(*by).agg(F.min("before_").alias("start_"), F.sum(weight).alias("total"))
-    starts = stage(starts, "group-starts")
+    return stage(starts, "group-starts")
+
+
+def place_rows(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), weighted: bool = False) -> DataFrame:
+    """Add ``before`` (rows of the group ahead of this one) and ``total`` (rows of the group).
+
+    With ``weighted`` each row stands for ``n`` equal rows.  The order should be
+    total, so that no run of equal keys is too long for one sort partition.
+    """
+    ranked, blocks = _ranked(df, order, by, weighted)
+    if not by:
+        everything = blocks.agg(F.sum("size_")).scalar()
+        return ranked.withColumnRenamed("before_", "before").withColumn("total", everything)
+    starts = _group_starts(ranked, by, weighted)
     joined = ranked.join(starts, _same(ranked, starts, by))
     return joined.select(
         *[ranked[c] for c in df.columns], (F.col("before_") - F.col("start_")).alias("before"), starts["total"]
     )
 
 
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows per distinct value, without NULL and NaN: ``by…, value, n``."""
+    kept = df.where(F.col(value).isNotNull())
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        kept = kept.where(~F.isnan(value))
+    return kept.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+
+
 def running_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Distinct values in order: ``by…, value, n, before, total``.
 
     ``n`` rows carry the value, ``before`` rows of the group are smaller, and
     the group has ``total`` rows with a value.  NULL and NaN values are left out.
     """
-    kept = df.where(F.col(value).isNotNull())
-    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
-        kept = kept.where(~F.isnan(value))
-    counts = kept.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    return place_rows(counts, [value], by, weighted=True)
+    return place_rows(value_counts(df, value, by), [value], by, weighted=True)
 
 
 def ecdf(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -129,23 +144,33 @@ def ccdf(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Interpolated quantiles in long form: ``by…, prob, quantile``.
 
-    Only ranks are compared, so no task ever holds the values of a group.
+    The sizes of the groups tell which places of the whole order are wanted.
+    Values and wanted places meet by stretches of ``STRETCH`` places, so a group
+    of any size spreads over many tasks and no task holds the values of a group.
     """
-    steps = running_counts(df, value, by)
-    picks = []
-    for p in probs:
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            holds = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-            picks.append(F.max(F.when(holds, F.col(value).cast("double"))).alias(f"{side}_{len(picks) // 2}"))
-    picked = steps.groupBy(*by).agg(F.max("total").alias("total"), *picks)
-    rows = []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        low, high = F.col(f"lo_{i}"), F.col(f"hi_{i}")
-        blend = low + (high - low) * (position - F.floor(position))
-        rows.append(F.struct(F.lit(float(p)).alias("prob"), blend.alias("quantile")))
-    return picked.select(*by, F.explode(F.array(*rows)).alias("q")).select(*by, "q.prob", "q.quantile")
+    by = list(by)
+    ranked, _ = _ranked(value_counts(df, value, by), [value], by, weighted=True)
+    starts = _group_starts(ranked, by, weighted=True)
+    position = F.col("prob") * (F.col("total") - 1)
+    asked = starts.where(F.col("total") > 0).withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    asked = asked.select(*by, "prob", "start_", position.alias("position"))
+    sides = F.array(F.floor("position"), F.ceil("position"))
+    wanted = asked.select(*by, "prob", "position", "start_", F.posexplode(sides).alias("side", "rank"))
+    wanted = wanted.withColumn("place", F.col("start_") + F.col("rank"))
+    wanted = stage(wanted.withColumn("stretch", F.floor(F.col("place") / STRETCH)), "wanted")
+
+    first, last = F.floor(F.col("before_") / STRETCH), F.floor((F.col("before_") + F.col("n") - 1) / STRETCH)
+    steps = ranked.select(
+        F.col(value).cast("double").alias("at"), "before_", "n", F.explode(F.sequence(first, last)).alias("stretch")
+    )
+    inside = (F.col("before_") <= F.col("place")) & (F.col("place") < F.col("before_") + F.col("n"))
+    met = steps.join(wanted, "stretch").where(inside)
+    ends = met.groupBy(*by, "prob", "position").agg(
+        F.max(F.when(F.col("side") == 0, F.col("at"))).alias("low"),
+        F.max(F.when(F.col("side") == 1, F.col("at"))).alias("high"),
+    )
+    blend = F.col("low") + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position"))
+    return ends.select(*by, "prob", blend.alias("quantile"))
 
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:
@@ -173,22 +198,19 @@ def rank_slices(
     Returns the rows with ``piece`` (the number of the slice).  A slice that
     starts from the front must not end at the back.
     """
-    front = [(i, s) for i, s in enumerate(slices) if s[0] >= 0]
-    back = [(i, s) for i, s in enumerate(slices) if s[0] < 0]
-    pieces = []
+    def pieces(ends: dict[int, tuple[int, int]], directed: list[Column]) -> DataFrame:
+        rows = top_per_group(df, by, directed, max(last for _, last in ends.values()), "rank_")
+        marks = [F.when(F.col("rank_").between(first, last), F.lit(i)) for i, (first, last) in ends.items()]
+        return rows.withColumn("piece", F.explode(F.array_compact(F.array(*marks)))).drop("rank_")
+
+    front = {i: (start + 1, stop) for i, (start, stop) in enumerate(slices) if start >= 0}
+    back = {i: (1 if stop is None else 1 - stop, -start) for i, (start, stop) in enumerate(slices) if start < 0}
+    parts = []
     if front:
-        rows = top_per_group(df, by, [F.col(c).asc() for c in order], max(stop for _, (_, stop) in front), "rank_")
-        for i, (start, stop) in front:
-            pieces.append(rows.where(F.col("rank_").between(start + 1, stop)).withColumn("piece", F.lit(i)))
+        parts.append(pieces(front, [F.col(c).asc() for c in order]))
     if back:
-        rows = top_per_group(df, by, [F.col(c).desc() for c in order], max(-start for _, (start, _) in back), "rank_")
-        for i, (start, stop) in back:
-            nearest = 1 if stop is None else 1 - stop
-            pieces.append(rows.where(F.col("rank_").between(nearest, -start)).withColumn("piece", F.lit(i)))
-    result = pieces[0]
-    for piece in pieces[1:]:
-        result = result.unionByName(piece)
-    return result.drop("rank_")
+        parts.append(pieces(back, [F.col(c).desc() for c in order]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def chunked_lists(df: DataFrame, key: str, value: str, size: int) -> DataFrame:
@@ -199,11 +221,16 @@ def chunked_lists(df: DataFrame, key: str, value: str, size: int) -> DataFrame:
     steps = running_counts(df, value, [key])
     first = F.floor(F.col("before") / size)
     last = F.floor((F.col("before") + F.col("n") - 1) / size)
-    spans = steps.withColumn("chunk", F.explode(F.sequence(first, last)))
+    # Chunks are numbered in two levels, so that the array of a very frequent value stays short.
+    spans = steps.withColumn("span_", F.explode(F.sequence(first, last, F.lit(SPAN))))
+    upto = F.least(F.col("span_") + SPAN - 1, last)
+    spans = spans.withColumn("chunk", F.explode(F.sequence("span_", upto)))
     start = F.greatest(F.col("before"), F.col("chunk") * size)
     stop = F.least(F.col("before") + F.col("n"), (F.col("chunk") + 1) * size)
     copies = F.array_repeat(F.col(value), (stop - start).cast("int"))
     pieces = spans.select(key, "chunk", F.struct(start.alias("at"), copies.alias("vs")).alias("part"))
+    # Given, because the chunks of a key would otherwise stay together after a join on the key.
+    pieces = pieces.repartition(key, "chunk")
     lists = pieces.groupBy(key, "chunk").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     return lists.select(key, "chunk", F.flatten(F.transform("parts", lambda p: p["vs"])).alias("values"))
 

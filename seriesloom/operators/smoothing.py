@@ -94,6 +94,8 @@ def smooth_blocks(
     sent = blocks.select(*by, block, F.explode(F.array(*shares)).alias("s")).select(
         *by, (F.col(block) - F.col("s.from")).alias(block), "s.from", "s.part", "s.row"
     )
+    # Given, because the blocks of a signal would otherwise stay together after an aggregation per signal.
+    sent = sent.repartition(*by, block)
     parts = {
         distance: F.first(F.when(F.col("from") == distance, F.col("part")), ignorenulls=True).alias(f"part_{distance + reach}")
         for distance in range(-reach, reach + 1)
@@ -146,7 +148,7 @@ def smooth_signal(
         F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.try_element_at("cells", i)).alias("values"),
     )
     smoothed = smooth_blocks(blocks, by, "block_", length, order, std, edges)
-    rows = smoothed.select(*by, "block_", F.posexplode("values").alias("at_", "smooth"))
+    rows = smoothed.select(*by, "block_", F.posexplode_outer("values").alias("at_", "smooth"))
     return rows.select(*by, (F.col("block_") * length + F.col("at_")).alias(position), "smooth")
 
 

@@ -59,9 +59,9 @@ def posts_per_group(messages: DataFrame, lookup: DataFrame, default: int = DEFAU
     return grouped.orderBy("group_id")
 
 
-def token_users(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct ``token, user_id`` pairs, with columns that depend on the user."""
-    return each(messages, F.array_distinct(tok.tokens(F.col("text"))), "token", ("user_id", *keep)).distinct()
+def token_users(messages: DataFrame) -> DataFrame:
+    """Distinct ``token, user_id`` pairs."""
+    return each(messages, F.array_distinct(tok.tokens(F.col("text"))), "token", ("user_id",)).distinct()
 
 
 def token_counts(messages: DataFrame) -> DataFrame:
@@ -76,8 +76,12 @@ def token_mentions(messages: DataFrame) -> DataFrame:
 
 
 def token_group_mentions(messages: DataFrame, lookup: DataFrame, default: int = DEFAULT_GROUP) -> DataFrame:
-    """Distinct users per token and group.  The lookup joins messages, not tokens."""
-    pairs = token_users(with_group(messages, lookup, default), ("group_id",))
+    """Distinct users per token and group.
+
+    The lookup joins the distinct pairs: a busy user has no more of them than
+    there are tokens, while the user's messages, joined first, would meet in one task.
+    """
+    pairs = with_group(token_users(messages), lookup, default)
     return pairs.groupBy("token", "group_id").agg(F.count(F.lit(1)).alias("users"))
 
 

@@ -15,6 +15,8 @@ def build_session(app: str = "seriesloom", master: str | None = None, **conf: st
     defaults = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",  # also where the split costs a later shuffle
+        "spark.sql.requireAllClusterKeysForDistribution": "true",  # never group by few keys on a placement by fewer
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }

@@ -105,3 +105,16 @@ def test_cumulative_share_starts_at_zero(spark):
         ("a", 1, 0.75),
         ("a", 2, 1.0),
     ]
+
+
+def test_long_runs_of_one_value_fill_many_chunks(spark):
+    df = spark.range(50_000).select(F.lit("k").alias("k"), F.lit(7).alias("v"))
+    got = ordered.chunked_lists(df, "k", "v", 5).agg(F.count("*"), F.max("chunk"), F.sum(F.size("values"))).first()
+    assert tuple(got) == (10_000, 9_999, 50_000)
+
+
+def test_quantiles_meet_over_many_stretches(skewed, monkeypatch):
+    pdf, df = skewed
+    monkeypatch.setattr(ordered, "STRETCH", 7)
+    for row in ordered.exact_quantiles(df, "v", [0.1, 0.5, 0.9], ["g"]).collect():
+        assert row["quantile"] == pytest.approx(np.quantile(pdf[pdf.g == row["g"]].v, row["prob"]))

@@ -52,3 +52,14 @@ def test_expensive_arrays_are_computed_once(spark, tables):
     for name in ("token_mentions", "tokenize", "rel_popularity", "word_count"):
         text = plan(QUERIES[name](spark, tables))
         assert len(re.findall(r"regexp_extract_all\(|split\(", text)) == 1
+
+
+def test_blocks_of_a_signal_are_spread_and_smoothed_once(spark, tables):
+    text = plan(QUERIES["gauss_smooth"](spark, tables))
+    assert text.count("ArrowEvalPython") == 1
+    assert re.search(r"Exchange hashpartitioning\(event_type#\d+, block_#\d+L", text)
+
+
+def test_one_pass_per_direction_of_slices(spark, tables):
+    text = plan(QUERIES["rank_slices"](spark, tables))
+    assert text.count("FileScan") == 2
