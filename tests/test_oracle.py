@@ -29,3 +29,15 @@ def test_gives_rows(spark, tables, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["group_id", "token", "popularity", "rank"]
+
+
+@pytest.mark.parametrize("name", ["ccdf", "exact_quantiles", "group_by_key", "join_dimension", "lookup_default", "two_way_centering"])
+def test_equals_oracle_without_broadcasts(spark, tables, duck, name):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for key in keys:
+            spark.conf.set(key, "-1")
+        assert compare(spark, tables, duck, QUERIES[name], ORACLES[name]) == []
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
