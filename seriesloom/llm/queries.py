@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import chat_format, quality_rules, token_counts
+from seriesloom.llm import chat_format, packing, quality_model, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +145,18 @@ def op3_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id", F.col("turns.n").alias("n_turns"), F.col("turns.sha").alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars", "n_examples",
     )
+
+
+@query("op5_sum_of_squares")
+def op5_sum_of_squares(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of all pieces of all documents; no SQL (a tokenizer), tested against the tokenizer and exact bounds."""
+    packed = packing.pack(table(spark, folder, "documents"), WORD_BPE)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op8_boosted_quality")
+def op8_boosted_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents; no SQL (boosted trees), tested by held-out accuracy."""
+    documents = table(spark, folder, "documents")
+    forest = quality_model.train(documents, table(spark, folder, "labels"))
+    return quality_model.score(documents, forest)
