@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import chat_format, packing, quality_model, quality_rules, token_counts
+from seriesloom.llm import chat_format, line_dedup, packing, quality_model, quality_rules, span_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,3 +160,52 @@ def op8_boosted_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     forest = quality_model.train(documents, table(spark, folder, "labels"))
     return quality_model.score(documents, forest)
+
+
+_BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
+LINES_SQL = rf"""
+WITH v AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+        '(?is)<(?:script|style)\b.*?</(?:script|style)\s*>', '', 'g'), '(?i)</?(?:{_BLOCKS})\b[^>]*>', chr(10), 'g') AS h FROM pages),
+l AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS host,
+        string_split(regexp_replace(regexp_replace(h, '<[^>]*>', '', 'g'), '[ \t\r]*\n[ \t\r\n]*', chr(10), 'g'), chr(10)) AS lines FROM v),
+e AS (SELECT page_id, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM l),
+f AS (SELECT *, regexp_matches(line, '[^\x20\x09\x0B-\x0D]') AS visible FROM e),
+t AS (SELECT host, count(*) AS pages FROM l GROUP BY host),
+b AS (SELECT host, line FROM f JOIN t USING (host) WHERE visible GROUP BY host, line
+      HAVING count(DISTINCT page_id) >= {line_dedup.MIN_PAGES} AND count(DISTINCT page_id) > {line_dedup.RATIO} * any_value(pages)),
+r AS (SELECT f.*, b.line IS NOT NULL AND visible AS gone FROM f LEFT JOIN b ON f.host = b.host AND f.line = b.line)
+SELECT page_id, host, coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY i), '') AS text,
+    CAST(sum(visible::INT) AS BIGINT) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped
+FROM r GROUP BY page_id, host
+"""
+
+
+@query("op4_site_lines", LINES_SQL)
+def op4_site_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Visible text of every page without the lines that its host repeats."""
+    pages = table(spark, folder, "pages")
+    host = line_dedup.host_of(F.col("url"))
+    cleaned = line_dedup.drop_boilerplate(pages.select("page_id", host.alias("host"), "html"), F.col("host"), line_dedup.visible_text(F.col("html")))
+    return cleaned.select("page_id", "host", "cleaned.text", "cleaned.n_lines", "cleaned.n_dropped")
+
+
+SPANS_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{span_dedup.SENTENCE}') AS s FROM documents),
+e AS (SELECT doc_id, unnest(s) AS piece, generate_subscripts(s, 1) AS i, len(s) AS n FROM d),
+w AS (SELECT *, trim(piece, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS sentence,
+        len(regexp_extract_all(piece, '[^\x20\x09-\x0D]+')) AS words FROM e),
+r AS (SELECT doc_id, i, n, list(sentence) OVER v AS run, sum(words) OVER v AS words, count(*) OVER v AS width
+      FROM w WINDOW v AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {span_dedup.RUN - 1} FOLLOWING)),
+k AS (SELECT * FROM r WHERE words >= {span_dedup.MIN_WORDS} AND (width = {span_dedup.RUN} OR (n < {span_dedup.RUN} AND i = 1))),
+o AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS nth FROM k),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + {span_dedup.RUN})) AS i FROM o WHERE nth > 1)
+SELECT d.doc_id, CASE WHEN any_value(len(d.s)) = 0 THEN '' ELSE coalesce(string_agg(CASE WHEN g.i IS NULL THEN e.piece END, '' ORDER BY e.i), '') END AS text,
+    any_value(len(d.s)) AS n_sentences, count(g.i) AS n_removed
+FROM d LEFT JOIN e USING (doc_id) LEFT JOIN g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY d.doc_id
+"""
+
+
+@query("op10_sentence_spans", SPANS_SQL)
+def op10_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages that occurred before."""
+    return span_dedup.drop_repeated_spans(table(spark, folder, "documents"))
