@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import chat_format, line_dedup, packing, quality_model, quality_rules, span_dedup, token_counts
+from seriesloom.llm import chat_format, decontaminate, line_dedup, packing, quality_model, quality_rules, span_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -209,3 +209,29 @@ FROM d LEFT JOIN e USING (doc_id) LEFT JOIN g ON g.doc_id = e.doc_id AND g.i = e
 def op10_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the passages that occurred before."""
     return span_dedup.drop_repeated_spans(table(spark, folder, "documents"))
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT item_id, least(len(w), {decontaminate.WINDOW}) AS n, unnest(range(1, len(w) - least(len(w), {decontaminate.WINDOW}) + 2)) AS i, w FROM b WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS run FROM bw),
+sizes AS (SELECT DISTINCT n FROM q),
+dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, sizes WHERE len(w) >= n),
+r AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS run FROM dw),
+m AS (SELECT doc_id, item_id, i, n FROM r JOIN q USING (n, run)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM m GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op6_positional_index", DECONTAMINATION_SQL)
+def op6_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item."""
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
