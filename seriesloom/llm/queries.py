@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import chat_format, decontaminate, line_dedup, packing, quality_model, quality_rules, span_dedup, token_counts
+from seriesloom.llm import chat_format, decontaminate, line_dedup, ngram_join, packing, quality_model, quality_rules, span_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,3 +235,9 @@ def op6_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
     )
+
+
+@query("op7_order_filters")
+def op7_order_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of similar documents; no SQL (components), tested against brute force."""
+    return ngram_join.similar_components(table(spark, folder, "documents"))
