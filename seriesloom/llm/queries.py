@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import chat_format, decontaminate, line_dedup, ngram_join, packing, quality_model, quality_rules, span_dedup, token_counts
+from seriesloom.llm import chat_format, decontaminate, license_scan, line_dedup, ngram_join, packing, quality_model, quality_rules, span_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -241,3 +241,53 @@ def op6_positional_index(spark: SparkSession, folder: str) -> DataFrame:
 def op7_order_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Components of similar documents; no SQL (components), tested against brute force."""
     return ngram_join.similar_components(table(spark, folder, "documents"))
+
+
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(license_scan.TEMPLATES))
+_TERMS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+LICENSE_SQL = f"""
+WITH t AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS v(i, license, text)),
+tt AS (SELECT i, term, count(*) AS tf FROM (SELECT i, unnest({_TERMS.format(text='text')}) AS term FROM t) GROUP BY i, term),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+lt AS (SELECT doc_id, n, {_TERMS.format(text='line')} AS terms FROM l),
+li AS (SELECT doc_id, n, terms, n = max(n) OVER (PARTITION BY doc_id) AS last_line FROM lt WHERE len(terms) > 0),
+e AS (SELECT doc_id, n, unnest(terms) AS term FROM li),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM e GROUP BY doc_id, n, term),
+total AS (SELECT count(*) AS lines FROM li),
+df AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM tt) GROUP BY term),
+w AS (SELECT term, ln((1.0 + (SELECT lines FROM total)) / (1 + coalesce(df, 0))) + 1 AS w FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term)),
+o AS (SELECT ln((1.0 + lines) / 2) + 1 AS w FROM total),
+norms AS (SELECT doc_id, n, sqrt(sum((tf * coalesce(w.w, (SELECT w FROM o))) * (tf * coalesce(w.w, (SELECT w FROM o))))) AS size FROM tf LEFT JOIN w USING (term) GROUP BY doc_id, n),
+tn AS (SELECT i, sqrt(sum(tf * w * tf * w)) AS size FROM tt JOIN w USING (term) GROUP BY i),
+dots AS (SELECT doc_id, n, tt.i, sum(tf.tf * w.w * tt.tf * w.w) AS dot FROM tf JOIN tt USING (term) JOIN w USING (term) GROUP BY doc_id, n, tt.i),
+c AS (SELECT doc_id, n, i, dot / (norms.size * tn.size) AS cosine FROM dots JOIN norms USING (doc_id, n) JOIN tn USING (i)),
+k AS (SELECT doc_id, n, i, cosine, row_number() OVER (PARTITION BY doc_id ORDER BY round(cosine, 9) DESC, n, i) AS best FROM c WHERE cosine >= {license_scan.THRESHOLD}),
+own AS (SELECT d.doc_id, d.source, d.lang, d.n_chars // 1000 AS bucket, t.license, k.cosine, li.last_line
+        FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id AND k.best = 1 LEFT JOIN t USING (i) LEFT JOIN li ON li.doc_id = d.doc_id AND li.n = k.n),
+dirs AS (SELECT *, CASE WHEN last_line AND bucket = 0 THEN source WHEN last_line THEN source || '/' || lang
+        ELSE source || '/' || lang || '/' || CAST(bucket AS VARCHAR) END AS dir FROM own),
+g AS (SELECT dir, license, max(cosine) AS cosine FROM dirs WHERE last_line GROUP BY dir, license),
+declared AS (SELECT dir, license AS granted FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY round(cosine, 9) DESC, license) AS r FROM g) WHERE r = 1)
+SELECT doc_id, dirs.dir || '/' || CASE WHEN last_line THEN 'LICENSE-' ELSE '' END || CAST(doc_id AS VARCHAR) || '.txt' AS path, license,
+    CAST(round(cosine * 1e6) AS BIGINT) AS cosine_millionths, coalesce(license, near.granted, far.granted) AS effective_license,
+    CASE WHEN license IS NOT NULL THEN 'own' WHEN coalesce(near.granted, far.granted) IS NOT NULL THEN 'inherited' END AS origin
+FROM dirs LEFT JOIN declared AS near ON near.dir = source || '/' || lang LEFT JOIN declared AS far ON far.dir = source
+"""
+
+
+@query("op9_license_scan", LICENSE_SQL)
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences of all documents, own and inherited.
+
+    Documents have no paths, so a path is derived: source / language / thousands of characters / file.  A document that ends with a
+    licence line is taken as a licence file of its language, or, if it has less than a thousand characters, of its source.
+    """
+    documents = table(spark, folder, "documents")
+    found = license_scan.headers(documents).withColumn("cosine", F.round("cosine", 9))
+    places = documents.select("doc_id", "source", "lang", F.floor(F.col("n_chars") / 1000).alias("bucket"))
+    file = F.concat(F.when(F.col("last_line"), "LICENSE-").otherwise(""), F.col("doc_id").cast("string"), F.lit(".txt"))
+    deep = F.when(F.col("last_line").isNull() | ~F.col("last_line"), F.col("bucket").cast("string"))
+    wide = F.when(F.col("last_line").isNull() | ~F.col("last_line") | (F.col("bucket") > 0), F.col("lang"))
+    files = found.join(places, "doc_id").select("doc_id", F.concat_ws("/", "source", wide, deep, file).alias("path"), "license", "cosine")
+    out = license_scan.inherit(files, F.col("path"))
+    return out.select("doc_id", "path", "license", F.round(F.col("cosine") * 1e6).cast("long").alias("cosine_millionths"), "effective_license", "origin")
