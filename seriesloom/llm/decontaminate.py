@@ -114,28 +114,32 @@ def search(index: Index, tests: Tests, window: int = WINDOW, rare: int = RARE_TE
     return exact.unionByName(islands(near, False)) if slop else exact
 
 
+def hits(index: Index, tests: Tests, window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """in_doc, n_hit, items (names, sorted as strings) and n_near_items of the documents with a match."""
+    matches = stage(search(index, tests, window, slop=slop), "matches")
+    words = matches.where("exact").select("doc", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
+    counts = words.groupBy(F.col("doc").alias("hit_doc")).agg(F.count("*").alias("n_hit"))
+    name = F.coalesce(F.col("item_key").cast("string"), F.lit(""))
+    items = matches.groupBy("doc").agg(
+        F.array_sort(F.collect_set(F.when(F.col("exact"), name))).alias("items"), F.countDistinct(name).alias("n_near_items")
+    )
+    joined = items.join(counts, F.col("hit_doc").eqNullSafe(F.col("doc")), "left")
+    return stage(joined.select(F.col("doc").alias("in_doc"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), "items", "n_near_items"), "hits")
+
+
 def contamination(
     documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
     item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int = 0,
 ) -> DataFrame:
     """``key``, n_words, n_hit, items (sorted as strings), n_items, n_near_items for every document.
 
-    Rows with one key are one document and must have one text; NULL keys are one such document.  NULL and empty texts have no words
-    and no hits; NULL item keys count as an empty name; items without words never occur; other columns are
-    not read.  Empty tables give no rows, or rows without hits.
+    Rows with one key are one document and must have one text; NULL keys are one such document.  NULL and empty
+    texts have no words and no hits; NULL item keys count as an empty name; items without words never
+    occur; other columns are not read.  Empty tables give no rows, or rows without hits.
     """
     tests = read_tests(benchmark, item_key, item_text)
     index = build_index(documents, tests.vocabulary, key, text)
-    matches = stage(search(index, tests, window, slop=slop), "matches")
-    exact = matches.where("exact")
-    hit = exact.select("doc", F.explode(F.sequence("first", "last")).alias("pos")).distinct().groupBy("doc").agg(F.count("*").alias("n_hit"))
-    name = F.coalesce(F.col("item_key").cast("string"), F.lit(""))
-    items = matches.groupBy("doc").agg(
-        F.array_sort(F.collect_set(F.when(F.col("exact"), name))).alias("items"), F.countDistinct(name).alias("n_near_items")
-    )
-    hit = hit.withColumnRenamed("doc", "hit_doc")
-    joined = items.join(hit, F.col("hit_doc").eqNullSafe(F.col("doc")), "left")
-    found = stage(joined.select(F.col("doc").alias("in_doc"), "n_hit", "items", "n_near_items"), "hits")
+    found = hits(index, tests, window, slop)
     sizes = index.postings.where("term = -1").groupBy("doc").agg(F.max("pos").cast("long").alias("n_words"))
     out = sizes.join(small_side(found), F.col("doc").eqNullSafe(F.col("in_doc")), "left")
     return out.select(
@@ -144,3 +148,10 @@ def contamination(
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("n_near_items", F.lit(0).cast("long")).alias("n_near_items"),
     )
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The documents, with all their columns, that hold no window of a benchmark item."""
+    tests = read_tests(benchmark, item_key, item_text)
+    found = hits(build_index(documents, tests.vocabulary, key, text), tests)
+    return documents.join(small_side(found.where("n_hit > 0").select("in_doc")), F.col("in_doc").eqNullSafe(documents[key]), "left_anti")

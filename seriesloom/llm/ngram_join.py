@@ -27,8 +27,8 @@ from seriesloom.llm.common import mixed, polynomial, raw_texts, small_side, text
 from seriesloom.llm.components import components
 from seriesloom.staging import stage
 
-NGRAM = 4
-PERCENT = 85
+NGRAM = 5
+PERCENT = 80
 HOT = 64
 FREQUENT_TOKENS = 1_000_000
 CACHED_WORDS = 500_000
@@ -221,3 +221,11 @@ def _rest(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     a, b = (open_rows.select(*(F.col(c).alias(f"{side}_{c}") for c in ("token", "uid", "n", "root"))) for side in ("a", "b"))
     different = (F.col("a_uid") < F.col("b_uid")) & (F.col("a_root") != F.col("b_root")) & _close(F.col("a_n"), F.col("b_n"), percent)
     return a.join(b, (F.col("a_token") == F.col("b_token")) & different).select(F.col("a_uid").alias("a"), F.col("b_uid").alias("b")).distinct()
+
+
+def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+    """The documents, with all their columns, that name their component; of repeated rows one stays."""
+    found = stage(similar_components(documents, key, text, width, percent), "components").select(F.col(key).alias("one"), "component_id")
+    heads = found.where(F.col("one").eqNullSafe(F.col("component_id"))).select("one").distinct()
+    kept = documents.join(small_side(stage(heads, "heads")), F.col("one").eqNullSafe(documents[key]), "left_semi")
+    return kept.dropDuplicates([key]) if found.groupBy("one").count().where("count > 1").take(1) else kept

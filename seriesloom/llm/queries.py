@@ -240,7 +240,7 @@ def op6_positional_index(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_order_filters")
 def op7_order_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Components of similar documents; no SQL (components), tested against brute force."""
-    return ngram_join.similar_components(table(spark, folder, "documents"))
+    return ngram_join.similar_components(table(spark, folder, "documents"), width=4, percent=85)
 
 
 _TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(license_scan.TEMPLATES))
