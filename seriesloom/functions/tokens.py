@@ -1,8 +1,9 @@
 """Tokens of informal text as native column expressions.
 
-The pattern is one alternation; earlier kinds win over later ones at the same
-position.  It uses explicit character classes and no look-around, so that any
-engine with leftmost-first alternation finds the same tokens.
+A token kind is built from small parts: sets of characters, and ways to put parts
+together.  Earlier kinds win over later ones at the same position.  The grammar uses
+explicit character classes and no look-around, so that any engine with
+leftmost-first alternation finds the same tokens.
 """
 
 from __future__ import annotations
@@ -10,29 +11,63 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The character sets that define the token kinds.
+# The characters of faces, and of URLs as the generic URI syntax lists them.
+EYES = ":;=8"
+NOSES = "-o*'"
+MOUTHS = ")]([dDpP/:}{@|\\"
+HATS = "<>"
+URI = "-._~:/?#[]@!$&'()*+,;=%"
+
 SPACE = r"\x09-\x0d\x1c-\x20\x85\p{Z}"
 WORD = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
-EYES = r"[:;=8]"
-NOSE = r"[-o*'O]"
-MOUTH = r"[()\[\]{}dDpP/:@|\\]"
-HAT = r"[<>]"
-URL = r"[hH][tT][tT][pP][sS]?://[!\x24-\x5fa-z]+"
+LETTER = "A-Za-z"
+MARK = "'_-"
+
+
+def one_of(characters: str) -> str:
+    """Any of these characters, small or capital."""
+    both = dict.fromkeys(c for given in characters for c in (given, given.upper()))
+    return "[" + "".join(c if c.isalnum() else f"\\x{ord(c):02x}" for c in both) + "]"
+
+
+def maybe(part: str) -> str:
+    return f"(?:{part})?"
+
+
+def joined(characters: str, marks: str) -> str:
+    """Two or more runs of ``characters`` with ``marks`` between them."""
+    return f"[{characters}]+(?:[{marks}]+[{characters}]+)+"
+
+
+def phone() -> str:
+    """A country code of 0 or 1 and an area code, both optional, then three and four digits; gaps are blanks, dots and dashes."""
+    gap = f"[-.{SPACE}]*"
+    three = f"{DIGIT}{{3}}"
+    area = rf"(?:\({three}\)|{three})"
+    return maybe(rf"\+?[01]{gap}") + maybe(area + gap) + three + gap + f"{DIGIT}{{4}}"
+
+
+def face(mirrored: bool = False) -> str:
+    """A hat, eyes, a nose and a mouth; only eyes and mouth are needed."""
+    parts = [maybe(one_of(HATS)), one_of(EYES), maybe(one_of(NOSES)), one_of(MOUTHS)]
+    return "".join(reversed(parts) if mirrored else parts)
+
 
+URL = rf"[hH][tT][tT][pP][sS]?://(?:[{LETTER}0-9]|{one_of(URI)})+"
 KINDS = {
-    "phone": rf"(?:\+?[01][-{SPACE}.]*)?(?:\(?{DIGIT}{{3}}[-{SPACE}.)]*)?{DIGIT}{{3}}[-{SPACE}.]*{DIGIT}{{4}}",
+    "phone": phone(),
     "url": URL,
-    "face": rf"{HAT}?{EYES}{NOSE}?{MOUTH}",
-    "mirrored face": rf"{MOUTH}{NOSE}?{EYES}{HAT}?",
-    "markup": r"<[^>]+>",
-    "user": rf"@[{WORD}]+",
-    "topic": rf"#+[{WORD}][{WORD}'-]*[{WORD}]",
-    "word with marks inside": r"[A-Za-z][A-Za-z'_-]+[A-Za-z]",
-    "number": rf"[+-]?{DIGIT}+[,/.:-]{DIGIT}+[+-]?",
-    "word": rf"[{WORD}]+",
+    "face": face(),
+    "mirrored face": face(mirrored=True),
+    "markup": "<[^<>]+>",
+    "user": f"@[{WORD}]+",
+    "topic": f"#+(?:{joined(WORD, MARK)}|[{WORD}]{{2,}})",  # a single character is no topic
+    "word with marks inside": joined(LETTER, MARK),
+    "number with separators": rf"[-+]?{joined(DIGIT, ',/.:-')}[-+]?",
+    "word": f"[{WORD}]+",
     "dots": rf"\.(?:[{SPACE}]*\.)+",
-    "anything else": rf"[^{SPACE}]",
+    "anything else": f"[^{SPACE}]",
 }
 TOKEN = "|".join(KINDS.values())
 NAMED_ENTITY = rf"&[{WORD}]+;"

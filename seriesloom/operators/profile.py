@@ -23,10 +23,20 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return flat.select(F.inline(F.array(*rows)))
 
 
+def finite(value: Column) -> Column:
+    """The value as a double; NULL for NaN and infinities, which have no place in a range."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+
+
 def min_max_scaled(df: DataFrame, value: str, name: str = "scaled") -> DataFrame:
-    """Add the value's position between the column's minimum (0) and maximum (1); NULL without a range."""
-    low, high = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
-    return df.withColumn(name, F.try_divide(F.col(value) - low, high - low))
+    """Add the value's position between the column's finite minimum (0) and maximum (1).
+
+    NULL without a range, and for values that are not finite.
+    """
+    number = finite(F.col(value))
+    low, high = df.agg(F.min(number)).scalar(), df.agg(F.max(number)).scalar()
+    return df.withColumn(name, F.try_divide(number - low, high - low))
 
 
 def bounding_box(df: DataFrame, latitude: str, longitude: str) -> DataFrame:
@@ -53,8 +63,11 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
-    """Rows in equal bins between minimum and maximum: ``bin, low, high, n``, empty bins included."""
-    known = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    """Rows in equal bins between the finite minimum and maximum: ``bin, low, high, n``, empty bins included.
+
+    NULL, NaN and infinite values are not counted.
+    """
+    known = df.select(finite(F.col(value)).alias("v")).where("v IS NOT NULL")
     ends = known.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")))
     counts = (
         known.withColumn("ends", ends.scalar())
@@ -75,9 +88,9 @@ def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
 def tail_histogram(df: DataFrame, value: str, threshold: float, body_bins: int = 20, tail_bins: int = 40) -> DataFrame:
     """Two histograms, below and from ``threshold``, next to the share of zeros, mean and deviation.
 
-    Only occupied bins are listed.
+    Only occupied bins are listed.  NULL, NaN and infinite values are not counted.
     """
-    known = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    known = df.select(finite(F.col(value)).alias("v")).where("v IS NOT NULL")
     in_tail = F.col("v") >= threshold
     facts = known.agg(
         F.struct(
@@ -108,34 +121,41 @@ def distinct_labels(df: DataFrame, column: str, limit: int = MAX_COLUMNS) -> lis
     return sorted(found, key=lambda v: (v is not None, v))
 
 
+def pair_counts(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Rows of every pair of values that occurs, ``rows, columns, n``: a table of any number of labels."""
+    return df.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def pair_means(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
+    """Mean value of every pair that occurs, ``rows, columns, cell``."""
+    return df.groupBy(rows, columns).agg(F.avg(value).alias("cell"))
+
+
 def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
-    """Rows of every pair of values as a wide table, absent pairs as zero."""
-    counts = df.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
-    labels = distinct_labels(df, columns)
-    wide = counts.groupBy(rows).pivot(columns, labels).agg(F.sum("n"))
+    """``pair_counts`` as a wide table for output, absent pairs as zero; a NULL label is the column ``null``."""
+    wide = pair_counts(df, rows, columns).groupBy(rows).pivot(columns, distinct_labels(df, columns)).agg(F.sum("n"))
     return wide.na.fill(0, subset=[c for c in wide.columns if c != rows])
 
 
 def pivot_mean(df: DataFrame, rows: str, columns: str, value: str, prefix: str) -> DataFrame:
-    """Mean value per pair in wide form, one column per distinct value of ``columns``.
+    """``pair_means`` in wide form for output, one column per distinct value of ``columns``, NULL as ``null``.
 
     Pairs are aggregated in long form first, so each cell of the pivot is unique.
     """
-    cells = df.groupBy(rows, columns).agg(F.avg(value).alias("cell"))
     labels = distinct_labels(df, columns)
-    wide = cells.groupBy(rows).pivot(columns, labels).agg(F.first("cell"))
-    return wide.select(rows, *[F.col(f"`{v}`").alias(f"{prefix}{v}") for v in labels])
+    wide = pair_means(df, rows, columns, value).groupBy(rows).pivot(columns, labels).agg(F.first("cell"))
+    return wide.toDF(rows, *[f"{prefix}{'null' if v is None else v}" for v in labels])
 
 
 def frequent_items(df: DataFrame, column: str, support: float) -> DataFrame:
-    """Values that make up more than ``support`` of the rows, with their exact counts.
+    """Values, NULL among them, that make up more than ``support`` of the rows, with their exact counts.
 
     Spark's sketch names the candidates (at most 1 / support of them, possibly
     too many); one recount of these removes the false ones.
     """
     candidates = df.stat.freqItems([column], support).select(F.explode(f"{column}_freqItems").alias("item"))
-    counts = df.join(F.broadcast(candidates), df[column] == candidates["item"])
-    counts = counts.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    values = df.select(F.col(column).alias("value"))
+    counts = values.join(candidates, F.col("value").eqNullSafe(F.col("item"))).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     rows = df.agg(F.count(F.lit(1))).scalar()
     return counts.where(F.col("n") > support * rows)
 

@@ -78,16 +78,14 @@ def point_lookup(spark, folder):
 
 @query(
     "case_bucket",
-    """SELECT CASE WHEN year(o_orderdate) < 1996 THEN '19th' WHEN year(o_orderdate) < 1998 THEN '20th'
-                   WHEN year(o_orderdate) < 2000 THEN '21st' ELSE 'possibly_bad_data' END AS century,
+    """SELECT CASE WHEN year(o_orderdate) < 1994 THEN 'early' WHEN year(o_orderdate) < 1997 THEN 'middle'
+                   WHEN year(o_orderdate) < 2000 THEN 'late' ELSE 'unknown' END AS period,
               count(*) AS n FROM orders GROUP BY 1""",
 )
 def case_bucket(spark, folder):
     year = F.year("o_orderdate")
-    century = (
-        F.when(year < 1996, "19th").when(year < 1998, "20th").when(year < 2000, "21st").otherwise("possibly_bad_data")
-    )
-    return table(spark, folder, "orders").groupBy(century.alias("century")).agg(F.count(F.lit(1)).alias("n"))
+    period = F.when(year < 1994, "early").when(year < 1997, "middle").when(year < 2000, "late").otherwise("unknown")
+    return table(spark, folder, "orders").groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
