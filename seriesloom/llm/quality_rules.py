@@ -132,7 +132,7 @@ def language_references(documents: DataFrame, rules: Rules, text: str = "text",
         def found(language: str) -> pa.RecordBatch:
             counts, total = held.pop(language), sizes.pop(language)
             words = [word for word, n in counts.items() if n >= share * total]
-            return pa.RecordBatch.from_arrays([pa.array([language] * len(words)), pa.array(words, pa.binary())], names=["lang", "word"])
+            return pa.RecordBatch.from_arrays([pa.array([language] * len(words), pa.string()), pa.array(words, pa.binary())], names=["lang", "word"])
 
         for batch in batches:
             for part in text_slices(batch):
