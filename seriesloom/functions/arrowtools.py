@@ -20,6 +20,14 @@ def matrix_of(column: pa.ListArray) -> np.ndarray:
     return flat.astype(np.float64, copy=False).reshape(len(column), -1)
 
 
+def padded_matrix(column: pa.ListArray) -> np.ndarray:
+    """Vectors of any lengths as rows, filled up with NaN; a missing element is NaN.  The column has no NULL vector."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.full((len(lengths), int(lengths.max()) if len(lengths) else 0), np.nan)
+    out[np.arange(out.shape[1])[None, :] < lengths[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
 def groups_of(columns: list[pa.Array], rows: int) -> Iterator[tuple[tuple, np.ndarray]]:
     """Row numbers of every combination of values, in order of appearance."""
     if not columns:

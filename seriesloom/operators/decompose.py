@@ -11,12 +11,12 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions import vectors as vec
-from seriesloom.functions.arrowtools import groups_of, matrix_of
-from seriesloom.operators.ordered import rank_slices
+from seriesloom.functions.arrowtools import groups_of, padded_matrix
+from seriesloom.operators.ordered import join_groups, rank_slices
 from seriesloom.operators.series_stats import day_stats, principal_components
 from seriesloom.staging import stage
 
@@ -77,7 +77,7 @@ def component_basis(series: DataFrame, by: Sequence[str], top: int) -> DataFrame
     vectors = principal_components(series, by, top).groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct("rank", "eigvec"))).alias("rows")
     )
-    return means.join(vectors, by).select(
+    return join_groups(means, vectors, by).select(
         *by,
         F.transform("cells", lambda c: c["m"]).alias("mean"),
         F.transform("rows", lambda r: r["eigvec"]).alias("vectors"),
@@ -87,18 +87,20 @@ def component_basis(series: DataFrame, by: Sequence[str], top: int) -> DataFrame
 def _with_basis(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
     """Add the ``mean`` and ``vectors`` of the series' group; NULL where the group has none."""
     if by:
-        return series.join(basis, list(by), "left")
+        return join_groups(series, basis, list(by), "left")
     one = basis.select(F.struct("mean", "vectors")).scalar()
     return series.withColumn("b_", one).select(*series.columns, "b_.mean", "b_.vectors")
 
 
 def _joined_fit(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
     """The fit by column expressions, for bases of any size."""
-    deviation = F.transform(vec.minus(F.col("values"), F.col("mean")), lambda v: F.coalesce(v, F.lit(0.0)))
-    rows = _with_basis(series, basis, by).withColumn("r0", deviation)
-    coeffs = F.transform("vectors", lambda u: vec.dot(F.col("r0"), u)).alias("coeffs")
-    norm, total = vec.square_norm(F.col("r0")).alias("norm"), vec.square_norm(F.col("values")).alias("total")
-    return rows.select(*series.columns, F.struct(coeffs, norm, total).alias("fit"))
+    known = F.transform("values", lambda v: F.when(~F.isnan(v), v))
+    deviation = F.transform(vec.minus(F.col("known"), F.col("mean")), lambda v: F.coalesce(F.nanvl(v, F.lit(0.0)), F.lit(0.0)))
+    rows = _with_basis(series, basis, by).withColumn("known", known).withColumn("r0", deviation)
+    coeffs = F.when(F.col("r0").isNotNull(), F.transform("vectors", lambda u: vec.dot(F.col("r0"), u))).alias("coeffs")
+    norm, total = vec.square_norm(F.col("r0")).alias("norm"), vec.square_norm(F.col("known")).alias("total")
+    fit = F.struct(coeffs, norm, total)
+    return rows.select(*series.columns, F.when(F.col("mean").isNotNull() & F.col("values").isNotNull(), fit).alias("fit"))
 
 
 def _dense_fit(series: DataFrame, bases: dict[tuple, tuple[np.ndarray, np.ndarray]], by: Sequence[str]) -> DataFrame:
@@ -107,30 +109,32 @@ def _dense_fit(series: DataFrame, bases: dict[tuple, tuple[np.ndarray, np.ndarra
     @F.arrow_udf(FIT)
     def fit(keys: pa.Array, values: pa.Array) -> pa.Array:
         known = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
-        matrix = matrix_of(values.take(pa.array(known)))
+        matrix = padded_matrix(values.take(pa.array(known)))
         parts = [column.take(pa.array(known)) for column in keys.flatten()[1:]]
-        coeffs: list[np.ndarray | None] = [None] * len(values)
-        norms = np.full(len(values), np.nan)
-        totals = np.full(len(values), np.nan)
+        norms, totals, done = np.zeros(len(values)), np.zeros(len(values)), np.zeros(len(values), dtype=bool)
+        fitted = np.zeros((len(values), max((len(vectors) for _, vectors in bases.values()), default=0)))
+        sizes = np.zeros(len(values), dtype=np.int64)
         for name, members in groups_of(parts, len(known)):
             if name not in bases:
                 continue
             mean, vectors = bases[name]
-            block = matrix[members]
-            rest = np.nan_to_num(block - mean)
-            block = np.nan_to_num(block)
+            width = max(len(mean), matrix.shape[1])
+            block = np.full((len(members), width), np.nan)
+            block[:, : matrix.shape[1]] = matrix[members]
+            rest = block - np.pad(mean, (0, width - len(mean)), constant_values=np.nan)
+            rest[np.isnan(rest)] = 0.0
+            block[np.isnan(block)] = 0.0
             rows = known[members]
-            norms[rows] = np.einsum("ij,ij->i", rest, rest)
-            totals[rows] = np.einsum("ij,ij->i", block, block)
-            for row, line in zip(rows, rest @ vectors.T):
-                coeffs[row] = line
+            with np.errstate(over="ignore", invalid="ignore"):
+                norms[rows] = np.einsum("ij,ij->i", rest, rest)
+                totals[rows] = np.einsum("ij,ij->i", block, block)
+                fitted[rows, : len(vectors)] = rest @ np.pad(vectors, ((0, 0), (0, width - vectors.shape[1]))).T
+            sizes[rows], done[rows] = len(vectors), True
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        flat = fitted[np.arange(fitted.shape[1])[None, :] < sizes[:, None]]
+        coeffs = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(~done))
         return pa.StructArray.from_arrays(
-            [
-                pa.array(coeffs, pa.list_(pa.float64())),
-                pa.array(norms, mask=np.isnan(norms)),
-                pa.array(totals, mask=np.isnan(totals)),
-            ],
-            names=["coeffs", "norm", "total"],
+            [coeffs, pa.array(norms, mask=~done), pa.array(totals, mask=~done)], names=["coeffs", "norm", "total"]
         )
 
     keys = F.struct(F.lit(0).alias("none"), *by)
@@ -140,21 +144,28 @@ def _dense_fit(series: DataFrame, bases: dict[tuple, tuple[np.ndarray, np.ndarra
 def _fit(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
     """Add ``fit``: coefficients, squared length of the deviation from the mean, squared length of the series.
 
-    Up to ``DENSE_BASIS`` numbers the basis is sent to the tasks and applied as
-    matrices; beyond it is joined.
+    NaN counts as missing, a NULL key is a group of its own, and a vector that is shorter or longer than the
+    basis deviates by zero where only one of them has a day.  Up to ``DENSE_BASIS`` numbers the basis is sent to the
+    tasks and applied as matrices; beyond it is joined, with the same result.
     """
     basis = stage(basis, "basis")
     size = basis.agg(F.sum(F.size("mean") * (F.size("vectors") + 1)).alias("numbers")).first()["numbers"] or 0
     if size > DENSE_BASIS:
         return _joined_fit(series, basis, by)
     bases = {
-        tuple(row[c] for c in by): (np.array(row["mean"]), np.array(row["vectors"]))
+        tuple(row[c] for c in by): (np.array(row["mean"], dtype=float), np.array(row["vectors"], dtype=float).reshape(len(row["vectors"]), -1))
         for row in basis.select(*by, "mean", "vectors").collect()
-        if all(row[c] is not None for c in by)
+        if row["mean"] is not None and row["vectors"] is not None
     }
     return _dense_fit(series, bases, by)
 
 
+def _remaining(norm: Column, coefficient: Column) -> Column:
+    """Squared length without the part along one more vector; rounding may not take it below zero."""
+    rest = norm - coefficient * coefficient
+    return F.when(rest < 0, 0.0).otherwise(rest)
+
+
 def decompose(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
     """Coefficients and relative residual norms of every series on an orthonormal basis.
 
@@ -166,7 +177,7 @@ def decompose(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = (
     """
     fitted = _fit(series, basis, by)
     coeff = [F.get("fit.coeffs", F.lit(i)) for i in range(k)]
-    norms = list(accumulate(coeff, lambda norm, c: F.greatest(norm - c * c, F.lit(0.0)), initial=F.col("fit.norm")))
+    norms = list(accumulate(coeff, _remaining, initial=F.col("fit.norm")))
     names = ["res_mean", *[f"res_{i + 1}" for i in range(k)]]
     return fitted.select(
         *series.columns,
@@ -182,7 +193,7 @@ def residual_curve(series: DataFrame, basis: DataFrame, functions: int, by: Sequ
     fitted = _fit(series, basis, by)
     norms = accumulate(
         [F.get("fit.coeffs", F.lit(i)) for i in range(functions)],
-        lambda norm, c: F.greatest(norm - c * c, F.lit(0.0)),
+        _remaining,
         initial=F.col("fit.norm"),
     )
     # Outer, because the filter that Spark adds to a plain explode would fit every series twice.
@@ -207,7 +218,7 @@ def beats_mean(decomposed: DataFrame, stations: DataFrame) -> DataFrame:
 
 def fit_extremes(decomposed: DataFrame, column: str, ties: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Best 12, worst 4, and two bands of bad fits (ranks 501–504 and 1001–1004 from the end) by a residual."""
-    slices = [(0, 12), (-4, None), (-504, -500), (-1004, -1000)]
+    slices = [(0, 12), (-4, None), (-504, -500), (-1004, -1000)]  # fixed values: the ranks shown
     return rank_slices(decomposed, [column, *ties], slices, by)
 
 

@@ -34,6 +34,15 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys are equal; the keys are those of ``left``."""
+    renamed = right.withColumnsRenamed({key: f"{key}_of_right" for key in keys})
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"{key}_of_right"))
+    return left.join(renamed, condition, how).drop(*[f"{key}_of_right" for key in keys])
+
+
 def _running_weight(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = TaskContext.get().partitionId()
     upto = 0
@@ -238,10 +247,10 @@ def chunked_lists(df: DataFrame, key: str, value: str, size: int) -> DataFrame:
 def neighbour_diff(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
     """Per group in key order: first key, rows, and the sum of |v[i+1] − v[i]|.
 
-    Each sort partition folds its rows to one line per group; these lines are
+    Rows without a value are skipped.  Each batch of a sort partition folds its rows to one line per group; these lines are
     then chained in key order.  Groups with one row have no differences: NULL.
     """
-    counts = df.groupBy(group, key, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(group, key, value).agg(F.count(F.lit(1)).alias("n"))
     ordered = counts.orderBy(group, key, value).select(
         F.col(group).alias("g"), F.col(key).alias("k"), F.col(value).cast("double").alias("v"), "n"
     )
@@ -252,31 +261,26 @@ def neighbour_diff(df: DataFrame, group: str, key: str, value: str) -> DataFrame
     )
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry: list | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            groups, keys = batch.column("g"), batch.column("k")
             values, sizes = batch.column("v").to_numpy(), batch.column("n").to_numpy()
-            codes = groups.dictionary_encode(null_encoding="encode").indices.to_numpy()
-            starts = np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1])
-            done: list[list] = []
-            for start, stop in zip(starts, [*starts[1:], len(codes)]):
-                run = values[start:stop]
-                walk = float(np.abs(np.diff(run)).sum())
-                name = groups[int(start)].as_py()
-                if carry is not None and carry[0] == name:
-                    carry[5] += walk + abs(float(run[0]) - carry[3])
-                    carry[3] = float(run[-1])
-                    carry[4] += int(sizes[start:stop].sum())
-                else:
-                    if carry is not None:
-                        done.append(carry)
-                    carry = [name, keys[int(start)].as_py(), float(run[0]), float(run[-1]), int(sizes[start:stop].sum()), walk]
-            if done:
-                yield _line_batch(done, target)
-        if carry is not None:
-            yield _line_batch([carry], target)
+            codes = batch.column("g").dictionary_encode(null_encoding="encode").indices.to_numpy()
+            fresh = np.concatenate([[True], np.diff(codes) != 0])
+            starts = np.flatnonzero(fresh)
+            steps = np.where(fresh, 0.0, np.abs(np.diff(values, prepend=values[0])))
+            ends = np.append(starts[1:], len(codes)) - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("g").take(pa.array(starts)),
+                    batch.column("k").take(pa.array(starts)),
+                    pa.array(values[starts]),
+                    pa.array(values[ends]),
+                    pa.array(np.add.reduceat(sizes, starts)),
+                    pa.array(np.add.reduceat(steps, starts)),
+                ],
+                schema=target,
+            )
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -296,11 +300,6 @@ def neighbour_diff(df: DataFrame, group: str, key: str, value: str) -> DataFrame
     )
 
 
-def _line_batch(lines: list[list], schema: pa.Schema) -> pa.RecordBatch:
-    columns = [pa.array(list(column), type=field.type) for column, field in zip(zip(*lines), schema)]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
 def cumulative_share(df: DataFrame, weight: str, rank: str, by: Sequence[str]) -> DataFrame:
     """Share of the total up to each rank of a group, rank 0 standing for the empty sum."""
     order = Window.partitionBy(*by).orderBy(rank)

@@ -17,11 +17,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from seriesloom.functions import vectors as vec
 from seriesloom.functions.arrowtools import groups_of, list_column, matrix_of
-from seriesloom.operators.layout import width
-from seriesloom.operators.ordered import exact_quantiles
+from seriesloom.operators.ordered import exact_quantiles, join_groups
 from seriesloom.staging import stage
 
-HELD_GROUPS = 64  # partial matrices a task keeps before it hands them on
+MERGE_PARTS = 32  # salted parts in which the sums of one row are added first
+HELD_BYTES = 128 << 20  # partial matrices a task keeps before it hands them on
 
 
 def explode_days(series: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,7 +45,7 @@ def value_stats(series: DataFrame, by: Sequence[str]) -> DataFrame:
     tails = exact_quantiles(values, "v", list(names), by).groupBy(*by).agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name) for p, name in names.items()]
     )
-    return moments.join(tails, list(by))
+    return join_groups(moments, tails, list(by), "left")
 
 
 def value_sample(series: DataFrame, by: Sequence[str], fraction: float, seed: int) -> DataFrame:
@@ -80,10 +80,9 @@ def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
     sum of products and ``no`` the number of series with both positions present;
     row 0 therefore holds the sums and counts that the means need.
 
-    Tasks add up dense matrices.  Splits are merged without a shuffle until there
-    are about as many tasks as the cluster runs at once, because each of them
-    hands on d²/2 sums per group; these are added row by row, and only the
-    totals become one row per cell.
+    Tasks add up dense matrices, at most ``HELD_BYTES`` of them at once, and hand on d²/2
+    sums per group; these are added row by row in two rounds, first within salted
+    parts of a group's row, and only the totals become one row per cell.
     """
     by = list(by)
     schema = T.StructType(
@@ -110,9 +109,9 @@ def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
                         total += part
                 else:
                     held[name] = sums
-            if len(held) > HELD_GROUPS:
-                yield from _held_rows(held, by, arrow)
-                held = {}
+                if len(held) * 16 * matrix.shape[1] ** 2 > HELD_BYTES:
+                    yield from _held_rows(held, by, arrow)
+                    held = {}
         yield from _held_rows(held, by, arrow)
 
     def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,9 +130,11 @@ def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
             lists = [list_column(part[None, :]) for part in (o, no)]
             yield pa.RecordBatch.from_arrays([*keys, *lists], names=arrow.names)
 
-    rows = series.where(F.col("values").isNotNull()).select(*by, "values").coalesce(width(series.sparkSession))
+    rows = series.where(F.col("values").isNotNull()).select(*by, "values")
     partial = rows.mapInArrow(multiply, schema)
-    whole = partial.repartition(*by, "i").mapInArrow(add_up, schema)
+    part = F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)).alias("part")
+    merged = partial.select("*", part).repartition(*by, "i", "part").drop("part").mapInArrow(add_up, schema)
+    whole = merged.repartition(*by, "i").mapInArrow(add_up, schema)
     cells = whole.select(*by, "i", F.posexplode_outer(F.arrays_zip("o", "no")).alias("at", "s"))
     return cells.select(*by, "i", (F.col("i") + F.col("at")).alias("j"), "s.o", F.col("s.no").cast("long").alias("no"))
 
@@ -145,34 +146,38 @@ def second_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def covariance(series: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Covariance of days i ≤ j: mean product over the series that have both, minus the product of the means."""
+    """Covariance of days i ≤ j: mean product over the series that have both, minus the product of the means.
+
+    On the diagonal, where both means are over the same series, it is the centred variance, so that a
+    large offset does not cancel.
+    """
+    by = list(by)
     cells = stage(augmented_moments(series, by), "moments")
+    centred = stage(variances(series, by), "variances").withColumnsRenamed({"day": "i"})
     means = cells.where((F.col("i") == 0) & (F.col("j") > 0)).select(
         *by, (F.col("j") - 1).alias("day"), F.try_divide("o", "no").alias("mean")
     )
     left = means.withColumnsRenamed({"day": "i", "mean": "mean_i"})
     right = means.withColumnsRenamed({"day": "j", "mean": "mean_j"})
     pairs = cells.where(F.col("i") > 0).withColumns({"i": F.col("i") - 1, "j": F.col("j") - 1})
-    joined = pairs.join(left, [*by, "i"]).join(right, [*by, "j"])
-    cov = F.try_divide(F.col("o"), F.col("no")) - F.col("mean_i") * F.col("mean_j")
+    joined = join_groups(join_groups(join_groups(pairs, left, [*by, "i"]), right, [*by, "j"]), centred, [*by, "i"], "left")
+    product = F.try_divide(F.col("o"), F.col("no")) - F.col("mean_i") * F.col("mean_j")
+    cov = F.when(F.col("i") == F.col("j"), F.col("var")).otherwise(product)
     return joined.select(*by, "i", "j", cov.alias("cov"))
 
 
 def variances(series: DataFrame, by: Sequence[str]) -> DataFrame:
     """The diagonal of the covariance, without the other cells."""
-    stats = explode_days(series, by).groupBy(*by, "day").agg(
-        F.avg(F.col("v") * F.col("v")).alias("square"), F.avg("v").alias("mean")
-    )
-    return stats.select(*by, "day", (F.col("square") - F.col("mean") * F.col("mean")).alias("var"))
+    return explode_days(series, by).groupBy(*by, "day").agg(F.var_pop("v").alias("var"))
 
 
 def mean_std_curves(series: DataFrame, by: Sequence[str], scale: Column | None = None) -> DataFrame:
     """Mean and mean ± deviation per day, divided by ``scale``."""
     scale = F.lit(1.0) if scale is None else scale
     stats = explode_days(series, by).groupBy(*by, "day").agg(
-        F.avg(F.col("v") * F.col("v")).alias("square"), F.avg("v").alias("mean")
+        F.stddev_pop("v").alias("std"), F.avg("v").alias("mean")
     )
-    std = F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))
+    std = F.col("std")
     return stats.select(
         *by,
         "day",

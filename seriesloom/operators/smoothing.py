@@ -15,8 +15,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.operators.ordered import place_rows
+from seriesloom.operators.ordered import join_groups, place_rows
+from seriesloom.staging import stage
 
+# The window.
 ORDER = 101
 STD = 20.0
 BLOCK = 512
@@ -65,7 +67,7 @@ def smooth_blocks(
 
     Missing samples take no part and the weights of the others are scaled up, so
     gaps are filled.  Beyond the ends of a signal there is nothing
-    (``renormalise``) or zero (``zero``).  ``carry`` names further columns to keep.
+    (``renormalise``) or zero (``zero``).  A NULL block is ``length`` missing samples.  ``carry`` names further columns to keep.
     """
     if edges not in EDGES:
         raise ValueError(f"edges must be one of {EDGES}")
@@ -79,6 +81,7 @@ def smooth_blocks(
     def width(distance: int) -> int:
         return min(length, half - (abs(distance) - 1) * length)
 
+    blocks = blocks.withColumn("values", F.coalesce("values", F.array_repeat(F.lit(None).cast("double"), length)))
     own = F.struct(*carry) if carry else F.lit(None).cast("int")
     nothing = F.when(F.lit(False), own)
 
@@ -125,16 +128,20 @@ def smooth_signal(
     edges: str = "renormalise",
     length: int = BLOCK,
 ) -> DataFrame:
-    """Smooth samples at positions 0, 1, 2, …, one row each: ``by…, position, smooth``.
+    """Smooth samples at integer positions, one row each: ``by…, position, smooth``.
 
-    Positions without a row are missing.  A signal ends at its last position.
+    Positions without a row are missing.  A signal starts at 0, or before it at its first position, and ends at its last
+    one; rows without a position are left out.
     """
     by = list(by)
-    last = samples.groupBy(*by).agg(F.max(position).alias("last_"))
+    start = F.least(F.min(position), F.lit(0)).cast("long")
+    ends = stage(samples.where(F.col(position).isNotNull()).groupBy(*by).agg(start.alias("start_"), F.max(position).alias("last_")), "signals")
+    samples = join_groups(samples, ends.drop("last_"), by).withColumn(position, F.col(position) - F.col("start_"))
+    last = ends.select(*by, "start_", (F.col("last_") - F.col("start_")).alias("last_"))
     final = F.floor(F.col("last_") / length)  # numbered in two levels, so that no array is long
-    spans = last.select(*by, "last_", F.explode(F.sequence(F.lit(0).cast("long"), final, F.lit(SPAN))).alias("span_"))
+    spans = last.select(*by, "start_", "last_", F.explode(F.sequence(F.lit(0).cast("long"), final, F.lit(SPAN))).alias("span_"))
     numbers = F.sequence(F.col("span_"), F.least(F.col("span_") + SPAN - 1, final))
-    frame = spans.select(*by, "last_", F.explode(numbers).alias("block_"))
+    frame = spans.select(*by, "start_", "last_", F.explode(numbers).alias("block_"))
     cells = samples.where(F.col(value).isNotNull()).select(
         *by,
         F.floor(F.col(position) / length).alias("block_"),
@@ -142,14 +149,15 @@ def smooth_signal(
     )
     packed = cells.groupBy(*by, "block_").agg(F.map_from_entries(F.collect_list("cell")).alias("cells"))
     size = F.least(F.lit(length), F.col("last_") + 1 - F.col("block_") * length).cast("int")
-    blocks = frame.join(packed, [*by, "block_"], "left").select(
+    blocks = join_groups(frame, packed, [*by, "block_"], "left").select(
         *by,
         "block_",
+        "start_",
         F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.try_element_at("cells", i)).alias("values"),
     )
-    smoothed = smooth_blocks(blocks, by, "block_", length, order, std, edges)
-    rows = smoothed.select(*by, "block_", F.posexplode_outer("values").alias("at_", "smooth"))
-    return rows.select(*by, (F.col("block_") * length + F.col("at_")).alias(position), "smooth")
+    smoothed = smooth_blocks(blocks, by, "block_", length, order, std, edges, ["start_"])
+    rows = smoothed.select(*by, "block_", "start_", F.posexplode_outer("values").alias("at_", "smooth"))
+    return rows.select(*by, (F.col("start_") + F.col("block_") * length + F.col("at_")).alias(position), "smooth")
 
 
 def smooth_series(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from seriesloom.operators.profile import min_max_scaled
 from seriesloom.staging import stage
 
-MARKER_RADIUS = 1200
+MARKER_RADIUS = 1200  # fixed value
 
 
 def station_markers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -56,11 +56,12 @@ class TwoWayCentering:
     The values stay where they are.  What changes are the accumulated effects,
     one small table per side; a half-step is one aggregation of the values with
     both effects subtracted, and its centred variances give the error as well.
+    Cells without a value, a year or a station take no part from the start.
     Effects are staged, so the plan does not grow with the rounds.
     """
 
     def __init__(self, cells: DataFrame, year: str = "year", station: str = "station", value: str = "v"):
-        known = cells.where(F.col(value).isNotNull())
+        known = cells.where(F.col(value).isNotNull() & F.col(year).isNotNull() & F.col(station).isNotNull())
         known = known.select(F.col(year).alias("year"), F.col(station).alias("station"), F.col(value).cast("double").alias("v"))
         self.cells = stage(known, "cells")
         self.effects: dict[str, DataFrame] = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -17,10 +18,15 @@ class NoSuchFile(Exception):
     """The path to read does not exist."""
 
 
+_INTEGER = re.compile(r"[+-]?[0-9]+")
+_NUMBER = re.compile(r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|NaN|[+-]?Inf(?:inity)?")
+
+
 class BadCsvFormat(Exception):
     """The sampled head of a CSV file has no consistent shape or types."""
 
 
+# The columns of the station table.
 STATION_SCHEMA = T.StructType(
     [
         T.StructField("station", T.StringType()),
@@ -106,24 +112,21 @@ def ingest_series(spark: SparkSession, path: str, days: int = 365) -> DataFrame:
 
 
 def _kind(texts: list[str]) -> T.DataType:
-    for convert, kind in ((int, T.IntegerType()), (float, T.DoubleType())):
-        try:
-            for text in texts:
-                convert(text)
-            return kind
-        except ValueError:
-            continue
-    return T.StringType()
+    """Long, double or string, by the numbers that Spark's reader accepts; integers beyond 64 bits are doubles."""
+    if all(_INTEGER.fullmatch(text) and -(1 << 63) <= int(text) < 1 << 63 for text in texts):
+        return T.LongType()
+    return T.DoubleType() if all(_NUMBER.fullmatch(text) for text in texts) else T.StringType()
 
 
 def infer_csv_schema(spark: SparkSession, path: str, head: int = 10) -> T.StructType:
-    """Column names from the header, types from the first ``head`` lines (header included).
+    """Column names from the header, types from the first ``head`` lines (header included) of the first file by name.
 
-    Columns are int, float or string.  A column whose sampled values mix numbers
+    Columns are long, double or string.  A column whose sampled values mix numbers
     with text, or a line with another number of fields, raises ``BadCsvFormat``.
     """
     try:
-        lines = [row[0] for row in spark.read.text(path).limit(head).collect()]
+        files = sorted(spark.read.text(path).inputFiles())
+        lines = [row[0] for row in spark.read.text(files[0]).limit(head).collect()] if files else []
     except AnalysisException as error:
         raise NoSuchFile(path) from error
     if not lines:
@@ -135,7 +138,7 @@ def infer_csv_schema(spark: SparkSession, path: str, head: int = 10) -> T.Struct
     for position, name in enumerate(header):
         column = [row[position] for row in rows]
         kind = _kind(column)
-        numeric = [isinstance(_kind([text]), (T.IntegerType, T.DoubleType)) for text in column]
+        numeric = [isinstance(_kind([text]), (T.LongType, T.DoubleType)) for text in column]
         if isinstance(kind, T.StringType) and any(numeric):
             raise BadCsvFormat(f"column {name} mixes numbers and text")
         fields.append(T.StructField(name, kind, True))

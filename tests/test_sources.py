@@ -31,7 +31,7 @@ def test_csv_types_are_inferred_from_the_head(spark, tmp_path):
     rows = [f"{i},{i / 2},n{i}" for i in range(12)] + ['oops,1.0,x', '7,2.5,"a,b"', "1,2"]
     path.write_text("\n".join(["k,v,name", *rows]) + "\n")
     schema = readers.infer_csv_schema(spark, str(path))
-    assert [f.dataType for f in schema] == [T.IntegerType(), T.DoubleType(), T.StringType()]
+    assert [f.dataType for f in schema] == [T.LongType(), T.DoubleType(), T.StringType()]
     parsed = readers.read_csv_with_bad_lines(spark, str(path))
     assert sorted(r["raw"] for r in parsed.bad.collect()) == ["1,2", "oops,1.0,x"]
     assert parsed.good.count() == 13
