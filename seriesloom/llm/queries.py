@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.llm import chat_format, decontaminate, license_scan, line_dedup, ngram_join, packing, quality_model, quality_rules, span_dedup, token_counts
+from seriesloom.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -183,9 +184,9 @@ FROM r GROUP BY page_id, host
 @query("op4_site_lines", LINES_SQL)
 def op4_site_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Visible text of every page without the lines that its host repeats."""
-    pages = table(spark, folder, "pages")
-    host = line_dedup.host_of(F.col("url"))
-    cleaned = line_dedup.drop_boilerplate(pages.select("page_id", host.alias("host"), "html"), F.col("host"), line_dedup.visible_text(F.col("html")))
+    host, text = line_dedup.host_of(F.col("url")).alias("host"), line_dedup.visible_text(F.col("html")).alias("visible")
+    pages = stage(table(spark, folder, "pages").select("page_id", host, text), "pages")
+    cleaned = line_dedup.drop_boilerplate(pages, F.col("host"), F.col("visible"))
     return cleaned.select("page_id", "host", "cleaned.text", "cleaned.n_lines", "cleaned.n_dropped")
 
 
