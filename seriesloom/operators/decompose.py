@@ -160,10 +160,10 @@ def _fit(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
     return _dense_fit(series, bases, by)
 
 
-def _remaining(norm: Column, coefficient: Column) -> Column:
-    """Squared length without the part along one more vector; rounding may not take it below zero."""
-    rest = norm - coefficient * coefficient
-    return F.when(rest < 0, 0.0).otherwise(rest)
+def _remaining(coefficients: Sequence[Column]) -> list[Column]:
+    """Squared lengths without the parts along the first 0, 1, 2, … vectors; rounding may not take them below zero."""
+    rests = accumulate(coefficients, lambda norm, c: norm - c * c, initial=F.col("fit.norm"))
+    return [F.when(rest < 0, 0.0).otherwise(rest) for rest in rests]
 
 
 def decompose(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
@@ -177,7 +177,7 @@ def decompose(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = (
     """
     fitted = _fit(series, basis, by)
     coeff = [F.get("fit.coeffs", F.lit(i)) for i in range(k)]
-    norms = list(accumulate(coeff, _remaining, initial=F.col("fit.norm")))
+    norms = _remaining(coeff)
     names = ["res_mean", *[f"res_{i + 1}" for i in range(k)]]
     return fitted.select(
         *series.columns,
@@ -191,11 +191,7 @@ def residual_curve(series: DataFrame, basis: DataFrame, functions: int, by: Sequ
     """Length of what the first i basis functions leave of a series, i = 0 … functions: ``keys…, i, residual``."""
     keys = [c for c in series.columns if c != "values"]
     fitted = _fit(series, basis, by)
-    norms = accumulate(
-        [F.get("fit.coeffs", F.lit(i)) for i in range(functions)],
-        _remaining,
-        initial=F.col("fit.norm"),
-    )
+    norms = _remaining([F.get("fit.coeffs", F.lit(i)) for i in range(functions)])
     # Outer, because the filter that Spark adds to a plain explode would fit every series twice.
     lengths = fitted.select(*keys, F.array(*[F.sqrt(n) for n in norms]).alias("lengths"))
     return lengths.select(*keys, F.posexplode_outer("lengths").alias("i", "residual"))

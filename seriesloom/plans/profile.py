@@ -8,20 +8,51 @@ from seriesloom.functions import vectors as vec
 from seriesloom.operators import layout, ordered, profile
 from seriesloom.plans.registry import query
 from seriesloom.plans.views import SERIES_LONG_SQL, r6, series, table
+from seriesloom.staging import stage
 
 DECILES = [i / 10 for i in range(1, 10)]
 
 
-@query("approx_distinct")
+# What depends on chance or on a sketch is returned as a quantity that does not, next to a flag whether the
+# outcome lies within the bounds that it has to keep.
+
+
+def near(found, expected, deviation):
+    """Whether a count lies within six deviations of the one expected."""
+    return F.abs(found - expected) <= 6 * deviation + 1
+
+
+def _binomial(rows, found, share: float):
+    return near(found, rows * share, F.sqrt(rows * (share * (1 - share))))
+
+
+@query("approx_distinct", "SELECT count(DISTINCT o_custkey) AS customers, true AS within FROM orders")
 def approx_distinct(spark, folder):
-    return table(spark, folder, "orders").agg(F.approx_count_distinct("o_custkey", 0.02).alias("customers"))
+    exact = F.count_distinct("o_custkey").alias("customers")
+    found = table(spark, folder, "orders").agg(exact, F.approx_count_distinct("o_custkey", 0.02).alias("sketch"))
+    within = F.abs(F.col("sketch") - F.col("customers")) <= 5 * 0.02 * F.col("customers")
+    return found.select("customers", within.alias("within"))
 
 
-@query("approx_quantiles")
+@query("approx_quantiles", f"SELECT unnest({DECILES})::DOUBLE AS prob, error::DOUBLE AS error, true AS within FROM (VALUES (0.1), (0.01)) AS e(error)")
 def approx_quantiles(spark, folder):
-    coarse = profile.approx_quantiles(table(spark, folder, "lineitem"), "l_extendedprice", DECILES, 0.1)
-    fine = profile.approx_quantiles(table(spark, folder, "lineitem"), "l_extendedprice", DECILES, 0.01)
-    return coarse.withColumn("error", F.lit(0.1)).unionByName(fine.withColumn("error", F.lit(0.01)))
+    prices = table(spark, folder, "lineitem").select("l_extendedprice")
+    found = None
+    for error in (0.1, 0.01):
+        one = profile.approx_quantiles(prices, "l_extendedprice", DECILES, error).withColumn("error", F.lit(error))
+        found = one if found is None else found.unionByName(one)
+    asked = stage(found.agg(F.array_sort(F.collect_list(F.struct("error", "prob", "quantile"))).alias("asked")), "asked")
+    at = lambda i: F.get("asked", F.lit(i))
+    price = F.col("l_extendedprice")
+    marked = prices.withColumn("asked", asked.scalar())
+    ranks = [
+        F.struct(F.first(at(i)).alias("q"), F.count_if(price < at(i)["quantile"]).alias("below"), F.count_if(price <= at(i)["quantile"]).alias("upto"))
+        for i in range(2 * len(DECILES))
+    ]
+    rows = marked.agg(F.count(price).alias("n"), F.array(*ranks).alias("ranks")).select("n", F.explode("ranks").alias("r"))
+    low, high = (F.col("r.q.prob") - F.col("r.q.error")) * F.col("n"), (F.col("r.q.prob") + F.col("r.q.error")) * F.col("n")
+    within = (F.col("r.below") <= high + 1) & (F.col("r.upto") >= low - 1)
+    return rows.select("r.q.prob", "r.q.error", within.alias("within"))
 
 
 @query(
@@ -91,18 +122,27 @@ def freq_items(spark, folder):
     return profile.frequent_items(table(spark, folder, "documents"), "lang", 0.12)
 
 
-@query("sample_by")
+SHARES = {"error": 0.5, "purchase": 0.1, "click": 0.01}
+
+
+@query("sample_by", "SELECT event_type, count(*) AS total, true AS within FROM events GROUP BY 1")
 def sample_by(spark, folder):
-    kept = table(spark, folder, "events").sampleBy("event_type", {"error": 0.5, "purchase": 0.1, "click": 0.01}, seed=7)
-    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    events = table(spark, folder, "events")
+    kept = events.sampleBy("event_type", SHARES, seed=7).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    share = F.coalesce(*[F.when(F.col("event_type") == kind, part) for kind, part in SHARES.items()], F.lit(0.0))
+    totals = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("total")).join(kept, "event_type", "left")
+    within = near(F.coalesce("n", F.lit(0)), F.col("total") * share, F.sqrt(F.col("total") * share * (1 - share)))
+    return totals.select("event_type", "total", within.alias("within"))
 
 
-@query("sample_frac")
+@query("sample_frac", "SELECT count(*) AS total, true AS without, true AS with_replacement FROM lineitem")
 def sample_frac(spark, folder):
     rows = table(spark, folder, "lineitem")
-    without = rows.sample(withReplacement=False, fraction=0.1, seed=7).agg(F.count(F.lit(1)).alias("without"))
-    with_ = rows.sample(withReplacement=True, fraction=0.1, seed=7).agg(F.count(F.lit(1)).alias("with"))
-    return without.withColumn("with", with_.scalar())
+    total = rows.agg(F.count(F.lit(1)).alias("total"))
+    sizes = [rows.sample(withReplacement=w, fraction=0.1, seed=7).agg(F.count(F.lit(1))).scalar() for w in (False, True)]
+    counted = total.select("total", sizes[0].alias("n"), sizes[1].alias("m"))
+    again = near(F.col("m"), F.col("total") * 0.1, F.sqrt(F.col("total") * 0.1))
+    return counted.select("total", _binomial(F.col("total"), F.col("n"), 0.1).alias("without"), again.alias("with_replacement"))
 
 
 @query(
@@ -243,20 +283,30 @@ def rank_slices(spark, folder):
 # -------------------------------------------------------------------- layout
 
 
-@query("partition_sizes")
+def _totals(sizes, *keys):
+    """Rows and partitions, and whether no partition has over twice the mean."""
+    level = F.max("n") <= 2 * F.avg("n")
+    return sizes.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("partitions"), level.alias("level"))
+
+
+@query("partition_sizes", "SELECT count(*) AS n, 16 AS partitions, true AS level FROM lineitem")
 def partition_sizes(spark, folder):
     keyed = layout.rebalance(table(spark, folder, "lineitem").select("l_orderkey"), 16, "l_orderkey")
-    return layout.partition_sizes(keyed, 16)
+    return _totals(layout.partition_sizes(keyed, 16))
 
 
-@query("rebalance")
+@query(
+    "rebalance",
+    """SELECT layout, count(*) AS n, 10 AS partitions, layout = 'levelled' AS level
+       FROM lineitem, (VALUES ('filtered'), ('levelled')) AS l(layout) WHERE l_returnflag = 'R' GROUP BY layout""",
+)
 def rebalance(spark, folder):
     # A filter on the partitioning key empties most partitions; round robin levels them again.
     keyed = layout.rebalance(table(spark, folder, "lineitem").select("l_orderkey", "l_returnflag"), 10, "l_returnflag")
     few = keyed.where(F.col("l_returnflag") == "R")
     before = layout.partition_sizes(few, 10).withColumn("layout", F.lit("filtered"))
     after = layout.partition_sizes(layout.rebalance(few, 10), 10).withColumn("layout", F.lit("levelled"))
-    return before.unionByName(after)
+    return _totals(before.unionByName(after), "layout")
 
 
 @query(

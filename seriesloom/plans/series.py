@@ -10,9 +10,10 @@ from seriesloom.operators import decompose as dec
 from seriesloom.operators import ordered
 from seriesloom.operators import series_stats as stats
 from seriesloom.operators.profile import scaled_units
+from seriesloom.plans.profile import near
 from seriesloom.plans.registry import query
 from seriesloom.plans.views import DAYS, SERIES_LONG_SQL, r6, series, table
-from seriesloom.staging import scratch_path
+from seriesloom.staging import scratch_path, stage
 
 BY = ["measurement"]
 TENTHS = ["M0", "M1", "M2", "M3"]
@@ -30,9 +31,18 @@ def series_value_stats(spark, folder):
     return found.select("measurement", "n", *[r6(F.col(c)).alias(c) for c in found.columns if c not in ("measurement", "n")])
 
 
-@query("series_value_sample")
+@query(
+    "series_value_sample",
+    f"WITH {SERIES_LONG_SQL} SELECT measurement, count(v) AS total, 0 AS strangers, true AS within FROM series_long GROUP BY 1",
+)
 def series_value_sample(spark, folder):
-    return stats.value_sample(series(spark, folder), BY, 0.05, seed=7)
+    sample = stats.value_sample(series(spark, folder), BY, 0.05, seed=7).groupBy("measurement", "v").agg(F.count(F.lit(1)).alias("n"))
+    values = stats.explode_days(series(spark, folder), BY).where("v IS NOT NULL").groupBy("measurement", "v").agg(F.count(F.lit(1)).alias("there"))
+    both = values.join(sample, ["measurement", "v"], "full")
+    more = F.greatest(F.coalesce("n", F.lit(0)) - F.coalesce("there", F.lit(0)), F.lit(0))
+    found = both.groupBy("measurement").agg(F.sum("there").alias("total"), F.sum(more).alias("strangers"), F.sum("n").alias("n"))
+    within = near(F.col("n"), F.col("total") * 0.05, F.sqrt(F.col("total") * (0.05 * 0.95)))
+    return found.select("measurement", "total", "strangers", within.alias("within"))
 
 
 @query(
@@ -103,20 +113,57 @@ def var_distance(spark, folder):
     return distances.withColumn("distance", r6(F.col("distance")))
 
 
-@query("pca_eig")
+_COV_SQL = f"""{_MOMENTS_SQL}, cov AS (
+  SELECT m.measurement, i, j, coalesce(o / nullif(no, 0) - a.mean * b.mean, 0) AS cov FROM moments m
+  JOIN means a ON a.measurement = m.measurement AND a.day = i JOIN means b ON b.measurement = m.measurement AND b.day = j)"""
+
+
+@query(
+    "pca_eig",
+    f"""WITH {_COV_SQL} SELECT measurement, {DAYS} AS components, round(sum(CASE WHEN i = j THEN cov ELSE 0 END), 6) + 0.0 AS trace,
+        round(sum(CASE WHEN i = j THEN cov * cov ELSE 2 * cov * cov END), 6) + 0.0 AS squares FROM cov GROUP BY 1""",
+)
 def pca_eig(spark, folder):
-    return stats.principal_components(series(spark, folder), BY)
+    """The eigenvalues add up to the trace of the covariance, their squares to those of its cells."""
+    components = stats.principal_components(series(spark, folder), BY)
+    squares = F.sum(F.col("eigval") * F.col("eigval"))
+    return components.groupBy("measurement").agg(
+        F.count(F.lit(1)).alias("components"), r6(F.sum("eigval")).alias("trace"), r6(squares).alias("squares")
+    )
 
 
-@query("eigvec_long")
+@query(
+    "eigvec_long",
+    f"""WITH {SERIES_LONG_SQL} SELECT DISTINCT measurement, unnest([1, 2, 3, 4]) AS rank, {DAYS} AS days, 1.0::DOUBLE AS length,
+        0.0::DOUBLE AS overlap FROM series_long""",
+)
 def eigvec_long(spark, folder):
-    return stats.eigenvector_table(stats.principal_components(series(spark, folder), BY, 4), BY, 4)
+    """The vectors have unit length, and each is orthogonal to the one before."""
+    long = stage(stats.eigenvector_table(stats.principal_components(series(spark, folder), BY, 4), BY, 4), "eigenvectors")
+    before = long.select("measurement", (F.col("rank") + 1).alias("rank"), "day", F.col("value").alias("previous"))
+    both = long.join(before, ["measurement", "rank", "day"], "left")
+    overlap = F.abs(F.sum(F.col("value") * F.coalesce("previous", F.lit(0.0))))
+    return both.groupBy("measurement", "rank").agg(
+        F.count(F.lit(1)).alias("days"), r6(F.sum(F.col("value") * F.col("value"))).alias("length"), (r6(overlap) + 0.0).alias("overlap")
+    )
 
 
-@query("variance_explained")
+@query(
+    "variance_explained",
+    f"""WITH {SERIES_LONG_SQL} SELECT DISTINCT measurement, {DAYS} + 1 AS ranks, 0.0::DOUBLE AS at_none, 1.0::DOUBLE AS at_all, true AS slowing
+        FROM series_long""",
+)
 def variance_explained(spark, folder):
+    """The shares go from 0 to 1 in steps that never grow."""
     components = stats.principal_components(series(spark, folder), BY)
-    return ordered.cumulative_share(components, "eigval", "rank", BY).where(F.col("rank") <= 10)
+    shares = ordered.cumulative_share(components, "eigval", "rank", BY)
+    rising = F.array_sort(F.collect_list(F.struct("rank", "share")))
+    curve = shares.groupBy("measurement").agg(F.transform(rising, lambda s: s["share"]).alias("s"))
+    steps = F.zip_with(F.slice("s", 2, DAYS), F.slice("s", 1, DAYS), lambda b, a: b - a)
+    slowing = F.forall(F.zip_with(F.slice(steps, 2, DAYS - 1), F.slice(steps, 1, DAYS - 1), lambda b, a: b <= a + 1e-12), lambda ok: ok)
+    return curve.select(
+        "measurement", F.size("s").alias("ranks"), F.get("s", F.lit(0)).alias("at_none"), r6(F.element_at("s", -1)).alias("at_all"), slowing.alias("slowing")
+    )
 
 
 # -------------------------------------------------------------------- Fourier
@@ -199,10 +246,22 @@ def decompose_fixed_basis(spark, folder):
     return _rounded(_decomposed(spark, folder), "station")
 
 
-@query("decompose_pca")
+@query(
+    "decompose_pca",
+    f"""WITH {SERIES_LONG_SQL}, means AS (SELECT measurement, day, coalesce(avg(v), 0) AS mean FROM series_long GROUP BY 1, 2)
+        SELECT station, round(sum(v * v), 6) AS total_var, round(sum(coalesce(v - mean, 0) * coalesce(v - mean, 0)) / sum(v * v), 6) AS res_mean,
+        round(sum(coalesce(v - mean, 0) * coalesce(v - mean, 0)), 6) AS squared_coefficients, 0.0::DOUBLE AS res_all
+        FROM series_long JOIN means USING (measurement, day) GROUP BY 1""",
+)
 def decompose_pca(spark, folder):
+    """On all components the squared coefficients add up to the squared deviation from the mean, and nothing is left."""
     given = series(spark, folder)
-    return dec.decompose(given, dec.component_basis(given, BY, 5), 5, BY)
+    fitted = stage(dec.decompose(given, dec.component_basis(given, BY, DAYS), DAYS, BY), "fitted")
+    squares = F.aggregate(F.array(*[F.col(f"coeff_{i + 1}") for i in range(DAYS)]), F.lit(0.0), lambda total, c: total + c * c)
+    return fitted.select(
+        "station", r6(F.col("total_var")).alias("total_var"), r6(F.col("res_mean")).alias("res_mean"),
+        r6(squares).alias("squared_coefficients"), (r6(F.col(f"res_{DAYS}")) + 0.0).alias("res_all"),
+    )
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.functions.halfprec import pack_half, unpack_half
+from seriesloom.plans.profile import near
 from seriesloom.plans.registry import query
 from seriesloom.plans.views import DAYS, SERIES_LONG_SQL, r6, series, table
 from seriesloom.sources import readers
@@ -191,16 +192,27 @@ def parquet_roundtrip(spark, folder):
     return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query("sample_write")
+@query("sample_write", "SELECT count(*) AS total, 0 AS strangers, true AS within FROM lineitem")
 def sample_write(spark, folder):
     path = scratch_path(spark, "sample")
     rows = table(spark, folder, "lineitem")
     rows.sample(withReplacement=False, fraction=0.001, seed=7).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    written = spark.read.parquet(path)
+    strangers = written.join(rows, ["l_orderkey", "l_linenumber", "l_extendedprice"], "left_anti").agg(F.count(F.lit(1)))
+    found = rows.agg(F.count(F.lit(1)).alias("total")).select(
+        "total", strangers.scalar().alias("strangers"), written.agg(F.count(F.lit(1))).scalar().alias("n")
+    )
+    within = near(F.col("n"), F.col("total") * 0.001, F.sqrt(F.col("total") * (0.001 * 0.999)))
+    return found.select("total", "strangers", within.alias("within"))
 
 
-@query("unpack_f16")
+@query(
+    "unpack_f16",
+    f"""WITH {SERIES_LONG_SQL}, scaled AS (SELECT *, power(2, floor(log2(abs(v::FLOAT::DOUBLE))) - 10) AS unit FROM series_long)
+        SELECT station, day, round_even(v::FLOAT::DOUBLE / unit, 0) * unit AS v, 0 AS overflowed FROM scaled""",
+)
 def unpack_f16(spark, folder):
+    """Half floats keep eleven bits, rounded to the nearest and to even."""
     packed = series(spark, folder).select("station", pack_half(F.col("values").cast("array<float>")).alias("packed"))
     opened = packed.select("station", unpack_half(F.col("packed")).alias("u"))
-    return opened.select("station", "u.values", "u.overflowed")
+    return opened.select("station", F.posexplode("u.values").alias("day", "v"), "u.overflowed").withColumn("v", F.col("v").cast("double"))

@@ -4,8 +4,8 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_points
+from seriesloom.plans import ORACLES, QUERIES
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")

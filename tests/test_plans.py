@@ -4,9 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
+from seriesloom.plans import QUERIES
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 # Dense kernels or exact integer geometry on Arrow batches.
 ARROW = {
     "collinear_sets", "series_second_moments", "gauss_smooth", "gauss_smooth_zero_edges", "smooth_append", "neighbour_diff",
