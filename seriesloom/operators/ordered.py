@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesloom.staging import stage
+from seriesloom.staging import passing, stage
 
 ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 STRETCH = 1 << 20  # places per stretch when values are looked up by place
@@ -158,28 +158,29 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     of any size spreads over many tasks and no task holds the values of a group.
     """
     by = list(by)
-    ranked, _ = _ranked(value_counts(df, value, by), [value], by, weighted=True)
-    starts = _group_starts(ranked, by, weighted=True)
-    position = F.col("prob") * (F.col("total") - 1)
-    asked = starts.where(F.col("total") > 0).withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    asked = asked.select(*by, "prob", "start_", position.alias("position"))
-    sides = F.array(F.floor("position"), F.ceil("position"))
-    wanted = asked.select(*by, "prob", "position", "start_", F.posexplode(sides).alias("side", "rank"))
-    wanted = wanted.withColumn("place", F.col("start_") + F.col("rank"))
-    wanted = stage(wanted.withColumn("stretch", F.floor(F.col("place") / STRETCH)), "wanted")
-
-    first, last = F.floor(F.col("before_") / STRETCH), F.floor((F.col("before_") + F.col("n") - 1) / STRETCH)
-    steps = ranked.select(
-        F.col(value).cast("double").alias("at"), "before_", "n", F.explode(F.sequence(first, last)).alias("stretch")
-    )
-    inside = (F.col("before_") <= F.col("place")) & (F.col("place") < F.col("before_") + F.col("n"))
-    met = steps.join(wanted, "stretch").where(inside)
-    ends = met.groupBy(*by, "prob", "position").agg(
-        F.max(F.when(F.col("side") == 0, F.col("at"))).alias("low"),
-        F.max(F.when(F.col("side") == 1, F.col("at"))).alias("high"),
-    )
-    blend = F.col("low") + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position"))
-    return ends.select(*by, "prob", blend.alias("quantile"))
+    with passing() as keep:  # the sorted values go when the few quantiles are known
+        ranked, _ = _ranked(value_counts(df, value, by), [value], by, weighted=True)
+        starts = _group_starts(ranked, by, weighted=True)
+        position = F.col("prob") * (F.col("total") - 1)
+        asked = starts.where(F.col("total") > 0).withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        asked = asked.select(*by, "prob", "start_", position.alias("position"))
+        sides = F.array(F.floor("position"), F.ceil("position"))
+        wanted = asked.select(*by, "prob", "position", "start_", F.posexplode(sides).alias("side", "rank"))
+        wanted = wanted.withColumn("place", F.col("start_") + F.col("rank"))
+        wanted = stage(wanted.withColumn("stretch", F.floor(F.col("place") / STRETCH)), "wanted")
+
+        first, last = F.floor(F.col("before_") / STRETCH), F.floor((F.col("before_") + F.col("n") - 1) / STRETCH)
+        steps = ranked.select(
+            F.col(value).cast("double").alias("at"), "before_", "n", F.explode(F.sequence(first, last)).alias("stretch")
+        )
+        inside = (F.col("before_") <= F.col("place")) & (F.col("place") < F.col("before_") + F.col("n"))
+        met = steps.join(wanted, "stretch").where(inside)
+        ends = met.groupBy(*by, "prob", "position").agg(
+            F.max(F.when(F.col("side") == 0, F.col("at"))).alias("low"),
+            F.max(F.when(F.col("side") == 1, F.col("at"))).alias("high"),
+        )
+        blend = F.col("low") + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position"))
+        return keep(stage(ends.select(*by, "prob", blend.alias("quantile")), "quantiles"))
 
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions import tokens as tok
 from seriesloom.operators.ordered import chunked_lists
+from seriesloom.operators.sets import skewed_outer_join
 from seriesloom.operators.text import each, with_group
 from seriesloom.plans.registry import query
 from seriesloom.plans.views import WORDS_SQL, messages, table, user_groups
@@ -13,7 +14,9 @@ from seriesloom.sources.readers import spread
 
 # --------------------------------------------------------------------- joins
 # No join carries a hint: Spark broadcasts a side below its size threshold and
-# otherwise shuffles, with adaptive splitting of keys that hold many rows.
+# otherwise shuffles, with adaptive splitting of keys that hold many rows.  It cannot split
+# a key on the optional side of an outer join; such joins are an inner join, which it can
+# split, and the rows without a partner, for which one row per key is enough.
 
 
 @query(
@@ -33,7 +36,7 @@ def join_inner(spark, folder):
 def join_left(spark, folder):
     left = table(spark, folder, "customer").select(F.col("c_custkey").alias("k"), "c_nationkey")
     right = table(spark, folder, "events").select(F.col("user_id").alias("k"), "event_id")
-    return left.join(right, "k", "left")
+    return skewed_outer_join(left, right, "k", "left")
 
 
 @query(
@@ -54,7 +57,7 @@ def join_right(spark, folder):
 def join_full(spark, folder):
     left = table(spark, folder, "labels").select(F.col("doc_id").alias("k"), "quality")
     right = table(spark, folder, "embeddings").select(F.col("vec_id").alias("k"), "label")
-    return left.join(right, "k", "full")
+    return skewed_outer_join(left, right, "k", "full")
 
 
 @query("join_anti", "SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")

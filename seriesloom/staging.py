@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FOLDERS: dict[str, str] = {}
+_OWNERS: list[dict[str, DataFrame]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,4 +53,35 @@ def stage(df: DataFrame, label: str = "staged") -> DataFrame:
     """Write ``df`` once and return the table read back."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _OWNERS:
+        _OWNERS[-1][path] = table
+    return table
+
+
+@contextmanager
+def passing() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables that are staged inside when the block ends, also by an error.
+
+    The block gets a function that keeps a staged table; it then belongs to the block around, if there is
+    one, or to the session.  Nothing that still reads the other tables may leave the block.
+    """
+    owned: dict[str, DataFrame] = {}
+    _OWNERS.append(owned)
+
+    def keep(table: DataFrame) -> DataFrame:
+        path = next(path for path, staged in owned.items() if staged is table)
+        del owned[path]
+        outer = _OWNERS[: _OWNERS.index(owned)]
+        if outer:
+            outer[-1][path] = table
+        return table
+
+    try:
+        yield keep
+    finally:
+        _OWNERS.remove(owned)
+        for path, table in owned.items():
+            spark = table.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

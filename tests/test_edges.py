@@ -126,3 +126,13 @@ def test_csv_of_large_keys(spark, tmp_path):
     (tmp_path / "b.csv").write_text("k,v\n" + "oops,1\n" * 2000)  # the larger file does not give the head
     parsed = readers.read_csv_with_bad_lines(spark, str(tmp_path))
     assert {r.k for r in parsed.good.collect()} == {3000000000, 2} and parsed.bad.count() == 2000
+
+
+def test_outer_joins_with_a_crowded_key(spark):
+    from seriesloom.operators.sets import skewed_outer_join
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (1, "d")], "k int, x string")
+    right = spark.createDataFrame([(1, i) for i in range(50)] + [(3, 1), (None, 2)], "k int, y int")
+    for how in ("left", "full"):
+        got, usual = skewed_outer_join(left, right, "k", how).select("k", "x", "y"), left.join(right, "k", how).select("k", "x", "y")
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, usual.collect()))
