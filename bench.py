@@ -1,7 +1,8 @@
 """Times the headline queries and prints one JSON line.
 
 Every query is run once untimed on the smallest tables, so that the figures
-show the work on the data and not the start of the JVM and of the Python workers.
+show the work on the data and not the start of the JVM and of the Python workers;
+then three times on the data, of which the median counts.
 """
 
 from __future__ import annotations
@@ -10,12 +11,14 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from seriesloom.plans import QUERIES  # noqa: E402
 from seriesloom.session import build_session  # noqa: E402
 
+RUNS = 3
 HEADLINES = [
     "count_rows",
     "sql_on_parquet",
@@ -72,7 +75,7 @@ def main() -> None:
     warm = os.path.join(os.path.dirname(folder), "sf0.001")
     for name in HEADLINES:
         run(spark, name, warm if os.path.isdir(warm) else folder)
-    times = {name: run(spark, name, folder) for name in HEADLINES}
+    times = {name: median(run(spark, name, folder) for _ in range(RUNS)) for name in HEADLINES}
     spark.stop()
     report = {
         "metric": "headline_queries_total",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions import vectors as vec
 from seriesloom.functions.arrowtools import groups_of, padded_matrix
-from seriesloom.operators.ordered import join_groups, rank_slices
+from seriesloom.operators.ordered import ecdf, join_groups, rank_slices
 from seriesloom.operators.series_stats import day_stats, principal_components
 from seriesloom.staging import stage
 
@@ -207,20 +207,31 @@ def reconstruct(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] =
     return fitted.select(*keys, F.posexplode_outer(F.array(*steps)).alias("k", "approximation"))
 
 
+def _fitted_once(decomposed: DataFrame) -> DataFrame:
+    """The decomposition as a table without the vectors: what filters and ranks it would otherwise run the fit again."""
+    return stage(decomposed.drop("values"), "decomposition")
+
+
+def fit_distributions(decomposed: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Empirical distributions of coefficients and residuals, in one job: ``column, value`` and the ranks of ``ecdf``."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    return ecdf(decomposed.select(F.inline_outer(pairs)), "value", ["column"])
+
+
 def beats_mean(decomposed: DataFrame, stations: DataFrame) -> DataFrame:
     """Series that the mean describes better than zero does, with their station's columns."""
-    return decomposed.where(F.col("res_mean") < 1).join(stations, "station", "left")
+    return _fitted_once(decomposed).where(F.col("res_mean") < 1).join(stations, "station", "left")
 
 
 def fit_extremes(decomposed: DataFrame, column: str, ties: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Best 12, worst 4, and two bands of bad fits (ranks 501–504 and 1001–1004 from the end) by a residual."""
     slices = [(0, 12), (-4, None), (-504, -500), (-1004, -1000)]  # fixed values: the ranks shown
-    return rank_slices(decomposed, [column, *ties], slices, by)
+    return rank_slices(_fitted_once(decomposed), [column, *ties], slices, by)
 
 
 def coefficient_extremes(
     decomposed: DataFrame, coefficient: str, residual: str, limit: float, ties: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """Among well-fitted series the 12 lowest and the 12 highest by a coefficient."""
-    fitting = decomposed.where(F.col(residual) < limit)
+    fitting = _fitted_once(decomposed).where(F.col(residual) < limit)
     return rank_slices(fitting, [coefficient, *ties], [(0, 12), (-12, None)], by)

@@ -311,3 +311,18 @@ def fit_extremes(spark, folder):
 def coefficient_extremes(spark, folder):
     pieces = dec.coefficient_extremes(_decomposed(spark, folder), "coeff_2", "res_2", 0.9, ["station"])
     return _rounded(pieces, "piece", "station")
+
+
+_CURVES = ["coeff_1", "coeff_2", "res_mean", "res_1", "res_2", "res_3"]
+
+
+@query(
+    "fit_cdf",
+    f"""WITH {_DECOMPOSED_SQL}, long AS ({' UNION ALL '.join(f"SELECT '{c}' AS name, round({c}, 6) AS value FROM decomposed" for c in _CURVES)}),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY value) AS rn, count(*) OVER (PARTITION BY name) AS n FROM long WHERE value IS NOT NULL)
+        SELECT name, value, min(rn) AS first_rank, max(rn) AS last_rank, round(min(rn) / (any_value(n) + 1), 6) + 0.0 AS p_first,
+               round(max(rn) / (any_value(n) + 1), 6) + 0.0 AS p_last FROM ranked GROUP BY 1, 2""",
+)
+def fit_cdf(spark, folder):
+    curves = dec.fit_distributions(_rounded(_decomposed(spark, folder), "station"), _CURVES)
+    return curves.withColumnRenamed("column", "name").withColumns({c: r6(F.col(c)) for c in ("p_first", "p_last")})

@@ -10,7 +10,7 @@ from seriesloom.plans import QUERIES
 ARROW = {
     "collinear_sets", "series_second_moments", "gauss_smooth", "gauss_smooth_zero_edges", "smooth_append", "neighbour_diff",
     "pca_eig", "eigvec_long", "variance_explained", "unpack_f16", "fourier_residuals", "decompose_fixed_basis",
-    "decompose_pca", "reconstruct", "fit_extremes", "coefficient_extremes",
+    "decompose_pca", "reconstruct", "fit_extremes", "coefficient_extremes", "fit_cdf",
 }
 
 
@@ -62,3 +62,9 @@ def test_blocks_of_a_signal_are_spread_and_smoothed_once(spark, tables):
 def test_one_pass_per_direction_of_slices(spark, tables):
     text = plan(QUERIES["rank_slices"](spark, tables))
     assert text.count("FileScan") == 2
+
+
+def test_series_are_fitted_once(spark, tables):
+    """The ranks and filters read a table of the fits, so no plan holds the fit a second time."""
+    for name in ("fit_extremes", "coefficient_extremes", "decompose_filter", "fit_cdf"):
+        assert plan(QUERIES[name](spark, tables)).count("ArrowEvalPython") <= 1
