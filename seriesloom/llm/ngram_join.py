@@ -1,10 +1,11 @@
 """Jaccard self-join of word n-gram sets, filtered under several global token orders.
 
 Two sets with a similarity of at least t share a token among the first
-n - ceil(t n) + 1 tokens of each under every global order.  The first order puts
-frequent tokens last, then goes by hash; candidates are sets that share a token
-of these prefixes.  They must also share a prefix token under two other orders, and only
-those are compared in full.
+n - ceil(t n) + 1 tokens of each under every global order.  All orders go by the number of repetitions
+found in the corpus, rare tokens first, and each by a hash of its own among equals.  Candidates are sets
+that share a token of their prefixes under the first order.  They must also share a
+prefix token under two other orders, and the counts of their tokens in bins must allow
+the similarity; only then are they compared in full.
 
 Equal sets are one node.  In a group of sets that share a token, all are first
 compared with one of them; after that only sets of different components are still
@@ -14,11 +15,14 @@ components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +33,9 @@ from seriesloom.staging import stage
 
 NGRAM = 5
 PERCENT = 80
-HOT = 64
-FREQUENT_TOKENS = 1_000_000
+BLOCK_TOKENS = 4_000_000
+REPEATED_TOKENS = 1_000_000
+BIN_BITS = 9
 CACHED_WORDS = 500_000
 _LONGS, _INTS = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
 
@@ -60,16 +65,32 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def prefix(tokens: np.ndarray, order: int, percent: int, frequent: np.ndarray | None = None) -> np.ndarray:
-    """The first tokens of a set under an order; ``frequent`` ones come last."""
-    rank = mixed(tokens, order)
-    if frequent is not None and len(frequent):
-        at = np.searchsorted(frequent, tokens)
-        late = frequent[np.minimum(at, len(frequent) - 1)] == tokens
-        chosen = np.lexsort((rank, late))
-    else:
-        chosen = np.argsort(rank)
-    return tokens[chosen[: prefix_length(len(tokens), percent)]]
+@dataclass(frozen=True)
+class Repeated:
+    """Sorted tokens that are repeated in the corpus, and how often; all others count as not repeated."""
+
+    tokens: np.ndarray
+    counts: np.ndarray
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.tokens):
+            return np.zeros(len(tokens), np.int64)
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == tokens, self.counts[at], 0)
+
+
+def prefixes(tokens: np.ndarray, orders: Sequence[int], percent: int, repeated: Repeated) -> list[np.ndarray]:
+    """The first tokens of a set under each of the orders."""
+    if not len(tokens):
+        return [tokens for _ in orders]
+    counts, length = repeated.of(tokens), prefix_length(len(tokens), percent)
+    return [tokens[np.lexsort((mixed(tokens, order), counts))[:length]] for order in orders]
+
+
+def binned(tokens: np.ndarray) -> bytes | None:
+    """Tokens per bin, a byte each; None if a bin has more than fit.  The bins of two sets bound their intersection."""
+    counts = np.bincount((mixed(tokens, 5) >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
 
 
 def _name(tokens: np.ndarray) -> tuple[int, int]:
@@ -83,7 +104,46 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
 
 
-def _signatures(documents: DataFrame, width: int, percent: int) -> DataFrame:
+def _repeated(documents: DataFrame, width: int) -> Repeated:
+    """Tokens that are repeated inside blocks of documents, with their number in all such blocks together.
+
+    Any such choice gives valid orders; it only has to hold the tokens of boilerplate and common passages.  Of more
+    than ``REPEATED_TOKENS`` only those repeated more often are taken.
+    """
+
+    def repeated(block: list[np.ndarray]) -> pa.RecordBatch:
+        tokens, counts = np.unique(np.concatenate(block), return_counts=True)
+        again = counts > 1
+        return pa.RecordBatch.from_arrays([pa.array(tokens[again].view(np.int64)), pa.array(counts[again].astype(np.int64))], names=["token", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, block, seen, size = WordHashes(), [], set(), 0
+        for batch in batches:
+            for part in text_slices(batch):
+                for text in raw_texts(part):
+                    tokens = shingles(text, width, known)
+                    name = _name(tokens)
+                    if len(tokens) and name not in seen:
+                        seen.add(name)
+                        block.append(tokens)
+                        size += len(tokens)
+                if size > BLOCK_TOKENS:
+                    yield repeated(block)
+                    block, seen, size = [], set(), 0
+        if block:
+            yield repeated(block)
+
+    counts = documents.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts, least = stage(counts, "repeated"), 2
+    while counts.where(F.col("n") >= least).count() > REPEATED_TOKENS:
+        least *= 2
+    found = counts.where(F.col("n") >= least).toArrow()
+    tokens, n = found.column("token").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(tokens)
+    return Repeated(tokens[order], n[order])
+
+
+def _signatures(documents: DataFrame, width: int, percent: int, repeated: Broadcast) -> DataFrame:
     """key, n, name_a, name_b and the prefix under the first order, per row of ``documents`` (key, text)."""
     schema = documents.select("key").schema
     for name in ("n", "name_a", "name_b"):
@@ -96,7 +156,7 @@ def _signatures(documents: DataFrame, width: int, percent: int) -> DataFrame:
             for part in text_slices(batch):
                 sets = [shingles(text, width, known) for text in raw_texts(part)]
                 names = [_name(x) for x in sets]
-                first = [prefix(x, 1, percent).view(np.int64) if len(x) else x.view(np.int64) for x in sets]
+                first = [prefixes(x, [1], percent, repeated.value)[0].view(np.int64) for x in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array([len(x) for x in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()),
                      pa.array([b for _, b in names], pa.int64()), _lists(first, pa.int64())], names=schema.names,
@@ -105,11 +165,14 @@ def _signatures(documents: DataFrame, width: int, percent: int) -> DataFrame:
     return documents.mapInArrow(sign, schema)
 
 
-def _sets(documents: DataFrame, wanted: DataFrame, width: int, percent: int) -> DataFrame:
-    """uid, n, whole set and prefixes under the second and third order, of the nodes in ``wanted`` (uid, key, name_a, name_b)."""
+def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     keys = small_side(wanted.select(F.col("key").alias("same_key")).distinct())
-    texts = documents.join(keys, F.col("key").eqNullSafe(F.col("same_key")), "left_semi")
-    schema = wanted.select("name_a", "name_b").schema.add("n", "long").add("whole", _LONGS).add("second", _INTS).add("third", _INTS)
+    return documents.join(keys, F.col("key").eqNullSafe(F.col("same_key")), "left_semi").select("text")
+
+
+def _filters(documents: DataFrame, wanted: DataFrame, width: int, percent: int, repeated: Broadcast) -> DataFrame:
+    """uid, n, prefixes under the second and third order, and bins of the nodes in ``wanted`` (uid, key, name_a, name_b)."""
+    schema = wanted.select("name_a", "name_b").schema.add("n", "long").add("second", _INTS).add("third", _INTS).add("bins", "binary")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -117,14 +180,34 @@ def _sets(documents: DataFrame, wanted: DataFrame, width: int, percent: int) ->
             for part in text_slices(batch):
                 sets = [x for x in (shingles(text, width, known) for text in raw_texts(part)) if len(x)]
                 names = [_name(x) for x in sets]
-                second, third = ([prefix(x, order, percent).view(np.int64).astype(np.int32) for x in sets] for order in (2, 3))
+                two = [prefixes(x, [2, 3], percent, repeated.value) for x in sets]
+                short = [_lists([x[i].view(np.int64).astype(np.int32) for x in two], pa.int32()) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
-                     _lists([x.view(np.int64) for x in sets], pa.int64()), _lists(second, pa.int32()), _lists(third, pa.int32())], names=schema.names,
+                     *short, pa.array([binned(x) for x in sets], pa.binary())], names=schema.names,
                 )
 
     named = small_side(wanted.select("uid", "name_a", "name_b"))
-    return texts.select("text").mapInArrow(build, schema).join(named, ["name_a", "name_b"]).drop("name_a", "name_b")
+    return _texts(documents, wanted).mapInArrow(build, schema).join(named, ["name_a", "name_b"]).drop("name_a", "name_b")
+
+
+def _sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """uid, n and the whole set of the nodes in ``wanted`` (uid, key, name_a, name_b)."""
+    schema = wanted.select("name_a", "name_b").schema.add("n", "long").add("whole", _LONGS)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for part in text_slices(batch):
+                sets = [x for x in (shingles(text, width, known) for text in raw_texts(part)) if len(x)]
+                names = [_name(x) for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
+                     _lists([x.view(np.int64) for x in sets], pa.int64())], names=schema.names,
+                )
+
+    named = small_side(wanted.select("uid", "name_a", "name_b"))
+    return _texts(documents, wanted).mapInArrow(build, schema).join(named, ["name_a", "name_b"]).drop("name_a", "name_b")
 
 
 def _close(a: Column, b: Column, percent: int) -> Column:
@@ -132,22 +215,41 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that pass the other orders and are similar enough."""
-    short = sets.select("uid", "second", "third")
-    one = short.select(F.col("uid").alias("a"), F.col("second").alias("second_a"), F.col("third").alias("third_a"))
-    two = short.select(F.col("uid").alias("b"), F.col("second").alias("second_b"), F.col("third").alias("third_b"))
-    sharing = pairs.join(one, "a").join(two, "b").where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
-    left = stage(sharing.select("a", "b").distinct(), "sharing")
-    one = sets.select(F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("whole").alias("whole_a"))
-    two = sets.select(F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("whole").alias("whole_b"))
+def _bins_allow(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bins leave room for enough common tokens."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                counted = pc.and_(pc.is_valid(part.column("bins_a")), pc.is_valid(part.column("bins_b")))
+                open_rows, part = part.filter(pc.invert(counted)), part.filter(counted)
+                one, two = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, 1 << BIN_BITS) for c in ("bins_a", "bins_b"))
+                common = np.minimum(one, two).sum(axis=1, dtype=np.int64)
+                sizes = part.column("n_a").to_numpy() + part.column("n_b").to_numpy()
+                for kept in (part.filter(pa.array(100 * common >= percent * (sizes - common))), open_rows):
+                    yield kept.select(["a", "b"])
+
+    return pairs.select("a", "b", "n_a", "n_b", "bins_a", "bins_b").mapInArrow(bound, "a long, b long")
+
+
+def _links(pairs: DataFrame, frame: DataFrame, named: DataFrame, width: int, percent: int, repeated: Broadcast) -> DataFrame:
+    """The pairs (a, b) that pass the other orders and the bins, and are similar enough."""
+    wanted = named.join(small_side(stage(_ends(pairs), "wanted")), "uid")
+    short = stage(_filters(frame, wanted, width, percent, repeated), "filters")
+    one, two = (short.select(F.col("uid").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "second", "third", "bins"))) for side in ("a", "b"))
+    met = pairs.join(one, "a").join(two, "b").where(_close(F.col("n_a"), F.col("n_b"), percent))
+    met = met.where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+    left = stage(_bins_allow(met, percent).distinct(), "candidates")
+    sets = stage(_sets(frame, named.join(small_side(stage(_ends(left), "wanted")), "uid"), width), "sets")
+    one, two = (sets.select(F.col("uid").alias(side), F.col("n").alias(f"n_{side}"), F.col("whole").alias(f"whole_{side}")) for side in ("a", "b"))
     common = F.size(F.array_intersect("whole_a", "whole_b"))
     compared = left.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", common.alias("common"))
     return compared.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
 def similar_components(
-    documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = NGRAM, percent: int = PERCENT, hot: int = HOT
+    documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = NGRAM, percent: int = PERCENT
 ) -> DataFrame:
     """``key``, n_shingles and component_id (the smallest key of the component) for every row.
 
@@ -156,33 +258,25 @@ def similar_components(
     name a component that has another key; other columns are not read.
     """
     frame = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = stage(_signatures(frame, width, percent).withColumn("uid", F.monotonically_increasing_id()), "signatures")
+    repeated = documents.sparkSession.sparkContext.broadcast(_repeated(frame, width))  # at most REPEATED_TOKENS pairs of numbers
+    signed = _signatures(frame, width, percent, repeated)
+    rows = stage(signed.withColumn("uid", F.monotonically_increasing_id()), "signatures")
     nodes = stage(rows.where("n > 0").groupBy("name_a", "name_b").agg(F.min("uid").alias("node")), "nodes")
     own = rows.join(small_side(nodes.select(F.col("node").alias("uid"))), "uid", "left_semi")
     tokens = own.select("uid", "n", F.explode("tokens").alias("token"))
-    counts = stage(tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1"), "counts")
-    shared = stage(tokens.join(counts, "token"), "shared")
+    leaders = tokens.groupBy("token").agg(F.count("*").alias("sets"), F.min("uid").alias("leader")).where("sets > 1").drop("sets")
+    groups = stage(tokens.join(small_side(stage(leaders, "leaders")), "token"), "groups")
     named = own.select("uid", "key", "name_a", "name_b")
 
-    while counts.where(F.col("sets") > hot).count() > FREQUENT_TOKENS:
-        hot *= 2  # any choice of frequent tokens gives a valid order; a smaller one only leaves larger groups
-    frequent = counts.where(F.col("sets") > hot).select("token")
-    touched = stage(shared.where(F.col("sets") > hot).select("uid").distinct(), "touched")
-    sets = stage(_sets(frame, named.join(small_side(touched), "uid"), width, percent), "sets")
-    plain = shared.join(touched, "uid", "left_anti").select("uid", "n", "token")
-    moved = stage(_reordered(sets, frequent, percent), "moved")
-    met = tokens.join(small_side(stage(moved.select("token").distinct(), "moved_tokens")), "token", "left_semi").join(small_side(touched), "uid", "left_anti")
-    everything = plain.unionByName(moved).unionByName(met.select("uid", "n", "token")).distinct()
-    everything = stage(everything, "prefixes")
-    leaders = everything.groupBy("token").agg(F.count("*").alias("sets"), F.min(F.struct("uid", "n")).alias("leader")).where("sets > 1")
-    groups = stage(everything.join(leaders.drop("sets"), "token"), "groups")
-    others = stage(groups.select("uid").distinct().join(touched, "uid", "left_anti"), "others")
-    sets = sets.unionByName(stage(_sets(frame, named.join(small_side(others), "uid"), width, percent), "sets"))
-
-    star = groups.where((F.col("uid") != F.col("leader.uid")) & _close(F.col("n"), F.col("leader.n"), percent))
-    first = stage(_links(stage(star.select(F.col("leader.uid").alias("a"), F.col("uid").alias("b")).distinct(), "pairs"), sets, percent), "links")
-    second = stage(_links(stage(_rest(groups, components(first), percent), "pairs"), sets, percent), "links")
-    roots = components(first.unionByName(second)) if second.take(1) else components(first)
+    star = groups.where("uid != leader").select(F.col("leader").alias("a"), F.col("uid").alias("b"), "n").distinct()
+    sizes = own.select(F.col("uid").alias("a"), F.col("n").alias("n_a"))
+    pairs = stage(star.join(sizes, "a").where(_close(F.col("n"), F.col("n_a"), percent)).select("a", "b"), "pairs")
+    first = stage(_links(pairs, frame, named, width, percent, repeated), "links")
+    roots = components(first)
+    pairs = stage(_rest(groups, roots, percent), "pairs")
+    if pairs.take(1):
+        second = stage(_links(pairs, frame, named, width, percent, repeated), "links")
+        roots = components(first.unionByName(second)) if second.take(1) else roots
 
     named_roots = nodes.join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select(
         "name_a", "name_b", F.coalesce("root", "node").alias("root")
@@ -194,27 +288,14 @@ def similar_components(
     return out.unionByName(empty).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _reordered(sets: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
-    """Prefixes (uid, n, token) under the first order with the frequent tokens last."""
-    late = np.sort(frequent.toArrow().column("token").to_numpy().view(np.uint64))  # at most FREQUENT_TOKENS numbers
-    shipped = sets.sparkSession.sparkContext.broadcast(late)
-    schema = sets.select("uid", "n").schema.add("token", "long")
-
-    def reorder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole = [np.asarray(x.values, dtype=np.int64).view(np.uint64) for x in batch.column("whole")]
-            first = [prefix(x, 1, percent, shipped.value).view(np.int64) for x in whole]
-            owner = pa.array(np.repeat(np.arange(len(first)), [len(x) for x in first]))
-            flat = np.concatenate(first) if first else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("uid").take(owner), batch.column("n").take(owner), pa.array(flat)], names=schema.names)
-
-    return sets.select("uid", "n", "whole").mapInArrow(reorder, schema)
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
 
 
 def _rest(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs that share a token, are in different components and were not compared with their leader."""
     labelled = groups.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "token", "uid", "n", F.col("leader.uid").alias("leader"), F.coalesce("root", "uid").alias("root")
+        "token", "uid", "n", "leader", F.coalesce("root", "uid").alias("root")
     )
     mixed_tokens = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
     open_rows = stage(labelled.join(mixed_tokens, "token", "left_semi").where("uid != leader"), "open")
