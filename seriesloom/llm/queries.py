@@ -195,11 +195,14 @@ WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{span_dedup.SE
 e AS (SELECT doc_id, unnest(s) AS piece, generate_subscripts(s, 1) AS i, len(s) AS n FROM d),
 w AS (SELECT *, trim(piece, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS sentence,
         len(regexp_extract_all(piece, '[^\x20\x09-\x0D]+')) AS words FROM e),
-r AS (SELECT doc_id, i, n, list(sentence) OVER v AS run, sum(words) OVER v AS words, count(*) OVER v AS width
-      FROM w WINDOW v AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {span_dedup.RUN - 1} FOLLOWING)),
-k AS (SELECT * FROM r WHERE words >= {span_dedup.MIN_WORDS} AND (width = {span_dedup.RUN} OR (n < {span_dedup.RUN} AND i = 1))),
-o AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS nth FROM k),
-g AS (SELECT DISTINCT doc_id, unnest(range(i, i + {span_dedup.RUN})) AS i FROM o WHERE nth > 1)
+c AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto, sum(words) OVER (PARTITION BY doc_id) AS total FROM w),
+ends AS (SELECT doc_id, upto, min(i) AS stop FROM c GROUP BY doc_id, upto),
+heads AS (SELECT doc_id, i, upto - words + {span_dedup.MIN_WORDS} AS target FROM c WHERE upto - words + {span_dedup.MIN_WORDS} <= total),
+k AS (SELECT heads.doc_id, i, stop FROM heads ASOF JOIN ends ON heads.doc_id = ends.doc_id AND heads.target <= ends.upto
+      UNION SELECT heads.doc_id, max(heads.i), any_value(n) FROM heads JOIN e USING (doc_id) GROUP BY heads.doc_id),
+r AS (SELECT k.doc_id, k.i, k.stop, list(sentence ORDER BY c.i) AS run FROM k JOIN c ON c.doc_id = k.doc_id AND c.i BETWEEN k.i AND k.stop GROUP BY ALL),
+o AS (SELECT *, first_value(doc_id) OVER v AS doc1, first_value(i) OVER v AS i1 FROM r WINDOW v AS (PARTITION BY run ORDER BY doc_id, i)),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, stop + 1)) AS i FROM o WHERE doc_id <> doc1 OR i <> i1)
 SELECT d.doc_id, CASE WHEN any_value(len(d.s)) = 0 THEN '' ELSE coalesce(string_agg(CASE WHEN g.i IS NULL THEN e.piece END, '' ORDER BY e.i), '') END AS text,
     any_value(len(d.s)) AS n_sentences, count(g.i) AS n_removed
 FROM d LEFT JOIN e USING (doc_id) LEFT JOIN g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY d.doc_id

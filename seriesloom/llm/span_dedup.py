@@ -1,9 +1,11 @@
 """Sliding sentence spans: passages that occur earlier in the corpus are removed.
 
-Every run of a few consecutive sentences is hashed, runs that occur more than once
-are found by one grouping over the whole corpus, and every sentence inside an
-occurrence other than the first (by id, then by place) goes.  Sentences end at stops, and also at commas,
-semicolons and colons, so that a passage is found whose first and last sentence differ.
+From every sentence on, the run of the fewest consecutive sentences with enough words is
+hashed, and so is the run that ends the text.  Runs that occur more than once are found by one
+grouping over the whole corpus, and every sentence inside an occurrence other than the first
+(by id, then by place) goes.  Where a run ends depends on its words alone, so equal passages have equal
+runs wherever they stand.  Sentences end at stops, and also at commas, semicolons and colons, so
+that a passage is found whose first and last sentence run into other text.
 """
 
 from __future__ import annotations
@@ -17,63 +19,69 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import polynomial, raw_texts, small_side, text_slices
+from seriesloom.llm.common import mixed, raw_texts, small_side, text_slices
 from seriesloom.staging import stage
 
 SENTENCE = r"[^.!?,;:\n]*[.!?,;:\n]+|[^.!?,;:\n]+"
-RUN = 3
-MIN_WORDS = 12
+MIN_WORDS = 20
 _FIND = re.compile(SENTENCE.encode()).findall
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def runs_of(text: bytes, run: int = RUN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the runs of a text that have enough words; a shorter text is one run."""
+def _powers(base: int, count: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(count, base, np.uint64)]))
+
+
+def runs_of(text: bytes, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First sentence, last sentence and hash of every run; a text with too few words has none."""
     sentences = _FIND(text)
-    if not sentences:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    width = min(run, len(sentences))
-    ids = np.fromiter((xxhash.xxh3_64_intdigest(s.strip()) for s in sentences), dtype=np.uint64, count=len(sentences))
     words = np.cumsum([0, *(len(s.split()) for s in sentences)])
-    places = np.flatnonzero(words[width:] - words[:-width] >= min_words)
-    return places, polynomial(ids, width)[places].view(np.int64)
+    starts = np.flatnonzero(words[:-1] + min_words <= words[-1])
+    if not len(starts):
+        return tuple(np.empty(0, np.int64) for _ in range(3))
+    stops = np.searchsorted(words[1:], words[starts] + min_words)
+    if stops[-1] < len(sentences) - 1:
+        starts, stops = np.append(starts, starts[-1]), np.append(stops, len(sentences) - 1)
+    ids = mixed(np.fromiter((xxhash.xxh3_64_intdigest(s.strip()) for s in sentences), dtype=np.uint64, count=len(sentences)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ids * _powers(_BASE, len(ids))[:-1])])
+    hashes = (sums[stops + 1] - sums[starts]) * _powers(_INVERSE, len(ids))[starts]
+    return starts, stops, mixed(hashes ^ mixed((stops - starts).astype(np.uint64), 7)).view(np.int64)
 
 
-def repeated_sentences(documents: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_sentences(documents: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """key and the array of places of its sentences that are to go."""
     frame = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text") != "")
-    schema = frame.select("key").schema.add("place", "integer").add("run", "long")
+    schema = frame.select("key").schema.add("place", "integer").add("stop", "integer").add("run", "long")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                owner, places, hashes = [], [], []
-                for row, value in enumerate(raw_texts(part)):
-                    at, found = runs_of(value, run, min_words)
-                    owner.append(np.full(len(at), row))
-                    places.append(at)
-                    hashes.append(found)
+                found = [runs_of(value, min_words) for value in raw_texts(part)]
+                owner = np.repeat(np.arange(len(found)), [len(starts) for starts, _, _ in found])
+                starts, stops, hashes = (np.concatenate(column) for column in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key").take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(hashes))],
+                    [part.column("key").take(pa.array(owner)), pa.array(starts.astype(np.int32)), pa.array(stops.astype(np.int32)), pa.array(hashes)],
                     names=schema.names,
                 )
 
     spans = stage(frame.mapInArrow(hashed, schema), "spans")
     occurrence = F.struct("key", "place")
     firsts = spans.groupBy("run").agg(F.min(occurrence).alias("first"), F.max(occurrence).alias("last")).where("first != last")
-    again = spans.join(small_side(stage(firsts.select("run", "first"), "firsts")), "run").where(occurrence != F.col("first"))
-    covered = again.select("key", F.explode(F.sequence("place", F.col("place") + (run - 1))).alias("sentence"))
+    again = spans.join(stage(firsts.select("run", "first"), "firsts"), "run").where(occurrence != F.col("first"))
+    covered = again.select("key", F.explode(F.sequence("place", "stop")).alias("sentence"))
     return covered.distinct().groupBy("key").agg(F.collect_list("sentence").alias("gone"))
 
 
-def drop_repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``key``, text without its repeated sentences, n_sentences and n_removed, one row per input row.
 
     Sentences are compared without white space at their ends.  Rows with one key are one document, so copies of a row
     lose the same sentences and none for each other's sake; other copies of a text lose all but the first's. NULL keys are one document that comes
-    first.  NULL and empty texts have no sentences and stay as they are; texts of fewer sentences than
-    a run are one run; other columns are not read.
+    first.  NULL and empty texts have no sentences and stay as they are; texts of fewer words than
+    a run needs lose nothing; other columns are not read.
     """
-    gone = stage(repeated_sentences(documents, key, text, run, min_words), "gone").withColumnRenamed("key", "same_key")
+    gone = stage(repeated_sentences(documents, key, text, min_words), "gone").withColumnRenamed("key", "same_key")
     frame = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     joined = frame.join(small_side(gone, 100_000), F.col("key").eqNullSafe(F.col("same_key")), "left")
     pieces = F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0))
