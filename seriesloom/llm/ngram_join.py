@@ -8,9 +8,10 @@ prefix token under two other orders, and the counts of their tokens in bins must
 the similarity; only then are they compared in full.
 
 Equal sets are one node.  In a group of sets that share a token, all are first
-compared with one of them; after that only sets of different components are still
-compared, so a large group of near copies costs one comparison per member, and no link between
-components is lost.
+compared with the one most of whose prefix is shared, which among near copies is the
+original; then, twice, with the best one of another component.  After that, sets of different
+components are still compared pair by pair, so a large group of near copies costs few comparisons
+per member, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ PERCENT = 80
 BLOCK_TOKENS = 4_000_000
 REPEATED_TOKENS = 1_000_000
 BIN_BITS = 9
+STAR_ROUNDS = 3
 CACHED_WORDS = 500_000
 _LONGS, _INTS = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
 
@@ -83,8 +85,10 @@ def prefixes(tokens: np.ndarray, orders: Sequence[int], percent: int, repeated:
     """The first tokens of a set under each of the orders."""
     if not len(tokens):
         return [tokens for _ in orders]
-    counts, length = repeated.of(tokens), prefix_length(len(tokens), percent)
-    return [tokens[np.lexsort((mixed(tokens, order), counts))[:length]] for order in orders]
+    length = prefix_length(len(tokens), percent)
+    classes = np.minimum(repeated.of(tokens), 1023).astype(np.uint64) << np.uint64(54)
+    keys = (classes | (mixed(tokens, order) >> np.uint64(10)) for order in orders)
+    return [tokens[np.argpartition(key, length - 1)[:length]] for key in keys]
 
 
 def binned(tokens: np.ndarray) -> bytes | None:
@@ -122,7 +126,7 @@ def _repeated(documents: DataFrame, width: int) -> Repeated:
             for part in text_slices(batch):
                 for text in raw_texts(part):
                     tokens = shingles(text, width, known)
-                    name = _name(tokens)
+                    name = hash(tokens.tobytes())
                     if len(tokens) and name not in seen:
                         seen.add(name)
                         block.append(tokens)
@@ -264,19 +268,30 @@ def similar_components(
     nodes = stage(rows.where("n > 0").groupBy("name_a", "name_b").agg(F.min("uid").alias("node")), "nodes")
     own = rows.join(small_side(nodes.select(F.col("node").alias("uid"))), "uid", "left_semi")
     tokens = own.select("uid", "n", F.explode("tokens").alias("token"))
-    leaders = tokens.groupBy("token").agg(F.count("*").alias("sets"), F.min("uid").alias("leader")).where("sets > 1").drop("sets")
-    groups = stage(tokens.join(small_side(stage(leaders, "leaders")), "token"), "groups")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select("token")
+    groups = stage(tokens.join(stage(shared, "shared"), "token"), "groups")
     named = own.select("uid", "key", "name_a", "name_b")
 
-    star = groups.where("uid != leader").select(F.col("leader").alias("a"), F.col("uid").alias("b"), "n").distinct()
-    sizes = own.select(F.col("uid").alias("a"), F.col("n").alias("n_a"))
-    pairs = stage(star.join(sizes, "a").where(_close(F.col("n"), F.col("n_a"), percent)).select("a", "b"), "pairs")
-    first = stage(_links(pairs, frame, named, width, percent, repeated), "links")
-    roots = components(first)
-    pairs = stage(_rest(groups, roots, percent), "pairs")
-    if pairs.take(1):
-        second = stage(_links(pairs, frame, named, width, percent, repeated), "links")
-        roots = components(first.unionByName(second)) if second.take(1) else roots
+    # A set of which most prefix tokens are shared stands in the middle of its copies: theirs have tokens of their own.
+    weights = stage(groups.groupBy("uid").agg((F.count("*") / F.first("n")).alias("weight")), "weights")
+    groups = stage(groups.join(weights, "uid"), "weighed")
+    links, done = None, None
+    for _ in range(STAR_ROUNDS):
+        groups_now = groups if links is None else _open_groups(groups, roots)
+        pairs = stage(_star(groups_now, percent), "pairs")
+        if not pairs.take(1):
+            break
+        found = stage(_links(pairs, frame, named, width, percent, repeated), "links")
+        links, done = (found, pairs) if links is None else (links.unionByName(found), done.unionByName(pairs))
+        roots = components(links)
+    if links is None:
+        roots = components(tokens.select(F.col("uid").alias("a"), F.col("uid").alias("b")).limit(0))
+    else:
+        rest = _rest(_open_groups(groups, roots), percent).join(done, ["a", "b"], "left_anti")
+        pairs = stage(rest.join(done.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
+        if pairs.take(1):
+            found = stage(_links(pairs, frame, named, width, percent, repeated), "links")
+            roots = components(links.unionByName(found)) if found.take(1) else roots
 
     named_roots = nodes.join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select(
         "name_a", "name_b", F.coalesce("root", "node").alias("root")
@@ -292,14 +307,32 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
 
 
-def _rest(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a token, are in different components and were not compared with their leader."""
-    labelled = groups.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "token", "uid", "n", "leader", F.coalesce("root", "uid").alias("root")
-    )
-    mixed_tokens = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
-    open_rows = stage(labelled.join(mixed_tokens, "token", "left_semi").where("uid != leader"), "open")
-    a, b = (open_rows.select(*(F.col(c).alias(f"{side}_{c}") for c in ("token", "uid", "n", "root"))) for side in ("a", "b"))
+def _open_groups(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """Groups, with the component of every member, that still hold more than one component."""
+    labelled = groups.drop("root").join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    several = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
+    return stage(labelled.join(several, "token", "left_semi"), "open")
+
+
+def _star(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the weightiest member of every group with all members of other components; of a later round, of the
+    weightiest member outside the component that holds the weightiest of all."""
+    best = lambda rows, name: rows.groupBy("token").agg(F.max(F.struct("weight", (-F.col("uid")).alias("minus"), "n", *[c for c in rows.columns if c == "root"])).alias(name))
+    if "root" not in groups.columns:
+        leaders = best(groups, "leader")
+        other = F.col("uid") != -F.col("leader.minus")
+    else:
+        first = best(groups, "first")
+        outside = groups.join(first.select("token", F.col("first.root").alias("taken")), "token").where("root != taken").drop("taken")
+        leaders = best(outside, "leader")
+        other = F.col("root") != F.col("leader.root")
+    near = groups.join(leaders, "token").where(other & _close(F.col("n"), F.col("leader.n"), percent))
+    return near.select((-F.col("leader.minus")).alias("a"), F.col("uid").alias("b")).distinct()
+
+
+def _rest(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a token and are in different components."""
+    a, b = (groups.select(*(F.col(c).alias(f"{side}_{c}") for c in ("token", "uid", "n", "root"))) for side in ("a", "b"))
     different = (F.col("a_uid") < F.col("b_uid")) & (F.col("a_root") != F.col("b_root")) & _close(F.col("a_n"), F.col("b_n"), percent)
     return a.join(b, (F.col("a_token") == F.col("b_token")) & different).select(F.col("a_uid").alias("a"), F.col("b_uid").alias("b")).distinct()
 
