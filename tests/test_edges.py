@@ -2,9 +2,7 @@
 
 import math
 
-import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from seriesloom.operators import decompose, geometry, ordered, profile, series_stats, smoothing
 from seriesloom.operators.spacetime import TwoWayCentering
