@@ -9,8 +9,6 @@ from seriesloom.llm import decontaminate, line_dedup, ngram_join, packing, quali
 from seriesloom.llm.queries import WORD_BPE
 from seriesloom.staging import stage
 
-MAX_LOSS = 0.5
-
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,9 +22,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that their source repeats; n_chars follows.
 
-    A text that would lose more than half of its characters is a copy; it stays whole for the next stage.
+    Copies of a text count once per source, so they stay whole for the next stage.
     """
-    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"), F.col("text"), max_loss=MAX_LOSS)
+    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"), F.col("text"), copies_once=True)
     text = F.col("cleaned.text")
     changed = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
     return cleaned.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])

@@ -40,9 +40,13 @@ def _hash(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
-def boilerplate(lines: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """host and hashes of its boilerplate lines, from rows of host and lines."""
-    each = lines.select("host", F.explode(F.array_distinct(F.transform(F.filter("lines", _has_word), _hash))).alias("line"))
+def boilerplate(lines: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
+    """host and hashes of its boilerplate lines, from rows of host and lines; pages of one text count once with ``copies_once``."""
+    hashes = F.array_distinct(F.transform(F.filter("lines", _has_word), _hash))
+    if copies_once:
+        lines = lines.select("host", _hash(F.array_join("lines", "\n")).alias("text"), hashes.alias("hashes")).groupBy("host", "text").agg(F.first("hashes").alias("hashes"))
+        lines, hashes = stage(lines, "texts"), F.col("hashes")
+    each = lines.select("host", F.explode(hashes).alias("line"))
     counts = stage(each.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages), "lines")
     totals = stage(lines.groupBy("host").agg(F.count("*").alias("pages")), "hosts").withColumnRenamed("host", "same_host")
     found = counts.join(totals, F.col("host").eqNullSafe(F.col("same_host"))).where(F.col("n") > ratio * F.col("pages"))
@@ -56,18 +60,20 @@ def drop_boilerplate(
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
     max_loss: float = 1.0,
+    copies_once: bool = False,
 ) -> DataFrame:
     """All columns of ``pages`` and a last column ``cleaned`` = (text, n_lines, n_dropped).
 
     Lines are cut at \\n and compared whole; those without a visible character are neither counted nor dropped.
     A line is dropped if more than ``ratio`` of the pages of its host, and at least ``min_pages``, hold
     it.  A page that would lose more than ``max_loss`` of its characters is a copy rather than a page with boilerplate and stays
-    whole.  A page counts once per line; repeated rows are pages of their own.  NULL texts stay NULL with no lines;
+    whole.  A page counts once per line; repeated rows are pages of their own, but with ``copies_once`` all pages of a host with
+    the same text are one page, so copies do not make their lines boilerplate.  NULL texts stay NULL with no lines;
     pages without a host are one host.
     """
     names = [f"c{i}" for i in range(len(pages.columns))]
     frame = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("page"), host.alias("host"), F.split(text, "\n").alias("lines"))
-    marked = boilerplate(frame.select("host", F.coalesce("lines", F.array().cast("array<string>")).alias("lines")), ratio, min_pages)
+    marked = boilerplate(frame.select("host", F.coalesce("lines", F.array().cast("array<string>")).alias("lines")), ratio, min_pages, copies_once)
     marked = marked.withColumnRenamed("host", "same_host")
     joined = frame.join(marked, F.col("host").eqNullSafe(F.col("same_host")), "left").drop("same_host")
     dropped = F.coalesce(F.col("dropped"), F.array().cast(marked.schema["dropped"].dataType))

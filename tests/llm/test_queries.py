@@ -103,3 +103,14 @@ def test_stages_on_awkward_documents(spark, tables):
         for name, function in corpus_pipeline.STAGES:
             frame = function(spark, frame, tables)
         assert frame.columns[0] == "doc_id" and frame.count() >= 0
+
+
+def test_short_pages_lose_their_boilerplate(spark, tables):
+    """A page that is mostly boilerplate loses it; copies of one text make no boilerplate."""
+    common = "A line that stands on many of the pages of this source"
+    rows = [(i, f"{common}\nown {i}", "en", "x") for i in range(6)] + [(10 + i, "One copied line\nand another", "en", "x") for i in range(4)]
+    docs = documents(spark, [*rows, (20, common, "en", "y"), (21, None, "en", "x")]).withColumn("n_chars", F.length("text").cast("long"))
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, docs, tables).collect()}
+    assert [got[i] for i in range(6)] == [(f"own {i}", 5) for i in range(6)]
+    assert {got[10 + i][0] for i in range(4)} == {"One copied line\nand another"}
+    assert got[20][0] == common and got[21] == (None, None)
