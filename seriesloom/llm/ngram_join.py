@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -338,8 +339,14 @@ def _rest(groups: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """The documents, with all their columns, that name their component; of repeated rows one stays."""
-    found = stage(similar_components(documents, key, text, width, percent), "components").select(F.col(key).alias("one"), "component_id")
-    heads = found.where(F.col("one").eqNullSafe(F.col("component_id"))).select("one").distinct()
-    kept = documents.join(small_side(stage(heads, "heads")), F.col("one").eqNullSafe(documents[key]), "left_semi")
-    return kept.dropDuplicates([key]) if found.groupBy("one").count().where("count > 1").take(1) else kept
+    """One row, with all its columns, of every component of similar rows: the one with the smallest key, NULLs last.
+
+    Rows are told apart by a number of their own, so unlike rows that share a key, or have none, all stay.
+    Rows without words are components of their own.
+    """
+    row = next(name for name in map("row{}".format, count()) if name not in map(str.lower, documents.columns))
+    numbered = stage(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = stage(similar_components(numbered, row, text, width, percent), "components").select(F.col(row).alias("one"), "component_id")
+    keyed = found.join(numbered.select(F.col(row).alias("one"), F.col(key).alias("key")), "one")
+    heads = keyed.groupBy("component_id").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "one")).alias("head"))
+    return numbered.join(small_side(stage(heads.select(F.col("head.one").alias(row)), "heads")), row, "left_semi").select(*[numbered[c] for c in documents.columns])

@@ -113,6 +113,16 @@ def test_one_document_of_each_group_stays(spark):
     assert ngram_join.keep_one(documents(spark, [])).count() == 0
 
 
+def test_unlike_rows_with_one_key_stay(spark):
+    texts = ["first text of a shared id", "second and quite another text of it", "a third one that is unlike both of them"]
+    rows = [(key, text, "en", f"{key}") for key in (None, 7) for text in texts[: 3 if key is None else 2]]
+    rows += [(5, texts[2], "en", "5"), (None, "only without an id", "en", "x"), (None, "only without an id", "en", "y")]
+    kept = ngram_join.keep_one(documents(spark, rows).withColumn("row0", F.lit(0)))
+    assert kept.columns == [*documents(spark).columns, "row0"]
+    got = counted((r.doc_id, r.text) for r in kept.collect())
+    assert got == counted([(7, texts[0]), (7, texts[1]), (5, texts[2]), (None, "only without an id")])
+
+
 ITEMS = [
     (1, PASSAGE, "x"), (2, "only three words", "x"), (3, None, "x"), (4, "", "x"), (5, "the the the the the the the the the the the", "x"),
     (None, "happy indeed boilerplate line", "x"), (6, PASSAGE, "x"), (7, "word1x1 WORD2x2 word3x3 word4x4 word5x5 word6x6 word7x7 word8x8 word9x9 word10x10 word11x11", "x"),
