@@ -62,15 +62,29 @@ class TokenIds:
 
     No word of the tokenizer's pattern holds white space, so a text is the chain of its chunks between
     white space; chunks and words are remembered, and only new words are merged by the tokenizer's model.
-    Special tokens in texts are ordinary text.
+    With ``exact`` the ids are those of ``encode(text, add_special_tokens=False)``: chunks that hold an added token or anything
+    but ASCII go through the tokenizer as a whole.  Without, added tokens are ordinary text.
     """
 
-    def __init__(self, vocabulary: bytes):
-        merge = Tokenizer.from_str(vocabulary.decode()).model.tokenize
+    def __init__(self, vocabulary: bytes, exact: bool = False):
+        tokenizer = Tokenizer.from_str(vocabulary.decode())
+        merge = tokenizer.model.tokenize
         word = Remembered(lambda w: np.array([t.id for t in merge(w.encode().decode("latin-1").translate(_BYTE_CHARACTERS))], dtype="<u4").tobytes())
         self.chunk = Remembered(lambda chunk: b"".join(map(word.__getitem__, _FIND_WORDS(chunk))))
+        self.exact = exact
+        added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)").search
+
+        def encoded(chunk: str) -> bytes:
+            if chunk.isascii() and not added(chunk):
+                return self.chunk[chunk.lower()]
+            return np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+        self.whole = Remembered(encoded)
 
     def of(self, text: str) -> bytes:
+        if self.exact:
+            chunks = filter(None, _BY_WHITE.split(text)) if _OTHER_SEPARATORS.search(text) else text.split()
+            return b"".join(map(self.whole.__getitem__, chunks))
         text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()  # sigma by itself, not by its place
         if _OTHER_SEPARATORS.search(text):  # Python also splits at these, the tokenizer does not
             chunks = filter(None, _BY_WHITE.split(text))
@@ -82,7 +96,7 @@ class TokenIds:
 @lru_cache(maxsize=1)
 def token_ids(vocabulary: bytes) -> TokenIds:
     """One memory of words per Python worker."""
-    return TokenIds(vocabulary)
+    return TokenIds(vocabulary, exact=True)
 
 
 def tokenised(documents: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -160,7 +174,7 @@ def pack(
 ) -> DataFrame:
     """Places of all pieces: ``key``, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A text is the ids of the vocabulary file and the id 1; only a longer one is cut, into pieces of ``capacity``
+    A text is the ids of the vocabulary file, added tokens in it as their own ids, and the id 1; only a longer one is cut, into pieces of ``capacity``
     tokens.  NULL and empty texts are the id 1 alone; repeated rows and NULL keys are packed each; other columns
     are not read; an empty table gives no piece.  Groups of about ``group_pieces`` pieces are packed by one
     task each, so no task ever holds more than a few times that many numbers.

@@ -70,6 +70,23 @@ def test_ids_equal_the_tokenizer(tables):
         assert np.frombuffer(ids.of(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_exact_ids_equal_the_default_tokenizer(spark, tables):
+    import pyarrow.parquet as pq
+
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    ids = packing.TokenIds(token_counts.read_vocabulary(VOCABULARY), exact=True)
+    texts = ["hello <|endoftext|> world", "A<|startoftext|>B<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "x\x1cy\x1fz \x85 a\u200bb é e\u0301 ΑΣ \u0130", "a \u0301b\u2000c\u1680d\u180ee\ufefff"]
+    assert np.frombuffer(ids.of(texts[0]), "<u4").tolist() == [3306, 49407, 1002]
+    every = [chr(i) for i in range(0x30000) if not 0xD800 <= i < 0xE000]
+    texts += ["".join(f"a{c}B {c} " for c in every[i : i + 512]) for i in range(0, len(every), 512)]
+    texts += ["e".join(every[i : i + 512]) for i in range(0, len(every), 512)]
+    texts += pq.read_table(f"{tables}/documents.parquet")["text"].to_pylist() + [t for _, t, *_ in DOCUMENTS if t]
+    for text in texts:
+        assert np.frombuffer(ids.of(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    rows = packing.pack(documents(spark, [(1, texts[0], "en", "x")]), VOCABULARY).collect()
+    assert [(r.length, r.ids_crc32) for r in rows] == [(4, zlib.crc32(np.array([3306, 49407, 1002, 1], dtype="<u4").tobytes()))]
+
+
 @pytest.mark.parametrize("group", [3, 40_000])
 def test_pieces_are_whole_and_gapless(spark, group):
     tokenizer = Tokenizer.from_file(VOCABULARY)
