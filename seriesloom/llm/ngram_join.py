@@ -285,14 +285,14 @@ def similar_components(
         found = stage(_links(pairs, frame, named, width, percent, repeated), "links")
         links, done = (found, pairs) if links is None else (links.unionByName(found), done.unionByName(pairs))
         roots = components(links)
-    if links is None:
-        roots = components(tokens.select(F.col("uid").alias("a"), F.col("uid").alias("b")).limit(0))
-    else:
-        rest = _rest(_open_groups(groups, roots), percent).join(done, ["a", "b"], "left_anti")
-        pairs = stage(rest.join(done.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
-        if pairs.take(1):
-            found = stage(_links(pairs, frame, named, width, percent, repeated), "links")
-            roots = components(links.unionByName(found)) if found.take(1) else roots
+    if links is None:  # every leader is of another size than its group; the pairs are left to the rest
+        links = done = groups.select(F.col("uid").alias("a"), F.col("uid").alias("b")).limit(0)
+        roots = components(links)
+    rest = _rest(_open_groups(groups, roots), percent).join(done, ["a", "b"], "left_anti")
+    pairs = stage(rest.join(done.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    if pairs.take(1):
+        found = stage(_links(pairs, frame, named, width, percent, repeated), "links")
+        roots = components(links.unionByName(found)) if found.take(1) else roots
 
     named_roots = nodes.join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select(
         "name_a", "name_b", F.coalesce("root", "node").alias("root")

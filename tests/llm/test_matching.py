@@ -105,6 +105,16 @@ def test_many_near_copies_take_few_comparisons(spark):
     assert sum(seen) < 20 * len(rows)
 
 
+def test_near_copies_under_excerpts_are_linked(spark):
+    """Excerpts lead all groups of two near copies and are too short for either."""
+    words = [f"w{i}" for i in range(30)]
+    rows = [(1, " ".join(words), "en", "x"), (2, " ".join([*words[:-1], "other"]), "en", "x")]
+    rows += [(10 + i, " ".join(words[i : i + 4]), "en", "x") for i in range(26)]
+    got = ngram_join.similar_components(documents(spark, rows), width=4, percent=85).collect()
+    assert counted(tuple(r) for r in got) == counted(brute_similar(rows, 4, 85))
+    assert {r.component_id for r in got if r.doc_id in (1, 2)} == {1}
+
+
 def test_one_document_of_each_group_stays(spark):
     kept = ngram_join.keep_one(documents(spark))
     keys = sorted((r.doc_id if r.doc_id is not None else -1) for r in kept.collect())
