@@ -59,6 +59,20 @@ def test_divergence_bounds_and_guards(spark):
     assert rows[3].kept and rows[3].word_divergence < 0.3
 
 
+def test_small_languages_are_judged(spark):
+    """The verdict of a document does not depend on how much text other languages hold."""
+    few = [(i, " ".join(f"the cat{i}x{j} and dog" for j in range(40)), "en", "s") for i in range(30)]
+    few += [(99, " ".join("ABCDE%d!!" % j for j in range(120)), "en", "s"), (98, None, "en", "s"), (97, "", None, "s"), (96, "alone in its language " * 3, "zz", "s"), (95, " " * 300, "blank", "s")]
+    many = [(1000 + i, " ".join(f"der{i % 7} hund{j}" for j in range(5000)), "de", "s") for i in range(60)]
+    alone = {r.doc_id: r for r in quality_rules.judge(documents(spark, few), quality_rules.Rules(language_share=0)).collect()}
+    within = {r.doc_id: r for r in quality_rules.judge(documents(spark, [*few, *many])).collect()}
+    assert len(within) == len(few) + len(many)
+    assert not within[99].kept and within[99].word_divergence > 0.45
+    for key, one in alone.items():
+        for name in one.asDict():
+            assert within[key][name] == (pytest.approx(one[name]) if isinstance(one[name], float) else one[name])
+
+
 def test_rules_on_empty_and_clashing_tables(spark):
     assert quality_rules.judge(documents(spark, [])).count() == 0
     assert counted(quality_rules.judge(documents(spark)).collect()) == counted(quality_rules.judge(documents(spark, clashing=True)).collect())
