@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -93,17 +93,20 @@ class Matcher:
         return (found[0], -found[1]) if found[0] >= self.threshold else None
 
 
-def headers(files: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``key``, license, cosine, last_line of every row: its best line, the first of equal ones.
+def headers(
+    files: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``key``, the columns ``keep``, license, cosine, last_line of every row: its best line, the first of equal ones.
 
     ``last_line`` tells whether that line is the last one with a term.  NULL and empty texts, and texts without a
     line that is similar enough, have a NULL license and cosine.  Repeated rows are scanned each; NULL keys
     stay; other columns are not read.
     """
-    frame = files.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    kept = [f"c{i}" for i in range(len(keep))]
+    frame = files.select(F.col(key).alias("key"), F.col(text).alias("text"), *[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)])
     vocabulary = frozenset(term for _, template in templates for term in terms_of(template.encode()))
     matcher = Matcher(*line_frequencies(frame.select("text"), vocabulary), templates, threshold)
-    schema = frame.select("key").schema.add("license", "string").add("cosine", "double").add("last_line", "boolean")
+    schema = frame.select("key", *kept).schema.add("license", "string").add("cosine", "double").add("last_line", "boolean")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,10 +123,10 @@ def headers(files: DataFrame, key: str = "doc_id", text: str = "text", templates
                     cosines.append(best[0] if at >= 0 else None)
                     last.append(at == len(lines) - 1 if at >= 0 else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), pa.array(names, pa.string()), pa.array(cosines, pa.float64()), pa.array(last, pa.bool_())], names=schema.names
+                    [*(part.column(c) for c in ("key", *kept)), pa.array(names, pa.string()), pa.array(cosines, pa.float64()), pa.array(last, pa.bool_())], names=schema.names
                 )
 
-    return frame.mapInArrow(scan, schema).withColumnRenamed("key", key)
+    return frame.mapInArrow(scan, schema).toDF(key, *keep, "license", "cosine", "last_line")
 
 
 def directory_of(path: Column) -> Column:

@@ -287,11 +287,11 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     licence line is taken as a licence file of its language, or, if it has less than a thousand characters, of its source.
     """
     documents = table(spark, folder, "documents")
-    found = license_scan.headers(documents).withColumn("cosine", F.round("cosine", 9))
-    places = documents.select("doc_id", "source", "lang", F.floor(F.col("n_chars") / 1000).alias("bucket"))
-    file = F.concat(F.when(F.col("last_line"), "LICENSE-").otherwise(""), F.col("doc_id").cast("string"), F.lit(".txt"))
+    found = license_scan.headers(documents, keep=["source", "lang", "n_chars"])
+    found = found.withColumn("cosine", F.round("cosine", 9)).withColumn("bucket", F.floor(F.col("n_chars") / 1000))
+    file = F.concat(F.when(F.col("last_line"), "LICENSE-").otherwise(""), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(".txt"))
     deep = F.when(F.col("last_line").isNull() | ~F.col("last_line"), F.col("bucket").cast("string"))
     wide = F.when(F.col("last_line").isNull() | ~F.col("last_line") | (F.col("bucket") > 0), F.col("lang"))
-    files = found.join(places, "doc_id").select("doc_id", F.concat_ws("/", "source", wide, deep, file).alias("path"), "license", "cosine")
+    files = found.select("doc_id", F.concat_ws("/", "source", wide, deep, file).alias("path"), "license", "cosine")
     out = license_scan.inherit(files, F.col("path"))
     return out.select("doc_id", "path", "license", F.round(F.col("cosine") * 1e6).cast("long").alias("cosine_millionths"), "effective_license", "origin")

@@ -114,3 +114,11 @@ def test_short_pages_lose_their_boilerplate(spark, tables):
     assert [got[i] for i in range(6)] == [(f"own {i}", 5) for i in range(6)]
     assert {got[10 + i][0] for i in range(4)} == {"One copied line\nand another"}
     assert got[20][0] == common and got[21] == (None, None)
+
+
+def test_licenses_of_repeated_and_missing_ids(spark, tmp_path):
+    """One row per document, whatever its id."""
+    docs = documents(spark).unionByName(documents(spark)).withColumn("n_chars", F.length("text").cast("long"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op9_license_scan"](spark, str(tmp_path)).groupBy("doc_id").count().collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in docs.groupBy("doc_id").count().collect()}
