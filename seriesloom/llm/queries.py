@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import chat_format, decontaminate, license_scan, line_dedup, ngram_join, packing, quality_model, quality_rules, span_dedup, token_counts
+from seriesloom.llm import (
+    chat_format, collocations, decontaminate, license_scan, line_dedup, ngram_join, packing, periodic_runs, quality_model, quality_rules, span_dedup,
+    token_counts, toxicity,
+)
 from seriesloom.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,3 +298,88 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     files = found.select("doc_id", F.concat_ws("/", "source", wide, deep, file).alias("path"), "license", "cosine")
     out = license_scan.inherit(files, F.col("path"))
     return out.select("doc_id", "path", "license", F.round(F.col("cosine") * 1e6).cast("long").alias("cosine_millionths"), "effective_license", "origin")
+
+
+_CRC_BITS = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)"
+_CRC = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda z: CAST(ascii(z) AS BIGINT))), lambda c, b: {_CRC_BITS}), 4294967295)"
+RUNS_SQL = rf"""
+WITH d AS (SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS o FROM documents),
+g AS (SELECT *, len(o) AS n, h // 10 AS g FROM d),
+a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM g),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+w AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: CASE WHEN i >= a THEN o[a + (i - a) % p + 1] ELSE o[i + 1] END) ELSE o END AS words FROM p),
+e AS (SELECT doc_id, n, unnest(words) AS word, unnest(range(n)) AS i FROM w),
+m AS (SELECT y.doc_id, y.i, y.i - x.i AS lag FROM e AS x JOIN e AS y ON x.doc_id = y.doc_id AND x.word = y.word
+      WHERE y.i > x.i AND {periodic_runs.MIN_PERIODS} * (y.i - x.i) <= y.n),
+s AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS diagonal FROM m),
+l AS (SELECT doc_id, lag, min(i) - lag AS start, count(*) + lag AS length FROM s GROUP BY doc_id, lag, diagonal
+      HAVING count(*) + lag >= greatest({periodic_runs.MIN_LENGTH}, {periodic_runs.MIN_PERIODS} * lag)),
+r AS (SELECT doc_id, start, length, min(lag) AS period FROM l GROUP BY doc_id, start, length),
+b AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS runs,
+        min(struct_pack(a := -length, b := start, c := period)) AS best FROM r GROUP BY doc_id),
+x AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) AS kept FROM e ANTI JOIN x ON e.doc_id = x.doc_id AND e.i = x.i GROUP BY e.doc_id)
+SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, best.b AS start, -best.a AS length, best.c AS period, 1000 * -best.a // best.c AS exponent_milli,
+    sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+def _with_planted_runs(documents: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the texts, by a checksum of their id, repeat a stretch of their words to the end."""
+    hashed = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    chosen = F.when(F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    parts = hashed.select("doc_id", "text", F.floor(F.col("h") / 10).alias("g"), chosen.alias("words")).withColumn("n", F.size("words"))
+    parts = parts.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    parts = parts.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    repeated = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.expr("cast(1 + (n - a) div p as int)")))
+    spelled = F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), repeated), F.lit(1), F.col("n")), " ")
+    return parts.select("doc_id", F.when(F.col("n") > 0, spelled).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", RUNS_SQL)
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, of which a tenth get one planted, and what is left when only the first period of each stays."""
+    found = periodic_runs.collapse(_with_planted_runs(table(spark, folder, "documents")), with_text=False)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("minus"), (-r["period"]).alias("period"))))
+    best = found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.minus")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), "runs_sha256", "collapsed_sha256",
+    )
+    return best.withColumn("exponent_milli", F.expr("(1000 * length) div period"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COLLOCATIONS_SQL = rf"""
+WITH t AS (SELECT coalesce(lang, '{collocations.UNKNOWN_LANGUAGE}') AS lang, string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM t)),
+g AS (SELECT lang, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM p, (SELECT unnest(range(1, {collocations.DEPTH + 1})) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS n FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND n >= {collocations.MIN_COUNT}),
+cuts AS (SELECT lang, phrase, k, n AS a, w, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT cuts.lang, cuts.phrase, a, cut, x.n AS l, y.n AS r, CAST(2000000 AS HUGEINT) * a // (x.n + y.n) AS score
+      FROM cuts JOIN f AS x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.w[1:cut], ' ')
+                JOIN f AS y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.w[cut + 1:], ' ')),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM s) WHERE place = 1),
+inner_k AS (SELECT lang, w, k, n, unnest(range(2, k)) AS m FROM c),
+inner_i AS (SELECT lang, w, n, m, unnest(range(1, k - m + 2)) AS i FROM inner_k),
+covers AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(n) AS most FROM inner_i GROUP BY ALL),
+own AS (SELECT lowest.* FROM lowest LEFT JOIN covers USING (lang, phrase) WHERE 100 * coalesce(most, 0) < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM own)
+SELECT lang, rank, phrase, a, l, r, CAST(total.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", COLLOCATIONS_SQL)
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best collocations of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents; no SQL (boosted trees), tested by held-out labels."""
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, folder, "labels")))
