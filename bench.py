@@ -38,7 +38,9 @@ HEADLINES = [
     "token_support",
     "posts_per_group",
     "rel_popularity",
+    "fold_moments",
     "ingest_series",
+    "ingest_table",
     "series_value_stats",
     "series_cov",
     "pca_eig",
@@ -49,6 +51,7 @@ HEADLINES = [
     "gauss_smooth",
     "smooth_append",
     "collinear_sets",
+    "matrix_gram",
 ]
 
 

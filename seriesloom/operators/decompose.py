@@ -160,10 +160,20 @@ def _fit(series: DataFrame, basis: DataFrame, by: Sequence[str]) -> DataFrame:
     return _dense_fit(series, bases, by)
 
 
-def _remaining(coefficients: Sequence[Column]) -> list[Column]:
-    """Squared lengths without the parts along the first 0, 1, 2, … vectors; rounding may not take them below zero."""
-    rests = accumulate(coefficients, lambda norm, c: norm - c * c, initial=F.col("fit.norm"))
-    return [F.when(rest < 0, 0.0).otherwise(rest) for rest in rests]
+def _remaining(k: int) -> Column:
+    """Array of the squared lengths without the parts along the first 0, 1, … k vectors; rounding may not take them below zero.
+
+    One pass over the coefficients, so k of them cost k steps; a coefficient that is not there makes the rest NULL.
+    """
+    steps = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("fit.coeffs", i)) if k else F.array().cast("array<double>")
+    start = F.struct(F.col("fit.norm").alias("norm"), F.array(F.col("fit.norm")).alias("rests"))
+
+    def less(state: Column, coefficient: Column) -> Column:
+        norm = state["norm"] - coefficient * coefficient
+        return F.struct(norm.alias("norm"), F.concat(state["rests"], F.array(norm)).alias("rests"))
+
+    rests = F.aggregate(steps, start, less, lambda state: state["rests"])
+    return F.transform(rests, lambda rest: F.when(rest < 0, 0.0).otherwise(rest))
 
 
 def decompose(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
@@ -175,15 +185,13 @@ def decompose(series: DataFrame, basis: DataFrame, k: int, by: Sequence[str] = (
     follow from the coefficients, ‖r_i‖² = ‖r_{i−1}‖² − coeff_i², so no residual
     vector is built.
     """
-    fitted = _fit(series, basis, by)
-    coeff = [F.get("fit.coeffs", F.lit(i)) for i in range(k)]
-    norms = _remaining(coeff)
+    fitted = _fit(series, basis, by).withColumn("rests", _remaining(k))
     names = ["res_mean", *[f"res_{i + 1}" for i in range(k)]]
     return fitted.select(
         *series.columns,
-        *[c.alias(f"coeff_{i + 1}") for i, c in enumerate(coeff)],
+        *[F.get("fit.coeffs", F.lit(i)).alias(f"coeff_{i + 1}") for i in range(k)],
         F.col("fit.total").alias("total_var"),
-        *[F.try_divide(norm, F.col("fit.total")).alias(name) for name, norm in zip(names, norms)],
+        *[F.try_divide(F.get("rests", F.lit(i)), F.col("fit.total")).alias(name) for i, name in enumerate(names)],
     )
 
 
@@ -191,9 +199,8 @@ def residual_curve(series: DataFrame, basis: DataFrame, functions: int, by: Sequ
     """Length of what the first i basis functions leave of a series, i = 0 … functions: ``keys…, i, residual``."""
     keys = [c for c in series.columns if c != "values"]
     fitted = _fit(series, basis, by)
-    norms = _remaining([F.get("fit.coeffs", F.lit(i)) for i in range(functions)])
     # Outer, because the filter that Spark adds to a plain explode would fit every series twice.
-    lengths = fitted.select(*keys, F.array(*[F.sqrt(n) for n in norms]).alias("lengths"))
+    lengths = fitted.select(*keys, F.transform(_remaining(functions), F.sqrt).alias("lengths"))
     return lengths.select(*keys, F.posexplode_outer("lengths").alias("i", "residual"))
 
 

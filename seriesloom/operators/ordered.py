@@ -17,12 +17,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from seriesloom.staging import passing, stage
 
 ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 STRETCH = 1 << 20  # places per stretch when values are looked up by place
 SPAN = 4096
+SKETCH = 2000  # accuracy of the sketch that brackets quantiles
+HELD_ROWS = 200_000  # values inside brackets, of all groups, up to which one task may put a group's in order
 SALTS = 64
 SHORT_TOP = 1000  # up to here Spark prunes a per-group top-k before its shuffle
 
@@ -110,10 +113,7 @@ def place_rows(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), weig
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct value, without NULL and NaN: ``by…, value, n``."""
-    kept = df.where(F.col(value).isNotNull())
-    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
-        kept = kept.where(~F.isnan(value))
-    return kept.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    return _present(df, value).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
 def running_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -150,37 +150,103 @@ def ccdf(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     return steps.select(*by, value, (above / F.col("total")).alias("p_above"))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = SKETCH) -> DataFrame:
     """Interpolated quantiles in long form: ``by…, prob, quantile``.
 
+    Selection instead of sorting: a sketch of every group brackets the wanted places, one aggregation counts the
+    rows between the brackets, and only the distinct values inside are put in order, about 6 / ``accuracy`` of a group
+    per quantile.  A group of at most ``10 * accuracy`` rows is one bracket.  No task holds the values of
+    a group, and a value that holds a third of the rows is one row of the sort.
+    """
+    by, probs = list(by), [float(p) for p in probs]
+    with passing() as keep:  # what lies inside the brackets goes when the few quantiles are known
+        found = stage(_selected(df, value, probs, by, accuracy), "quantiles")
+        lacking = found.where(F.col("low").isNull() | F.col("high").isNull())
+        if not lacking.take(1):
+            return keep(found).select(*by, "prob", _blend().alias("quantile"))
+        kept, again = found.limit(0), df  # a sketch has promised more than it kept
+        if by:
+            missed = stage(lacking.select(*by).distinct(), "missed")
+            kept, again = (join_groups(rows, missed, by, how) for rows, how in ((found, "left_anti"), (df, "left_semi")))
+        whole = _by_sorting(again, value, probs, by)
+        return keep(stage(kept.select(*by, "prob", _blend().alias("quantile")).unionByName(whole), "quantiles"))
+
+
+def _blend() -> Column:
+    return F.col("low") + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position"))
+
+
+def _present(df: DataFrame, value: str) -> DataFrame:
+    """Rows whose value is neither NULL nor NaN."""
+    kept = df.where(F.col(value).isNotNull())
+    return kept.where(~F.isnan(value)) if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)) else kept
+
+
+def _bracketed(rows: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], accuracy: int) -> DataFrame:
+    """The rows with ``ends_``: lower, then upper ends of the brackets of their group; NULL in a small group."""
+    margin = 3 / accuracy
+    asked = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    sketch = F.percentile_approx(value, F.array(*map(F.lit, asked)), F.lit(accuracy))
+    ends = F.when(F.count(F.lit(1)) > 10 * accuracy, sketch).alias("ends_")
+    if not by:
+        return rows.withColumn("ends_", stage(rows.agg(ends), "brackets").scalar())
+    groups = stage(rows.groupBy(*by).agg(ends), "brackets")
+    return join_groups(rows, groups, by)
+
+
+def _selected(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], accuracy: int) -> DataFrame:
+    """by…, prob, position, and the values at the places around it: low, high."""
+    rows = _bracketed(_present(df, value).select(*by, F.col(value).alias("at_")), "at_", sorted(probs), by, accuracy)
+    # Spelled as SQL, as there may be many of them: place i of ends_ is the lower end of bracket i, place k + i its upper end.
+    k, asked = len(probs), sorted(probs)
+    passed = " + ".join(f"if(at_ > ends_[{k + i}], 1, 0)" for i in range(k))
+    inside = F.expr(" OR ".join(["ends_ IS NULL", *(f"coalesce(at_ BETWEEN ends_[{i}] AND ends_[{k + i}], false)" for i in range(k))]))
+    # Between two brackets all rows are one line without a value, ahead of the values of the bracket above.
+    slots = rows.select(*by, (2 * F.expr(passed) + inside.cast("int")).alias("slot_"), F.when(inside, F.col("at_")).alias("at_"))
+    counted = stage(slots.groupBy(*by, "slot_", "at_").agg(F.count(F.lit(1)).alias("n")), "slots")
+    if counted.count() <= HELD_ROWS:
+        group = Window.partitionBy(*by)
+        upto, total = F.sum("n").over(group.orderBy("slot_", "at_")), F.sum("n").over(group)
+        placed = counted.select("*", (upto - F.col("n")).alias("before"), total.alias("total"))
+    else:
+        placed = place_rows(counted, ["slot_", "at_"], by, weighted=True)
+    sides = [(p, side, f"{name}({p!r}D * (total - 1))") for p in asked for side, name in enumerate(("floor", "ceil"))]
+    wanted = ", ".join(f"named_struct('prob', {p!r}D, 'position', {p!r}D * (total - 1), 'side', {side}, 'place', {place})" for p, side, place in sides)
+    here = F.expr(f"filter(array({wanted}), w -> before <= w.place AND w.place < before + n)")
+    met = placed.where("total > 0").select(*by, F.col("at_").cast("double").alias("at_"), F.explode(here).alias("w"))
+    return met.groupBy(*by, F.col("w.prob").alias("prob"), F.col("w.position").alias("position")).agg(
+        F.max(F.when(F.col("w.side") == 0, F.col("at_"))).alias("low"), F.max(F.when(F.col("w.side") == 1, F.col("at_"))).alias("high")
+    )
+
+
+def _by_sorting(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Quantiles from an order of all distinct values.
+
     The sizes of the groups tell which places of the whole order are wanted.
     Values and wanted places meet by stretches of ``STRETCH`` places, so a group
     of any size spreads over many tasks and no task holds the values of a group.
     """
-    by = list(by)
-    with passing() as keep:  # the sorted values go when the few quantiles are known
-        ranked, _ = _ranked(value_counts(df, value, by), [value], by, weighted=True)
-        starts = _group_starts(ranked, by, weighted=True)
-        position = F.col("prob") * (F.col("total") - 1)
-        asked = starts.where(F.col("total") > 0).withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        asked = asked.select(*by, "prob", "start_", position.alias("position"))
-        sides = F.array(F.floor("position"), F.ceil("position"))
-        wanted = asked.select(*by, "prob", "position", "start_", F.posexplode(sides).alias("side", "rank"))
-        wanted = wanted.withColumn("place", F.col("start_") + F.col("rank"))
-        wanted = stage(wanted.withColumn("stretch", F.floor(F.col("place") / STRETCH)), "wanted")
-
-        first, last = F.floor(F.col("before_") / STRETCH), F.floor((F.col("before_") + F.col("n") - 1) / STRETCH)
-        steps = ranked.select(
-            F.col(value).cast("double").alias("at"), "before_", "n", F.explode(F.sequence(first, last)).alias("stretch")
-        )
-        inside = (F.col("before_") <= F.col("place")) & (F.col("place") < F.col("before_") + F.col("n"))
-        met = steps.join(wanted, "stretch").where(inside)
-        ends = met.groupBy(*by, "prob", "position").agg(
-            F.max(F.when(F.col("side") == 0, F.col("at"))).alias("low"),
-            F.max(F.when(F.col("side") == 1, F.col("at"))).alias("high"),
-        )
-        blend = F.col("low") + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position"))
-        return keep(stage(ends.select(*by, "prob", blend.alias("quantile")), "quantiles"))
+    ranked, _ = _ranked(value_counts(df, value, by), [value], by, weighted=True)
+    starts = _group_starts(ranked, by, weighted=True)
+    position = F.col("prob") * (F.col("total") - 1)
+    asked = starts.where(F.col("total") > 0).withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    asked = asked.select(*by, "prob", "start_", position.alias("position"))
+    sides = F.array(F.floor("position"), F.ceil("position"))
+    wanted = asked.select(*by, "prob", "position", "start_", F.posexplode(sides).alias("side", "rank"))
+    wanted = wanted.withColumn("place", F.col("start_") + F.col("rank"))
+    wanted = stage(wanted.withColumn("stretch", F.floor(F.col("place") / STRETCH)), "wanted")
+
+    first, last = F.floor(F.col("before_") / STRETCH), F.floor((F.col("before_") + F.col("n") - 1) / STRETCH)
+    steps = ranked.select(
+        F.col(value).cast("double").alias("at"), "before_", "n", F.explode(F.sequence(first, last)).alias("stretch")
+    )
+    inside = (F.col("before_") <= F.col("place")) & (F.col("place") < F.col("before_") + F.col("n"))
+    met = steps.join(wanted, "stretch").where(inside)
+    ends = met.groupBy(*by, "prob", "position").agg(
+        F.max(F.when(F.col("side") == 0, F.col("at"))).alias("low"),
+        F.max(F.when(F.col("side") == 1, F.col("at"))).alias("high"),
+    )
+    return ends.select(*by, "prob", _blend().alias("quantile"))
 
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:
@@ -248,8 +314,9 @@ def chunked_lists(df: DataFrame, key: str, value: str, size: int) -> DataFrame:
 def neighbour_diff(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
     """Per group in key order: first key, rows, and the sum of |v[i+1] − v[i]|.
 
-    Rows without a value are skipped.  Each batch of a sort partition folds its rows to one line per group; these lines are
-    then chained in key order.  Groups with one row have no differences: NULL.
+    Rows without a value are skipped.  A sort partition folds the rows of each of its groups to one line, whatever number of
+    batches they come in, so a group has at most as many lines as there are sort partitions; these are
+    chained in key order.  Groups with one row have no differences: NULL.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(group, key, value).agg(F.count(F.lit(1)).alias("n"))
     ordered = counts.orderBy(group, key, value).select(
@@ -260,37 +327,54 @@ def neighbour_diff(df: DataFrame, group: str, key: str, value: str) -> DataFrame
         [T.StructField(c, kinds[s]) for c, s in (("g", "g"), ("k_first", "k"), ("v_first", "v"), ("v_last", "v"))]
         + [T.StructField("n", T.LongType()), T.StructField("walk", T.DoubleType())]
     )
+    target = to_arrow_schema(schema)
+
+    def lines_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """One line per group of a batch."""
+        values, sizes = batch.column("v").to_numpy(), batch.column("n").to_numpy()
+        codes = batch.column("g").dictionary_encode(null_encoding="encode").indices.to_numpy()
+        fresh = np.concatenate([[True], np.diff(codes) != 0])
+        starts = np.flatnonzero(fresh)
+        steps = np.where(fresh, 0.0, np.abs(np.diff(values, prepend=values[0])))
+        ends = np.append(starts[1:], len(codes)) - 1
+        firsts = [batch.column(c).take(pa.array(starts)) for c in ("g", "k")]
+        numbers = [values[starts], values[ends], np.add.reduceat(sizes, starts), np.add.reduceat(steps, starts)]
+        return pa.RecordBatch.from_arrays([*firsts, *map(pa.array, numbers)], schema=target)
+
+    def chained(before: pa.RecordBatch, lines: pa.RecordBatch) -> pa.RecordBatch:
+        """The line before and the first one as one line; they are of one group."""
+        a, b = (one.slice(0, 1).to_pylist()[0] for one in (before, lines))
+        walk = a["walk"] + abs(b["v_first"] - a["v_last"]) + b["walk"]
+        whole = {**a, "v_last": b["v_last"], "n": a["n"] + b["n"], "walk": walk}
+        return pa.RecordBatch.from_pylist([whole], schema=target)
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.RecordBatch | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values, sizes = batch.column("v").to_numpy(), batch.column("n").to_numpy()
-            codes = batch.column("g").dictionary_encode(null_encoding="encode").indices.to_numpy()
-            fresh = np.concatenate([[True], np.diff(codes) != 0])
-            starts = np.flatnonzero(fresh)
-            steps = np.where(fresh, 0.0, np.abs(np.diff(values, prepend=values[0])))
-            ends = np.append(starts[1:], len(codes)) - 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("g").take(pa.array(starts)),
-                    batch.column("k").take(pa.array(starts)),
-                    pa.array(values[starts]),
-                    pa.array(values[ends]),
-                    pa.array(np.add.reduceat(sizes, starts)),
-                    pa.array(np.add.reduceat(steps, starts)),
-                ],
-                schema=target,
-            )
-
-    from pyspark.sql.pandas.types import to_arrow_schema
+            lines = lines_of(batch)
+            if kept is not None:
+                if kept.column("g")[0] == lines.column("g")[0] or not (kept.column("g")[0].is_valid or lines.column("g")[0].is_valid):
+                    joined = chained(kept, lines)
+                    if lines.num_rows == 1:
+                        kept = joined
+                        continue
+                    yield joined
+                    lines = lines.slice(1)
+                else:
+                    yield kept
+            kept = lines.slice(lines.num_rows - 1)
+            if lines.num_rows > 1:
+                yield lines.slice(0, lines.num_rows - 1)
+        if kept is not None:
+            yield kept
 
-    target = to_arrow_schema(schema)
     lines = ordered.mapInArrow(fold, schema)
     chain = Window.partitionBy("g").orderBy("k_first", "v_first")
     jump = F.abs(F.col("v_first") - F.lag("v_last").over(chain))
-    chained = lines.withColumn("jump", F.coalesce(jump, F.lit(0.0)))
-    result = chained.groupBy("g").agg(
+    jumps = lines.withColumn("jump", F.coalesce(jump, F.lit(0.0)))
+    result = jumps.groupBy("g").agg(
         F.min("k_first").alias("first_key"), F.sum("n").alias("n"), F.sum(F.col("walk") + F.col("jump")).alias("walk")
     )
     return result.select(

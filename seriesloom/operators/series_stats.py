@@ -5,7 +5,7 @@ A series row has key columns and ``values array<double>``, NULL for missing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from seriesloom.functions import vectors as vec
 from seriesloom.functions.arrowtools import groups_of, list_column, matrix_of
+from seriesloom.operators.folding import bounded_sample
 from seriesloom.operators.ordered import exact_quantiles, join_groups
 from seriesloom.staging import stage
 
@@ -54,6 +55,18 @@ def value_sample(series: DataFrame, by: Sequence[str], fraction: float, seed: in
     return values.sample(fraction=fraction, seed=seed).select(*by, "v").orderBy(*by, "v")
 
 
+def value_draw(series: DataFrame, by: Sequence[str], key: Sequence[str], k: int, seed: int = 0) -> DataFrame:
+    """``k`` of the present values of every group, drawn without regard to the layout: ``by…, key…, day, v, draw``."""
+    values = explode_days(series, [*by, *key]).where(F.col("v").isNotNull())
+    return bounded_sample(values, by, [*key, "day"], k, seed)
+
+
+def missing_draw(series: DataFrame, by: Sequence[str], key: Sequence[str], k: int, seed: int = 0) -> DataFrame:
+    """Missing values per row, for ``k`` rows of every group: ``by…, key…, missing, draw``."""
+    rows = series.select(*by, *key, vec.missing(F.col("values")).alias("missing"))
+    return bounded_sample(rows, by, key, k, seed)
+
+
 def day_stats(series: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per day: sum, number of values present, and their mean."""
     return explode_days(series, by).groupBy(*by, "day").agg(
@@ -61,55 +74,46 @@ def day_stats(series: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _held_rows(held: dict[tuple, tuple], by: list[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _held_rows(held: dict[tuple, list[np.ndarray]], by: list[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Matrices as rows that hold the part from the diagonal on."""
-    for name, (products, pairs) in held.items():
-        d = len(products)
+    for name, matrices in held.items():
+        d = len(matrices[0])
         keys = [pa.array([part] * d, type=schema.field(c).type) for c, part in zip(by, name)]
         upper = np.triu_indices(d)
         offsets = pa.array(np.concatenate([[0], np.cumsum(np.arange(d, 0, -1))]).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(m[upper])) for m in (products, pairs)]
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(m[upper])) for m in matrices]
         columns = [*keys, pa.array(np.arange(d, dtype=np.int32)), *lists]
         yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
-def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Sums of products of the vectors (1, x), in one pass over the series.
-
-    Position 0 is the constant, position i + 1 is day i.  For i ≤ j, ``o`` is the
-    sum of products and ``no`` the number of series with both positions present;
-    row 0 therefore holds the sums and counts that the means need.
+def _matrix_sums(
+    rows: DataFrame, by: list[str], names: Sequence[str], products: Callable[[np.ndarray], list[np.ndarray]]
+) -> DataFrame:
+    """Sums of d×d matrices that ``products`` makes of the vectors of a group, NaN for missing, as cells: ``by…, i, j, names…`` for i ≤ j.
 
     Tasks add up dense matrices, at most ``HELD_BYTES`` of them at once, and hand on d²/2
     sums per group; these are added row by row in two rounds, first within salted
     parts of a group's row, and only the totals become one row per cell.
     """
-    by = list(by)
     schema = T.StructType(
-        [series.schema[c] for c in by]
-        + [
-            T.StructField("i", T.IntegerType()),
-            T.StructField("o", T.ArrayType(T.DoubleType())),
-            T.StructField("no", T.ArrayType(T.DoubleType())),
-        ]
+        [rows.schema[c] for c in by]
+        + [T.StructField("i", T.IntegerType())]
+        + [T.StructField(name, T.ArrayType(T.DoubleType())) for name in names]
     )
     arrow = to_arrow_schema(schema)
 
     def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[tuple, list[np.ndarray]] = {}
         for batch in batches:
             values = matrix_of(batch.column("values"))
             for name, members in groups_of([batch.column(c) for c in by], batch.num_rows):
-                matrix = np.hstack([np.ones((len(members), 1)), values[members]])
-                mask = (~np.isnan(matrix)).astype(np.float64)
-                matrix = np.nan_to_num(matrix, copy=False)
-                sums = (matrix.T @ matrix, mask.T @ mask)
+                sums = products(values[members])
                 if name in held:
                     for total, part in zip(held[name], sums):
                         total += part
                 else:
                     held[name] = sums
-                if len(held) * 16 * matrix.shape[1] ** 2 > HELD_BYTES:
+                if len(held) * 8 * len(names) * len(sums[0]) ** 2 > HELD_BYTES:
                     yield from _held_rows(held, by, arrow)
                     held = {}
         yield from _held_rows(held, by, arrow)
@@ -117,26 +121,68 @@ def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
     def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[tuple, list[np.ndarray]] = {}
         for batch in batches:
-            names = zip(*(batch.column(c).to_pylist() for c in [*by, "i"]))
-            for name, o, no in zip(names, batch.column("o"), batch.column("no")):
-                parts = [o.values.to_numpy(), no.values.to_numpy()]
-                if name in totals:
-                    for total, part in zip(totals[name], parts):
+            keys = zip(*(batch.column(c).to_pylist() for c in [*by, "i"]))
+            for key, *lists in zip(keys, *(batch.column(name) for name in names)):
+                parts = [one.values.to_numpy() for one in lists]
+                if key in totals:
+                    for total, part in zip(totals[key], parts):
                         total += part
                 else:
-                    totals[name] = [part.copy() for part in parts]
-        for name, (o, no) in totals.items():
-            keys = [pa.array([part], type=arrow.field(c).type) for c, part in zip([*by, "i"], name)]
-            lists = [list_column(part[None, :]) for part in (o, no)]
-            yield pa.RecordBatch.from_arrays([*keys, *lists], names=arrow.names)
+                    totals[key] = [part.copy() for part in parts]
+        for key, sums in totals.items():
+            keys = [pa.array([part], type=arrow.field(c).type) for c, part in zip([*by, "i"], key)]
+            yield pa.RecordBatch.from_arrays([*keys, *(list_column(one[None, :]) for one in sums)], names=arrow.names)
 
-    rows = series.where(F.col("values").isNotNull()).select(*by, "values")
     partial = rows.mapInArrow(multiply, schema)
     part = F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)).alias("part")
     merged = partial.select("*", part).repartition(*by, "i", "part").drop("part").mapInArrow(add_up, schema)
     whole = merged.repartition(*by, "i").mapInArrow(add_up, schema)
-    cells = whole.select(*by, "i", F.posexplode_outer(F.arrays_zip("o", "no")).alias("at", "s"))
-    return cells.select(*by, "i", (F.col("i") + F.col("at")).alias("j"), "s.o", F.col("s.no").cast("long").alias("no"))
+    cells = whole.select(*by, "i", F.posexplode_outer(F.arrays_zip(*names)).alias("at", "s"))
+    return cells.select(*by, "i", (F.col("i") + F.col("at")).alias("j"), *(F.col(f"s.{name}").alias(name) for name in names))
+
+
+def augmented_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sums of products of the vectors (1, x), in one pass over the series.
+
+    Position 0 is the constant, position i + 1 is day i.  For i ≤ j, ``o`` is the
+    sum of products and ``no`` the number of series with both positions present;
+    row 0 therefore holds the sums and counts that the means need.
+    """
+
+    def products(values: np.ndarray) -> list[np.ndarray]:
+        matrix = np.hstack([np.ones((len(values), 1)), values])
+        mask = (~np.isnan(matrix)).astype(np.float64)
+        matrix = np.nan_to_num(matrix, copy=False)
+        return [matrix.T @ matrix, mask.T @ mask]
+
+    rows = series.where(F.col("values").isNotNull()).select(*by, "values")
+    return _matrix_sums(rows, list(by), ["o", "no"], products).withColumn("no", F.col("no").cast("long"))
+
+
+def centred_moments(series: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Co-moments of deviations from a shift per day, and the days: ``by…, day, shift, rest``.
+
+    The shift is the mean of a day, ``rest`` what is left of it after rounding.  For i ≤ j, over the series that have both days,
+    ``o`` is the sum of products, ``no`` the number of series, ``s`` the sum of deviations of day i and ``t`` that of day j.
+    """
+    by = list(by)
+
+    def products(values: np.ndarray) -> list[np.ndarray]:
+        mask = (~np.isnan(values)).astype(np.float64)
+        known = np.nan_to_num(values)
+        sums = known.T @ mask
+        return [known.T @ known, mask.T @ mask, sums, np.ascontiguousarray(sums.T)]
+
+    rows = series.where(F.col("values").isNotNull()).select(*by, "values")
+    means = day_stats(rows, by).select(*by, "day", F.coalesce("mean", F.lit(0.0)).alias("shift"))
+    in_order = F.array_sort(F.collect_list(F.struct("day", "shift")))
+    shifts = stage(means.groupBy(*by).agg(F.transform(in_order, lambda d: d["shift"]).alias("shifts")), "shifts")
+    moved = F.zip_with("values", "shifts", lambda v, s: v - s)
+    shifted = join_groups(rows, shifts, by) if by else rows.withColumn("shifts", shifts.scalar())
+    cells = stage(_matrix_sums(shifted.select(*by, moved.alias("values")), by, ["o", "no", "s", "t"], products), "co-moments")
+    rest = cells.where("i = j").select(*by, F.col("i").alias("day"), F.try_divide("s", "no").alias("rest"))
+    days = shifts.select(*by, F.posexplode("shifts").alias("day", "shift"))
+    return cells, stage(join_groups(days, rest, [*by, "day"]), "days")
 
 
 def second_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -148,21 +194,18 @@ def second_moments(series: DataFrame, by: Sequence[str]) -> DataFrame:
 def covariance(series: DataFrame, by: Sequence[str]) -> DataFrame:
     """Covariance of days i ≤ j: mean product over the series that have both, minus the product of the means.
 
-    On the diagonal, where both means are over the same series, it is the centred variance, so that a
-    large offset does not cancel.
+    It is put together from deviations of a shift per day, so no two large products are subtracted: with z = x − shift
+    and m the mean of z over all series that have the day, E(xᵢxⱼ) − E(xᵢ)E(xⱼ) is E(zᵢzⱼ) − mᵢmⱼ + shiftⱼ (E(zᵢ) − mᵢ) + shiftᵢ (E(zⱼ) − mⱼ), the
+    expectations over the series that have both.  Without gaps the last two terms vanish.
     """
     by = list(by)
-    cells = stage(augmented_moments(series, by), "moments")
-    centred = stage(variances(series, by), "variances").withColumnsRenamed({"day": "i"})
-    means = cells.where((F.col("i") == 0) & (F.col("j") > 0)).select(
-        *by, (F.col("j") - 1).alias("day"), F.try_divide("o", "no").alias("mean")
-    )
-    left = means.withColumnsRenamed({"day": "i", "mean": "mean_i"})
-    right = means.withColumnsRenamed({"day": "j", "mean": "mean_j"})
-    pairs = cells.where(F.col("i") > 0).withColumns({"i": F.col("i") - 1, "j": F.col("j") - 1})
-    joined = join_groups(join_groups(join_groups(pairs, left, [*by, "i"]), right, [*by, "j"]), centred, [*by, "i"], "left")
-    product = F.try_divide(F.col("o"), F.col("no")) - F.col("mean_i") * F.col("mean_j")
-    cov = F.when(F.col("i") == F.col("j"), F.col("var")).otherwise(product)
+    cells, days = centred_moments(series, by)
+    left = days.withColumnsRenamed({"day": "i", "shift": "shift_i", "rest": "m_i"})
+    right = days.withColumnsRenamed({"day": "j", "shift": "shift_j", "rest": "m_j"})
+    joined = join_groups(join_groups(cells, left, [*by, "i"]), right, [*by, "j"])
+    mean = lambda name: F.try_divide(name, "no")
+    tilted = F.col("shift_j") * (mean("s") - F.col("m_i")) + F.col("shift_i") * (mean("t") - F.col("m_j"))
+    cov = mean("o") - F.col("m_i") * F.col("m_j") + F.when(F.col("i") == F.col("j"), 0.0).otherwise(tilted)
     return joined.select(*by, "i", "j", cov.alias("cov"))
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,9 @@ ORDER = 101
 STD = 20.0
 BLOCK = 512
 SPAN = 4096
+STACKED_CELLS = 1 << 20  # samples that are transformed at once
+DIRECT_CELLS = 1 << 20
+LEAST_MASS = 1e-7
 EDGES = ("renormalise", "zero")
 
 
@@ -32,23 +36,68 @@ def gaussian_window(order: int = ORDER, std: float = STD) -> np.ndarray:
     return weights / weights.sum()
 
 
+def _fast_length(n: int) -> int:
+    """The next length without prime factors above 5, for which a transform is quick."""
+    while True:
+        rest = n
+        for factor in (2, 3, 5):
+            while rest % factor == 0:
+                rest //= factor
+        if rest == 1:
+            return n
+        n += 1
+
+
+def smoothed_rows(padded: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted means of the samples present around every inner position of blocks, given as rows of one length; NaN where there are none.
+
+    Overlap-save: each block holds the samples that its ends reach, so one product of transforms per block gives all of its
+    inner positions.  Where the present samples have little weight, as at the far end of the window in a gap,
+    rounding of the transform would count; these positions are summed directly.
+    """
+    order, width = len(weights), padded.shape[1]
+    inner = width - order + 1
+    there = ~np.isnan(padded)
+    known = there.sum(axis=1)
+    middle = np.divide(np.where(there, padded, 0.0).sum(axis=1), known, out=np.zeros(len(padded)), where=known > 0)
+    values = np.where(there, padded - middle[:, None], 0.0)
+    size = _fast_length(width)
+    window = np.fft.rfft(weights, size)
+    sums, mass = (np.fft.irfft(np.fft.rfft(rows, size) * window, size)[:, order - 1 : width] for rows in (values, there.astype(np.float64)))
+    upto = np.concatenate([np.zeros((len(padded), 1), np.int64), np.cumsum(there, axis=1)], axis=1)
+    reached = upto[:, order:] > upto[:, :inner]
+    out = np.divide(sums, mass, out=np.full_like(sums, np.nan), where=reached & (mass > LEAST_MASS)) + middle[:, None]
+    row, at = np.nonzero(reached & (mass <= LEAST_MASS))
+    for start in range(0, len(row), DIRECT_CELLS // order + 1):
+        r, a = row[start : start + DIRECT_CELLS // order + 1], at[start : start + DIRECT_CELLS // order + 1]
+        around = a[:, None] + np.arange(order)
+        # Weights relative to the nearest sample present, so that none of them vanishes.
+        present = there[r[:, None], around]
+        scaled = np.where(present, np.log(weights, where=weights > 0, out=np.full(order, -np.inf))[::-1], -np.inf)
+        scaled = np.exp(scaled - np.maximum(scaled.max(axis=1, keepdims=True), -1e300))
+        total = scaled.sum(axis=1)
+        out[r, a] = np.where(total > 0, (scaled * values[r[:, None], around]).sum(axis=1) / np.where(total > 0, total, 1), np.nan) + middle[r]
+    return out
+
+
 def _convolve(padded: Column, order: int, std: float) -> Column:
     """Weighted mean of the samples present around every inner position of a padded block."""
 
     @F.arrow_udf("array<double>")
     def smooth(column: pa.Array) -> pa.Array:
         weights = gaussian_window(order, std)
-        inner = []
-        for values in column:
-            block = values.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            there = ~np.isnan(block)
-            sums = np.convolve(np.where(there, block, 0.0), weights, mode="valid")
-            mass = np.convolve(there.astype(np.float64), weights, mode="valid")
-            reached = np.convolve(there, np.ones(order), mode="valid") > 0.5
-            inner.append(np.divide(sums, mass, out=np.full_like(sums, np.nan), where=reached))
-        offsets = np.concatenate([[0], np.cumsum([len(v) for v in inner])]).astype(np.int32)
-        flat = np.concatenate(inner) if inner else np.empty(0)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, mask=np.isnan(flat)))
+        lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        sizes = np.maximum(lengths - order + 1, 0)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        out = np.empty(offsets[-1])
+        for length in np.unique(lengths[sizes > 0]):  # all but the last blocks of signals have one length
+            members = np.flatnonzero(lengths == length)
+            for part in np.array_split(members, -(-len(members) * int(length) // STACKED_CELLS)):
+                rows = smoothed_rows(flat[starts[part][:, None] + np.arange(length)], weights)
+                out[offsets[part][:, None] + np.arange(rows.shape[1])] = rows
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out, mask=np.isnan(out)))
 
     return smooth(padded)
 
@@ -126,14 +175,15 @@ def smooth_signal(
     order: int = ORDER,
     std: float = STD,
     edges: str = "renormalise",
-    length: int = BLOCK,
+    length: int | None = None,
 ) -> DataFrame:
     """Smooth samples at integer positions, one row each: ``by…, position, smooth``.
 
     Positions without a row are missing.  A signal starts at 0, or before it at its first position, and ends at its last
-    one; rows without a position are left out.
+    one; rows without a position are left out.  Blocks have ``length`` samples, by default as many as the window at least, so
+    that a block is shared with its two neighbours only.
     """
-    by = list(by)
+    by, length = list(by), length or max(BLOCK, order)
     start = F.least(F.min(position), F.lit(0)).cast("long")
     ends = stage(samples.where(F.col(position).isNotNull()).groupBy(*by).agg(start.alias("start_"), F.max(position).alias("last_")), "signals")
     samples = join_groups(samples, ends.drop("last_"), by).withColumn(position, F.col(position) - F.col("start_"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.functions import tokens as tok
+from seriesloom.operators.folding import central_moments, fold_by_key
 from seriesloom.operators.ordered import chunked_lists
 from seriesloom.operators.sets import skewed_outer_join
 from seriesloom.operators.text import each, with_group
@@ -174,6 +175,36 @@ def combine_mean(spark, folder):
     return _pairs(spark, folder).groupBy("k").agg(F.round(F.sum("v") / F.count("v"), 6).alias("mean"))
 
 
+@query(
+    "fold_moments",
+    """WITH v AS (SELECT l_returnflag AS k, l_extendedprice AS v FROM lineitem),
+       m AS (SELECT k, avg(v) AS mean, count(*) AS n FROM v GROUP BY k),
+       d AS (SELECT k, n, mean, avg((v - mean) ** 2) AS second, avg((v - mean) ** 3) AS third FROM v JOIN m USING (k) GROUP BY ALL)
+       SELECT k, n, round(mean, 6) AS mean, round(sqrt(second), 6) AS deviation, round(third / second ** 1.5, 6) + 0.0 AS skewness FROM d""",
+)
+def fold_moments(spark, folder):
+    """A state that no built-in aggregate has: count, mean, second and third central moment, merged as they come."""
+    finish = lambda s: F.struct(
+        s["n"].cast("long").alias("n"), F.round(s["mean"], 6).alias("mean"), F.round(F.sqrt(s["second"] / s["n"]), 6).alias("deviation"),
+        F.round(F.sqrt(s["n"]) * s["third"] / F.pow(s["second"], F.lit(1.5)), 6).alias("skewness"),
+    )
+    rows = table(spark, folder, "lineitem").select(F.col("l_returnflag").alias("k"), "l_extendedprice")
+    return fold_by_key(rows, ["k"], F.col("l_extendedprice"), *central_moments(), finish).select("k", "folded.*")
+
+
+@query(
+    "fold_key_digest",
+    """SELECT o_custkey AS k, count(*) AS n, max(o_orderkey) AS last, bit_xor(o_orderkey) AS mixed FROM orders GROUP BY 1""",
+)
+def fold_key_digest(spark, folder):
+    """Count, largest value and exclusive or in one state per key."""
+    create = lambda v: F.struct(F.lit(1).cast("long").alias("n"), v.alias("last"), v.alias("mixed"))
+    both = lambda a, b: F.struct((a["n"] + b["n"]).alias("n"), F.greatest(a["last"], b["last"]).alias("last"), a["mixed"].bitwiseXOR(b["mixed"]).alias("mixed"))
+    orders = table(spark, folder, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").cast("long").alias("v"))
+    folded = fold_by_key(orders, ["k"], F.col("v"), create, lambda a, v: both(a, create(v)), both)
+    return folded.select("k", "folded.*")
+
+
 @query("count_by_key", "SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1")
 def count_by_key(spark, folder):
     return _pairs(spark, folder).groupBy("k").agg(F.count(F.lit(1)).alias("n"))

@@ -6,8 +6,8 @@ from math import pi
 
 from pyspark.sql import functions as F
 
+from seriesloom.operators import blockmatrix, ordered
 from seriesloom.operators import decompose as dec
-from seriesloom.operators import ordered
 from seriesloom.operators import series_stats as stats
 from seriesloom.operators.profile import scaled_units
 from seriesloom.plans.profile import near
@@ -45,6 +45,30 @@ def series_value_sample(spark, folder):
     return found.select("measurement", "total", "strangers", within.alias("within"))
 
 
+@query(
+    "series_value_draw",
+    f"""WITH {SERIES_LONG_SQL} SELECT measurement, draw, station, day, round(v, 6) + 0.0 AS v FROM (
+        SELECT *, row_number() OVER (PARTITION BY measurement ORDER BY md5(concat_ws('|', '7', station::VARCHAR, day::VARCHAR)), station, day)::INTEGER AS draw
+        FROM series_long WHERE v IS NOT NULL) WHERE draw <= 200""",
+)
+def series_value_draw(spark, folder):
+    """200 values of every measurement, the same for any layout."""
+    drawn = stats.value_draw(series(spark, folder), BY, ["station"], 200, seed=7)
+    return drawn.select("measurement", "draw", "station", "day", r6(F.col("v")).alias("v"))
+
+
+@query(
+    "missing_per_row_draw",
+    f"""WITH {SERIES_LONG_SQL}, rows AS (SELECT measurement, station, (count(*) - count(v))::INTEGER AS missing FROM series_long GROUP BY 1, 2)
+        SELECT measurement, draw, station, missing FROM (
+        SELECT *, row_number() OVER (PARTITION BY measurement ORDER BY md5(concat_ws('|', '7', station::VARCHAR)), station)::INTEGER AS draw FROM rows)
+        WHERE draw <= 30""",
+)
+def missing_per_row_draw(spark, folder):
+    """The number of missing values of 30 rows of every measurement."""
+    return stats.missing_draw(series(spark, folder), BY, ["station"], 30, seed=7).select("measurement", "draw", "station", "missing")
+
+
 @query(
     "series_day_stats",
     f"""WITH {SERIES_LONG_SQL} SELECT measurement, day, round(sum(v), 6) + 0.0 AS e, count(v) AS ne, round(avg(v), 6) + 0.0 AS mean
@@ -326,3 +350,61 @@ _CURVES = ["coeff_1", "coeff_2", "res_mean", "res_1", "res_2", "res_3"]
 def fit_cdf(spark, folder):
     curves = dec.fit_distributions(_rounded(_decomposed(spark, folder), "station"), _CURVES)
     return curves.withColumnRenamed("column", "name").withColumns({c: r6(F.col(c)) for c in ("p_first", "p_last")})
+
+
+# ------------------------------------------------------- matrices of blocks
+
+_FILLED_SQL = f"""{SERIES_LONG_SQL}, filled AS (SELECT station, day, coalesce(v, 0) AS v FROM series_long),
+  vectors AS (SELECT station AS i, list(v ORDER BY day) AS x FROM filled GROUP BY 1)"""
+
+
+def _series_matrix(spark, folder):
+    """The readings as a matrix of stations and days, missing ones as 0."""
+    numbered = series(spark, folder).select(F.col("station").alias("i"), F.transform("values", lambda v: F.coalesce(v, F.lit(0.0))).alias("values"))
+    return blockmatrix.from_rows(numbered, "i", "values", DAYS).staged()
+
+
+@query(
+    "matrix_gram",
+    f"""WITH {_FILLED_SQL} SELECT a.i AS "row", round(sum(list_inner_product(a.x, b.x)), 6) + 0.0 AS total,
+        round(max(list_inner_product(a.x, b.x)), 6) + 0.0 AS largest, round(sum(list_inner_product(a.x, b.x)) FILTER (b.i = a.i), 6) AS own
+        FROM vectors a, vectors b GROUP BY 1""",
+)
+def matrix_gram(spark, folder):
+    """A·Aᵀ of all series, by a join of their blocks; of each row its sum, largest element and diagonal."""
+    a = _series_matrix(spark, folder)
+    cells = (a @ a.transpose()).cells()
+    found = cells.groupBy("row").agg(F.sum("value").alias("total"), F.max("value").alias("largest"), F.max(F.when(F.col("row") == F.col("column"), F.col("value"))).alias("own"))
+    return found.select("row", *(r6(F.col(c)).alias(c) for c in ("total", "largest", "own")))
+
+
+@query(
+    "matrix_reshape",
+    f"""WITH {_FILLED_SQL}, placed AS (SELECT station * {DAYS} + day AS p, v FROM filled UNION ALL
+          SELECT (station + (SELECT count(*) FROM vectors)) * {DAYS} + day, 2 * v FROM filled)
+        SELECT p // 40 AS "row", p % 40 AS "column", round(v, 6) + 0.0 AS value FROM placed""",
+)
+def matrix_reshape(spark, folder):
+    """The matrix above its double, under rows of 40 elements."""
+    a = _series_matrix(spark, folder)
+    double = blockmatrix.BlockMatrix(a.blocks.withColumn("values", F.transform("values", lambda v: v * 2)), a.rows, a.columns, a.block)
+    both = a.below(double)
+    return both.reshape(both.rows * both.columns // 40, 40).cells().withColumn("value", r6(F.col("value")))
+
+
+@query(
+    "matrix_outer",
+    f"""WITH {_FILLED_SQL}, sums AS (SELECT i, list_sum(x) AS s FROM vectors), days AS (SELECT day, sum(v) AS s FROM filled GROUP BY 1)
+        SELECT i AS "row", round(sum(sums.s * days.s), 6) + 0.0 AS total, round(sum(sums.s * days.s * (day + 1)), 6) + 0.0 AS weighted FROM sums, days GROUP BY 1""",
+)
+def matrix_outer(spark, folder):
+    """Outer product of the sums of the rows and of the columns, both from products with ones."""
+    a = _series_matrix(spark, folder)
+
+    def ones(n):
+        return blockmatrix.from_rows(spark.range(n).select("id", F.array(F.lit(1.0)).alias("one")), "id", "one", 1)
+
+    rows, days = (a @ ones(a.columns)).staged(), (a.transpose() @ ones(a.rows)).staged()
+    cells = blockmatrix.outer(rows, days).cells()
+    found = cells.groupBy("row").agg(F.sum("value").alias("total"), F.sum(F.col("value") * (F.col("column") + 1)).alias("weighted"))
+    return found.select("row", r6(F.col("total")).alias("total"), r6(F.col("weighted")).alias("weighted"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from seriesloom.functions.halfprec import pack_half, unpack_half
@@ -81,6 +83,35 @@ def ingest_series(spark, folder):
     return good.select("station", "measurement", "year", F.size(present).alias("present"), r6(total).alias("total"))
 
 
+@query(
+    "ingest_table",
+    f"""{_LINES_SQL}, stations AS (SELECT DISTINCT station, station % 7 AS region FROM rows)
+        SELECT year, region, count(*) AS series, sum(present)::BIGINT AS present, round(sum(total), 6) + 0.0 AS total
+        FROM rows JOIN stations USING (station) WHERE NOT short AND NOT odd AND year >= 2010 GROUP BY 1, 2""",
+)
+def ingest_table(spark, folder):
+    """Raw lines, some of them in one gzip file, as a laid-out table that is joined with stations for the years from 2010 on."""
+    path, names = scratch_path(spark, "raw-series"), [f"{kind}_{uuid.uuid4().hex}" for kind in ("series", "stations")]
+    lines = _series_lines(spark, folder)
+    old = F.split("value", ",")[2] < "2000"
+    lines.where(~old).write.text(path)
+    lines.where(old).coalesce(1).write.mode("append").option("compression", "gzip").text(path)
+    laid_out = readers.ingest_table(spark, path, scratch_path(spark, "series"), names[0], DAYS)
+    stations = series(spark, folder).select(F.col("station").cast("string").alias("station"), (F.col("station") % 7).alias("region")).distinct()
+    beside = readers.station_table(stations, scratch_path(spark, "stations"), names[1])
+    return laid_out_regions(laid_out, beside)
+
+
+def laid_out_regions(laid_out, stations):
+    """Per year from 2010 on and region: series, values present and their sum."""
+    present = F.filter("values", lambda v: v.isNotNull())
+    total = F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v)
+    rows = laid_out.where(F.col("year") >= 2010).select("station", "year", F.size(present).alias("present"), r6(total).alias("total"))
+    return rows.join(stations, "station").groupBy("year", "region").agg(
+        F.count(F.lit(1)).alias("series"), F.sum("present").alias("present"), r6(F.sum("total")).alias("total")
+    )
+
+
 @query(
     "parse_good_bad",
     f"""{_LINES_SQL} SELECT CASE WHEN short OR odd THEN 'bad' ELSE 'good' END AS channel, station::VARCHAR AS station,

@@ -101,11 +101,35 @@ def split_series_lines(lines: DataFrame, days: int = 365, raw: str = "value") ->
     )
 
 
+def _good_lines(spark: SparkSession, path: str, days: int) -> DataFrame:
+    """Good rows of every text file below ``path``; a few files that cannot be split, as with gzip, are parsed by all cores."""
+    parsed = parse_series_lines(spread(spark.read.text(path)), days)
+    return parsed.where("ok").select("station", "measurement", "year", "values")
+
+
 def ingest_series(spark: SparkSession, path: str, days: int = 365) -> DataFrame:
     """Every text file below ``path`` in one job: header and misshapen rows dropped, by year."""
-    parsed = parse_series_lines(spark.read.text(path), days)
-    good = parsed.where("ok").select("station", "measurement", "year", "values")
-    return good.orderBy("year", "station", "measurement")
+    return _good_lines(spark, path, days).orderBy("year", "station", "measurement")
+
+
+def ingest_table(spark: SparkSession, path: str, target: str, name: str, days: int = 365, buckets: int = 8) -> DataFrame:
+    """The good rows as a table laid out for later reads: partitions by year, in these buckets by station, sorted by station.
+
+    Filters on the year read only its files, and joins or groupings on the station with a table in as many buckets need no exchange.
+    Rows are dealt by year and bucket, so every pair of them is one file, and a station that holds much of the rows
+    spreads over its years.  ``target`` is the folder, ``name`` the name in the catalog.
+    """
+    rows = _good_lines(spark, path, days)
+    bucket = F.pmod(F.hash("station"), F.lit(buckets))
+    dealt = rows.repartition("year", bucket).sortWithinPartitions("year", "station", "measurement")
+    dealt.write.partitionBy("year").bucketBy(buckets, "station").sortBy("station").option("path", target).saveAsTable(name)
+    return spark.table(name)
+
+
+def station_table(stations: DataFrame, target: str, name: str, buckets: int = 8) -> DataFrame:
+    """A table of stations in buckets that match ``ingest_table``."""
+    stations.write.bucketBy(buckets, "station").sortBy("station").option("path", target).saveAsTable(name)
+    return stations.sparkSession.table(name)
 
 
 # ------------------------------------------------------------------------ CSV

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +82,33 @@ def passing() -> Iterator[Callable[[DataFrame], DataFrame]]:
     finally:
         _OWNERS.remove(owned)
         for path, table in owned.items():
-            spark = table.sparkSession
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(table.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def bucketed_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, Sequence[str], str], DataFrame]]:
+    """A function that writes a table in buckets of some keys and returns it; the tables go when the block ends.
+
+    Tables of a block have the same number of buckets, so joins and groupings on their keys need no exchange.
+    """
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names: dict[str, str] = {}
+
+    def lay_out(df: DataFrame, keys: Sequence[str], label: str = "laid_out") -> DataFrame:
+        path = scratch_path(spark, label)
+        name = f"{label}_{uuid.uuid4().hex}"
+        names[name] = path
+        df.write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+        return spark.table(name)
+
+    try:
+        yield lay_out
+    finally:
+        for name, path in names.items():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            _delete(spark, path)

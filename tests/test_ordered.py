@@ -118,3 +118,73 @@ def test_quantiles_meet_over_many_stretches(skewed, monkeypatch):
     monkeypatch.setattr(ordered, "STRETCH", 7)
     for row in ordered.exact_quantiles(df, "v", [0.1, 0.5, 0.9], ["g"]).collect():
         assert row["quantile"] == pytest.approx(np.quantile(pdf[pdf.g == row["g"]].v, row["prob"]))
+
+
+# ---------------------------------------------------- quantiles by brackets
+
+
+def places(df, probs, by, accuracy):
+    return {(r["g"] if by else None, r["prob"]): r["quantile"] for r in ordered.exact_quantiles(df, "v", probs, by, accuracy).collect()}
+
+
+@pytest.mark.parametrize("accuracy", [20, 100])
+def test_quantiles_inside_brackets_equal_numpy(skewed, accuracy):
+    """Groups beyond ten times the accuracy are bracketed; one value holds a third of the rows."""
+    pdf, df = skewed
+    probs = [0, 0.001, 0.1, 0.25, 1 / 3, 0.5, 0.51, 0.9, 0.999, 1]
+    for (group, prob), quantile in places(df, probs, ["g"], accuracy).items():
+        assert quantile == pytest.approx(np.quantile(pdf[pdf.g == group].v, prob)), (group, prob)
+    for (_, prob), quantile in places(df, probs, [], accuracy).items():
+        assert quantile == pytest.approx(np.quantile(pdf.v, prob))
+
+
+def test_only_few_values_are_sorted(skewed, monkeypatch):
+    """Of 200,000 distinct values what is put in order is a small part, and no plan sorts them all."""
+    sorted_rows, staged = [], ordered.stage
+
+    def watch(df, label="staged"):
+        table = staged(df, label)
+        if label == "slots":
+            sorted_rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(ordered, "stage", watch)
+    spark = skewed[1].sparkSession
+    df = spark.range(200_000).select((F.xxhash64("id") % 1_000_000_007).cast("double").alias("v"))
+    values = np.array([r[0] for r in df.collect()])
+    for r in ordered.exact_quantiles(df, "v", [0.1, 0.5, 0.9]).collect():
+        assert r["quantile"] == pytest.approx(np.quantile(values, r["prob"]))
+    assert len(sorted_rows) == 1 and sorted_rows[0] < 0.02 * len(values)
+
+
+def test_quantiles_where_the_sketch_misses(skewed, monkeypatch):
+    """Brackets beside the wanted places are noticed, and the groups are sorted."""
+    pdf, df = skewed
+    right = ordered._bracketed
+
+    def wrong(rows, value, probs, by, accuracy):
+        spoiled = F.transform("ends_", lambda end: end - 100)
+        return right(rows, value, probs, by, accuracy).withColumn("ends_", F.when(F.col("g") == "hot", spoiled).otherwise(F.col("ends_")) if by else spoiled)
+
+    monkeypatch.setattr(ordered, "_bracketed", wrong)
+    for by in (["g"], []):
+        for (group, prob), quantile in places(df, [0.25, 0.5], by, 20).items():
+            assert quantile == pytest.approx(np.quantile(pdf[pdf.g == group].v if by else pdf.v, prob))
+
+
+def test_quantiles_of_nulls_and_integers(spark):
+    df = spark.createDataFrame([(None, 1), (None, 4), ("a", None), ("b", 2**40), ("b", 2**40 + 1)], "g string, v long")
+    assert places(df, [0.5], ["g"], 2000) == {(None, 0.5): 2.5, ("b", 0.5): 2**40 + 0.5}
+    assert places(df.where("g = 'a'"), [0.5], ["g"], 2000) == {}
+
+
+def test_neighbour_diff_has_one_line_per_partition(spark, monkeypatch):
+    """Batches of a partition are chained where they are, also for one group of all rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = spark.range(20_000).select(F.when(F.col("id") < 19_990, "hot").alias("g"), "id", (F.col("id") * 37 % 1009).cast("double").alias("v"))
+        got = {r["g"]: tuple(r)[1:] for r in ordered.neighbour_diff(df.repartition(9), "g", "id", "v").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    walk = lambda ids: float(np.abs(np.diff([i * 37 % 1009 for i in ids])).sum())
+    assert got == {"hot": (0, 19_990, walk(range(19_990))), None: (19_990, 10, walk(range(19_990, 20_000)))}

@@ -10,7 +10,8 @@ from seriesloom.plans import QUERIES
 ARROW = {
     "collinear_sets", "series_second_moments", "gauss_smooth", "gauss_smooth_zero_edges", "smooth_append", "neighbour_diff",
     "pca_eig", "eigvec_long", "variance_explained", "unpack_f16", "fourier_residuals", "decompose_fixed_basis",
-    "decompose_pca", "reconstruct", "fit_extremes", "coefficient_extremes", "fit_cdf",
+    "decompose_pca", "reconstruct", "fit_extremes", "coefficient_extremes", "fit_cdf", "fold_moments", "fold_key_digest",
+    "matrix_gram", "matrix_reshape", "matrix_outer",
 }
 
 

@@ -197,3 +197,33 @@ def test_groups_of_several_columns(series, matrix):
     expected = covariance(matrix[rows])
     for row in cov[(cov.state == "NY") & (cov.measurement == "A")].itertuples():
         assert row.cov == pytest.approx(expected[row.i, row.j], abs=1e-9)
+
+
+def test_covariance_with_large_offsets(spark):
+    """Offsets of 1e8 do not cost digits, with and without gaps."""
+    rng = np.random.default_rng(21)
+    small = rng.normal(size=(400, 5))
+    offsets = np.array([1e8, -1e8, 3e8, 0.0, 1.0])
+    rows = [("a", [float(x) for x in row]) for row in small + offsets]
+    df = spark.createDataFrame(rows, "g string, values array<double>").repartition(7)
+    kept = np.array([row for _, row in rows]) - offsets
+    expected = np.cov(kept.T, bias=True)
+    for r in stats.covariance(df, ["g"]).collect():
+        assert r["cov"] == pytest.approx(expected[r["i"], r["j"]], abs=1e-6)
+
+
+def test_covariance_with_offsets_and_gaps_follows_its_definition(spark):
+    from fractions import Fraction
+
+    rng = np.random.default_rng(22)
+    data = rng.integers(-50, 50, (60, 4)) + np.array([10**8, -(10**8), 0, 7])
+    gaps = rng.random(data.shape) < 0.2
+    rows = [[None if g else float(x) for x, g in zip(*pair)] for pair in zip(data, gaps)]
+    df = spark.createDataFrame([(row,) for row in rows], "values array<double>")
+    mean = lambda v: sum(map(Fraction, v)) / len(v)
+    column = lambda i: [int(x) for x, g in zip(data[:, i], gaps[:, i]) if not g]
+    for r in stats.covariance(df, []).collect():
+        both = ~gaps[:, r["i"]] & ~gaps[:, r["j"]]
+        products = [int(a) * int(b) for a, b in zip(data[both, r["i"]], data[both, r["j"]])]
+        exact = mean(products) - mean(column(r["i"])) * mean(column(r["j"]))
+        assert r["cov"] == pytest.approx(float(exact), rel=1e-9, abs=1e-6)

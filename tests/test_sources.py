@@ -90,3 +90,62 @@ def test_small_scans_are_spread_and_large_ones_left_alone(spark):
     one, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, cores + 3)
     assert readers.spread(one).rdd.getNumPartitions() == cores
     assert readers.spread(many).rdd.getNumPartitions() == cores + 3
+
+
+def _raw_lines(spark, path):
+    """Two plain files and one gzip file of series of four days."""
+    rows = [(f"s{i % 23}", "PRCP", 1990 + i % 30, [float(i), None, 2.0, 3.0]) for i in range(600)]
+    text = [(",".join([s, m, str(y), *("" if v is None else str(v) for v in values)]),) for s, m, y, values in rows]
+    lines = spark.createDataFrame([*text, ("station,measurement,year,1,2,3,4",), ("s1,PRCP,199x,1,2,3,4",)], "value string")
+    lines.where("length(value) % 2 = 0").repartition(2).write.text(path)
+    lines.where("length(value) % 2 = 1").coalesce(1).write.mode("append").option("compression", "gzip").text(path)
+    return rows
+
+
+@pytest.fixture(scope="module")
+def laid_out(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("laid-out")
+    rows = _raw_lines(spark, f"{folder}/raw")
+    series = readers.ingest_table(spark, f"{folder}/raw", f"{folder}/series", "laid_out_series", 4, buckets=5)
+    stations = spark.createDataFrame([(f"s{i}", i % 3) for i in range(23)], "station string, region int")
+    stations = readers.station_table(stations, f"{folder}/stations", "laid_out_stations", buckets=5)
+    yield rows, series, stations
+    for name in ("laid_out_series", "laid_out_stations"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_laid_out_table_holds_the_good_rows(laid_out):
+    rows, series, _ = laid_out
+    assert sorted(map(repr, rows)) == sorted(repr(tuple(r)) for r in series.select("station", "measurement", "year", "values").collect())
+
+
+def test_year_filters_prune_files(laid_out):
+    _, series, _ = laid_out
+    recent = series.where("year >= 2015")
+    text = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in text and len(recent.inputFiles()) < len(series.inputFiles()) / 4
+    assert len(series.inputFiles()) <= 30 * 5  # one file per year and bucket
+
+
+def test_station_joins_need_no_exchange(spark, laid_out):
+    _, series, stations = laid_out
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for key in keys:
+            spark.conf.set(key, "-1")
+        joined = series.join(stations, "station")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 600
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_a_single_gzip_file_is_parsed_by_all_cores(spark, tmp_path):
+    lines = spark.range(50).select(F.concat_ws(",", F.lit("s"), F.lit("m"), F.lit("2000"), "id", "id").alias("value"))
+    lines.coalesce(1).write.option("compression", "gzip").text(f"{tmp_path}/one")
+    assert spark.read.text(f"{tmp_path}/one").rdd.getNumPartitions() == 1
+    text = readers.ingest_series(spark, f"{tmp_path}/one", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in text
+    assert readers.ingest_series(spark, f"{tmp_path}/one", 2).count() == 50
