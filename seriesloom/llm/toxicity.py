@@ -14,6 +14,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from seriesloom.staging import stage
 
 FOLDS = 4
 NEAR = 6
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 LONGEST_WORD = 64
 # Pronouns of the second person in the languages most often met.
 SECOND_PERSON = frozenset(
@@ -96,24 +98,48 @@ def stems(word: str) -> list[str]:
 
 
 class Marks(dict):
-    """Per word: weight in the lexicon, whether it is a pronoun of the second person, disguised, in capitals; remembered up to a bound."""
+    """Per word a number, under which ``table`` has its weight in the lexicon and whether it is a pronoun of the second person, disguised, in capitals.
+
+    Words are remembered up to a bound; 0 is a word without a mark.
+    """
 
     def __init__(self, lexicon: dict[str, float]):
         super().__init__()
         self.lexicon = lexicon
+        self.numbers = {(0.0, False, False, False): 0}
+        self.table = np.zeros((1, 4))
 
-    def __missing__(self, raw: bytes) -> tuple[float, bool, bool, bool]:
-        word = raw[:LONGEST_WORD].decode("utf-8", "ignore")
-        plain = "".join(_LETTERS.findall(word.lower()))
-        shown = undisguised(word)
-        weigh = lambda text: max((self.lexicon.get(stem, 0.0) for stem in stems(text)), default=0.0)
+    def weigh(self, word: str) -> float:
+        return max((self.lexicon.get(stem, 0.0) for stem in stems(word)), default=0.0)
+
+    def __missing__(self, raw: bytes) -> int:
+        plain, shown = shapes(raw)
         disguised = shown != plain
-        value = max(weigh(plain), weigh(shown) if disguised else 0.0), plain in SECOND_PERSON, disguised and len(plain) > 0, len(plain) > 2 and word.isupper()
+        weight = max(self.weigh(plain), self.weigh(shown)) if disguised else self.weigh(plain)
+        mark = weight, plain in SECOND_PERSON, disguised and len(plain) > 0, len(plain) > 2 and raw.isupper()
+        if mark not in self.numbers:
+            self.numbers[mark] = len(self.table)
+            self.table = np.vstack([self.table, mark])
         if len(self) >= CACHED_WORDS:
             self.clear()
+        number = self.numbers[mark]
         if len(raw) <= LONGEST_WORD:
-            self[raw] = value
-        return value
+            self[raw] = number
+        return number
+
+
+@lru_cache(maxsize=FOLDS + 1)
+def marks_of(lexicon: tuple[tuple[str, float], ...]) -> Marks:
+    """One memory of words per Python worker and lexicon."""
+    return Marks(dict(lexicon))
+
+
+def shapes(raw: bytes) -> tuple[str, str]:
+    """The letters of a word, and those when disguises are undone."""
+    word = raw[:LONGEST_WORD].decode("utf-8", "ignore").lower()
+    if word.isalpha() and not _STRETCHED.search(word):
+        return word, word
+    return "".join(_LETTERS.findall(word)), undisguised(word)
 
 
 def features(texts: list[bytes], marks: Marks) -> np.ndarray:
@@ -124,18 +150,20 @@ def features(texts: list[bytes], marks: Marks) -> np.ndarray:
         if not words:
             continue
         n = len(words)
-        table = np.array([marks[word] for word in words])
-        weights, second, disguised, capital = table.T
-        hits, persons = np.flatnonzero(weights), np.flatnonzero(second)
+        numbers = np.fromiter(map(marks.__getitem__, words), np.int64, n)
+        marked = np.flatnonzero(numbers)
+        weights, second, disguised, capital = marks.table[numbers[marked]].T
+        hit = weights > 0
+        hits, persons = marked[hit], marked[second > 0]
         distance = np.full(len(hits), np.inf)
         if len(persons) and len(hits):
             after = np.searchsorted(persons, hits)
             distance = np.minimum(np.abs(persons[np.minimum(after, len(persons) - 1)] - hits), np.abs(hits - persons[np.maximum(after - 1, 0)]))
         letters = np.frombuffer(text, np.uint8)
         out[row] = [
-            np.log1p(n), len(hits) / n, weights.sum() / n, np.log1p(len(hits)), len({words[i].lower() for i in hits}) / n, weights.max(),
+            np.log1p(n), len(hits) / n, weights.sum() / n, np.log1p(len(hits)), len({words[i].lower() for i in hits.tolist()}) / n, weights.max(initial=0.0),
             np.count_nonzero(distance <= NEAR) / n, (1 / (1 + distance)).sum() / n, len(persons) / n, disguised.sum() / n,
-            np.count_nonzero(disguised[hits]) / n, capital.sum() / n, np.count_nonzero((letters >= 65) & (letters <= 90)) / len(letters),
+            disguised[hit].sum() / n, capital.sum() / n, np.count_nonzero((letters >= 65) & (letters <= 90)) / len(letters),
             text.count(b"!") / n, text.count(b"?") / n, (text.count(b"*") + text.count(b"#") + text.count(b"@")) / n,
         ]
     return out
@@ -174,6 +202,22 @@ def choose_stems(toxic: dict[str, int], other: dict[str, int], toxic_texts: int,
     return {stem: found[stem] for stem in best}
 
 
+class WordStems(dict):
+    """Stems of the shapes of a word, only ``wanted`` ones if given; remembered up to a bound."""
+
+    def __init__(self, wanted: frozenset[str] | None):
+        super().__init__()
+        self.wanted = wanted
+
+    def __missing__(self, raw: bytes) -> tuple[str, ...]:
+        found = {stem for shape in set(shapes(raw)) for stem in stems(shape)}
+        value = tuple(found if self.wanted is None else found & self.wanted)
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[raw] = value
+        return value
+
+
 def _stem_counts(sample: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     """fold, stem and the number of texts it stands in, over ``sample`` (text, fold); only ``wanted`` stems, if given."""
 
@@ -183,12 +227,11 @@ def _stem_counts(sample: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(folds, pa.int32()), pa.array(names, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["fold", "stem", "n"])
 
         counts: Counter = Counter()
+        known = WordStems(wanted)
         for batch in batches:
             for part in text_slices(batch):
                 for fold, text in zip(part.column("fold").to_pylist(), raw_texts(part), strict=True):
-                    words = {word[:LONGEST_WORD].decode("utf-8", "ignore") for word in text.split()}
-                    held = {stem for word in words for shape in {"".join(_LETTERS.findall(word.lower())), undisguised(word)} for stem in stems(shape)}
-                    counts.update((fold, stem) for stem in (held if wanted is None else held & wanted))
+                    counts.update((fold, stem) for stem in set(chain.from_iterable(map(known.__getitem__, set(text.split())))))
                 if len(counts) > 500_000:
                     yield found()
                     counts = Counter()
@@ -239,7 +282,7 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
     shipped = documents.sparkSession.sparkContext.broadcast(of_fold)  # folds x stems weights
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = [Marks(lexicon) for lexicon in shipped.value]
+        marks = [marks_of(tuple(lexicon.items())) for lexicon in shipped.value]
         for batch in batches:
             for part in text_slices(batch):
                 folds = part.column("fold").to_pylist()
@@ -269,7 +312,7 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
-        marks = Marks(model.lexicon)
+        marks = marks_of(tuple(model.lexicon.items()))
         for batch in batches:
             for part in text_slices(batch):
                 scores = model.scores(features(raw_texts(part), marks))
