@@ -22,13 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import mixed, raw_texts, text_slices
+from seriesloom.llm.common import Bitmap, bitmap_of, mixed, raw_texts, text_slices
 from seriesloom.operators.ordered import top_per_group
 from seriesloom.staging import stage
 
 DEPTH = 4
 MIN_COUNT = 30
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 PART_BYTES = 1 << 22
 FILTER_BITS = 27
 UNKNOWN_LANGUAGE = "und"
@@ -101,10 +101,12 @@ class Side:
                 ranks = _numbered(keys)
             behind = np.concatenate([ranks[reach:], np.zeros(reach, np.int64)])
             keys, reach = ranks * (int(ranks.max()) + 1) + behind, 2 * reach
-        order = np.argsort(keys, kind="stable")
-        self.before = words[order - 1]
-        self.step = np.empty(len(words), np.int64)
-        self.step[np.argsort(self.before, kind="stable")] = np.arange(len(words))
+        del ranks
+        order = np.argsort(keys, kind="stable").astype(np.int32)
+        del keys
+        self.before = words[order - 1].astype(np.int32)
+        self.step = np.empty(len(words), np.int32)
+        self.step[np.argsort(self.before, kind="stable")] = np.arange(len(words), dtype=np.int32)
 
 
 class BidirectionalIndex:
@@ -154,18 +156,6 @@ def phrase_hashes(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-@dataclass(frozen=True)
-class Bitmap:
-    """Hashes that are frequent, by their upper bits; others may be taken for frequent, never the other way round."""
-
-    bits: np.ndarray
-    width: int
-
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes >> np.uint64(64 - self.width)
-        return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def tokens_of(text: bytes, part_bytes: int = PART_BYTES, overlap: int = DEPTH - 1) -> Iterator[tuple[list[bytes], list[bytes]]]:
     """Words and separators of a text, part by part, each with words that the part before had too.
 
@@ -241,13 +231,7 @@ def _frequent(frame: DataFrame, min_count: int, shard_words: int, width: int) ->
                     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(sign * phrases.count)], names=["name", "n"])
 
     counted = frame.mapInArrow(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    place = F.shiftrightunsigned("name", 64 - width)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-    words = counted.select(F.shiftright(place, 6).alias("at"), bit.alias("bit"))
-    found = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(width - 6) rows
-    bits = np.zeros(1 << (width - 6), np.uint64)
-    bits[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return Bitmap(bits, width)
+    return bitmap_of(counted.select("name"), width)
 
 
 def phrase_counts(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +66,35 @@ def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def fresh_name(columns: list[str], stem: str) -> str:
+    """A name that no column has, whatever its case."""
+    taken = set(map(str.lower, columns))
+    return next(name for name in map(f"{stem}{{}}".format, count()) if name.lower() not in taken)
+
+
 def small_side(staged: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast for a staged narrow table of at most ``rows`` rows; a larger one is left to the planner."""
     return F.broadcast(staged) if staged.count() <= rows else staged
+
+
+@dataclass(frozen=True)
+class Bitmap:
+    """64-bit hashes by their upper bits; others may be taken for one of them, never the other way round."""
+
+    bits: np.ndarray
+    width: int
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> np.uint64(64 - self.width)
+        return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def bitmap_of(names: DataFrame, width: int) -> Bitmap:
+    """The hashes in the column ``name``, put together by Spark; the driver gets 2^(width - 6) numbers at most."""
+    place = F.shiftrightunsigned("name", 64 - width)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    words = names.select(F.shiftright(place, 6).alias("at"), bit.alias("bit"))
+    found = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(1 << (width - 6), np.uint64)
+    bits[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return Bitmap(bits, width)
