@@ -1,11 +1,11 @@
 """Jaccard self-join of word n-gram sets, filtered under several global token orders.
 
 Two sets with a similarity of at least t share a token among the first
-n - ceil(t n) + 1 tokens of each under every global order.  All orders go by the number of repetitions
-found in the corpus, rare tokens first, and each by a hash of its own among equals.  Candidates are sets
-that share a token of their prefixes under the first order.  They must also share a
-prefix token under two other orders, and the counts of their tokens in bins must allow
-the similarity; only then are they compared in full.
+n - ceil(t n) + 1 tokens of each under every global order, and the first one they share under an order leaves enough tokens
+behind it in both.  The first order goes by the number of repetitions found in the corpus, rare tokens first; the
+others are plain hashes, so they have little to do with the first or each other.  Candidates are sets
+that share a token of their prefixes under the first order at places that allow the similarity.  The same must hold under two other
+orders, and the counts of their tokens in bins must allow it; only then are they compared in full.
 
 Equal sets are one node.  In a group of sets that share a token, all are first
 compared with the one most of whose prefix is shared, which among near copies is the
@@ -16,9 +16,8 @@ per member, and no link between components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +28,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesloom.llm.common import mixed, polynomial, raw_texts, small_side, text_slices
+from seriesloom.llm.common import fresh_name, mixed, polynomial, raw_texts, small_side, text_slices
 from seriesloom.llm.components import components
-from seriesloom.staging import stage
+from seriesloom.staging import passing, stage
 
 NGRAM = 5
 PERCENT = 80
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_000_000
 REPEATED_TOKENS = 1_000_000
 BIN_BITS = 9
 STAR_ROUNDS = 3
-CACHED_WORDS = 500_000
-_LONGS, _INTS = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
+CACHED_WORDS = 100_000
+_LONGS = T.ArrayType(T.LongType())
 
 
 class WordHashes(dict):
@@ -83,13 +82,17 @@ class Repeated:
 
 
 def prefixes(tokens: np.ndarray, orders: Sequence[int], percent: int, repeated: Repeated) -> list[np.ndarray]:
-    """The first tokens of a set under each of the orders."""
+    """The first tokens of a set under each of the orders, in that order; order 1 puts rare tokens first, the others are hashes."""
     if not len(tokens):
         return [tokens for _ in orders]
-    length = prefix_length(len(tokens), percent)
-    classes = np.minimum(repeated.of(tokens), 1023).astype(np.uint64) << np.uint64(54)
-    keys = (classes | (mixed(tokens, order) >> np.uint64(10)) for order in orders)
-    return [tokens[np.argpartition(key, length - 1)[:length]] for key in keys]
+    length, out = prefix_length(len(tokens), percent), []
+    for order in orders:
+        key = mixed(tokens, order)
+        if order == 1:
+            key = np.minimum(repeated.of(tokens), 1023).astype(np.uint64) << np.uint64(54) | (key >> np.uint64(10))
+        first = np.argpartition(key, length - 1)[:length]
+        out.append(tokens[first[np.argsort(key[first])]])
+    return out
 
 
 def binned(tokens: np.ndarray) -> bytes | None:
@@ -175,44 +178,60 @@ def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return documents.join(keys, F.col("key").eqNullSafe(F.col("same_key")), "left_semi").select("text")
 
 
-def _filters(documents: DataFrame, wanted: DataFrame, width: int, percent: int, repeated: Broadcast) -> DataFrame:
-    """uid, n, prefixes under the second and third order, and bins of the nodes in ``wanted`` (uid, key, name_a, name_b)."""
-    schema = wanted.select("name_a", "name_b").schema.add("n", "long").add("second", _INTS).add("third", _INTS).add("bins", "binary")
+class Measured:
+    """Columns that are computed from the texts of nodes when they are first wanted, once per node."""
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in batches:
-            for part in text_slices(batch):
-                sets = [x for x in (shingles(text, width, known) for text in raw_texts(part)) if len(x)]
-                names = [_name(x) for x in sets]
-                two = [prefixes(x, [2, 3], percent, repeated.value) for x in sets]
-                short = [_lists([x[i].view(np.int64).astype(np.int32) for x in two], pa.int32()) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
-                     *short, pa.array([binned(x) for x in sets], pa.binary())], names=schema.names,
-                )
+    def __init__(self, documents: DataFrame, named: DataFrame, columns: dict[str, T.DataType], width: int, measure: Callable[[list[np.ndarray]], list[pa.Array]]):
+        self.documents, self.named, self.columns, self.width, self.measure = documents, named, columns, width, measure
+        self.tables: list[DataFrame] = []
 
-    named = small_side(wanted.select("uid", "name_a", "name_b"))
-    return _texts(documents, wanted).mapInArrow(build, schema).join(named, ["name_a", "name_b"]).drop("name_a", "name_b")
+    def _computed(self, wanted: DataFrame) -> DataFrame:
+        schema = wanted.select("name_a", "name_b").schema.add("n", "long")
+        for name, kind in self.columns.items():
+            schema = schema.add(name, kind)
+        width, measure = self.width, self.measure
 
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = WordHashes()
+            for batch in batches:
+                for part in text_slices(batch):
+                    sets = [x for x in (shingles(text, width, known) for text in raw_texts(part)) if len(x)]
+                    names = [_name(x) for x in sets]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
+                         *measure(sets)], names=schema.names,
+                    )
 
-def _sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """uid, n and the whole set of the nodes in ``wanted`` (uid, key, name_a, name_b)."""
-    schema = wanted.select("name_a", "name_b").schema.add("n", "long").add("whole", _LONGS)
+        named = small_side(wanted.select("uid", "name_a", "name_b"))
+        return _texts(self.documents, wanted).mapInArrow(build, schema).join(named, ["name_a", "name_b"]).drop("name_a", "name_b")
+
+    def of(self, uids: DataFrame) -> DataFrame:
+        """uid, n and the columns of these nodes at least; other nodes may be there too."""
+        for table in self.tables:
+            uids = uids.join(table.select("uid"), "uid", "left_anti")
+        fresh = stage(uids, "wanted")
+        if fresh.take(1) or not self.tables:
+            wanted = stage(self.named.join(small_side(fresh), "uid"), "wanted")
+            self.tables.append(stage(self._computed(wanted), "measured"))
+        whole = self.tables[0]
+        for table in self.tables[1:]:
+            whole = whole.unionByName(table)
+        return whole
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in batches:
-            for part in text_slices(batch):
-                sets = [x for x in (shingles(text, width, known) for text in raw_texts(part)) if len(x)]
-                names = [_name(x) for x in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
-                     _lists([x.view(np.int64) for x in sets], pa.int64())], names=schema.names,
-                )
 
-    named = small_side(wanted.select("uid", "name_a", "name_b"))
-    return _texts(documents, wanted).mapInArrow(build, schema).join(named, ["name_a", "name_b"]).drop("name_a", "name_b")
+def _filters(documents: DataFrame, named: DataFrame, width: int, percent: int, repeated: Broadcast) -> Measured:
+    """Prefixes under the second and third order, and bins."""
+
+    def measure(sets: list[np.ndarray]) -> list[pa.Array]:
+        two = [prefixes(x, [2, 3], percent, repeated.value) for x in sets]
+        return [*(_lists([x[i].view(np.int64) for x in two], pa.int64()) for i in (0, 1)), pa.array([binned(x) for x in sets], pa.binary())]
+
+    return Measured(documents, named, {"second": _LONGS, "third": _LONGS, "bins": T.BinaryType()}, width, measure)
+
+
+def _sets(documents: DataFrame, named: DataFrame, width: int) -> Measured:
+    """Whole sets."""
+    return Measured(documents, named, {"whole": _LONGS}, width, lambda sets: [_lists([x.view(np.int64) for x in sets], pa.int64())])
 
 
 def _close(a: Column, b: Column, percent: int) -> Column:
@@ -238,16 +257,31 @@ def _bins_allow(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "n_a", "n_b", "bins_a", "bins_b").mapInArrow(bound, "a long, b long")
 
 
-def _links(pairs: DataFrame, frame: DataFrame, named: DataFrame, width: int, percent: int, repeated: Broadcast) -> DataFrame:
+def _room(a_n: Column, a_pos: Column, b_n: Column, b_pos: Column, percent: int) -> Column:
+    """Whether sets can be similar enough that share, as their first common token, those at these places of their prefixes."""
+    most = F.least(a_n - a_pos, b_n - b_pos)
+    return 100 * most >= percent * (a_n + b_n - most)
+
+
+def _allowed(order: str, percent: int) -> Column:
+    """Whether the prefixes of a and b under an order have a first common token, and at places that allow the similarity."""
+    a, b = F.col(f"{order}_a"), F.col(f"{order}_b")
+    first = F.get(F.array_intersect(a, b), F.lit(0))  # in the order of a
+    place = lambda tokens: F.array_position(tokens, first) - 1
+    return F.coalesce(_room(F.col("n_a"), place(a), F.col("n_b"), place(b), percent), F.lit(False))
+
+
+def _links(pairs: DataFrame, filters: Measured, sets: Measured, percent: int) -> DataFrame:
     """The pairs (a, b) that pass the other orders and the bins, and are similar enough."""
-    wanted = named.join(small_side(stage(_ends(pairs), "wanted")), "uid")
-    short = stage(_filters(frame, wanted, width, percent, repeated), "filters")
-    one, two = (short.select(F.col("uid").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "second", "third", "bins"))) for side in ("a", "b"))
+
+    def both(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return tuple(measured.select(F.col("uid").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in measured.columns if c != "uid")) for side in ("a", "b"))
+
+    one, two = both(filters.of(_ends(pairs)))
     met = pairs.join(one, "a").join(two, "b").where(_close(F.col("n_a"), F.col("n_b"), percent))
-    met = met.where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+    met = met.where(_allowed("second", percent)).where(_allowed("third", percent))
     left = stage(_bins_allow(met, percent).distinct(), "candidates")
-    sets = stage(_sets(frame, named.join(small_side(stage(_ends(left), "wanted")), "uid"), width), "sets")
-    one, two = (sets.select(F.col("uid").alias(side), F.col("n").alias(f"n_{side}"), F.col("whole").alias(f"whole_{side}")) for side in ("a", "b"))
+    one, two = both(sets.of(_ends(left)))
     common = F.size(F.array_intersect("whole_a", "whole_b"))
     compared = left.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", common.alias("common"))
     return compared.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
@@ -262,16 +296,22 @@ def similar_components(
     component.  Rows without words have n_shingles 0 and are their own component.  NULL keys take part, but never
     name a component that has another key; other columns are not read.
     """
+    with passing() as keep:  # the tables of the search go when the components are known
+        return keep(stage(_components_of(documents, key, text, width, percent), "similar"))
+
+
+def _components_of(documents: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     frame = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     repeated = documents.sparkSession.sparkContext.broadcast(_repeated(frame, width))  # at most REPEATED_TOKENS pairs of numbers
     signed = _signatures(frame, width, percent, repeated)
     rows = stage(signed.withColumn("uid", F.monotonically_increasing_id()), "signatures")
     nodes = stage(rows.where("n > 0").groupBy("name_a", "name_b").agg(F.min("uid").alias("node")), "nodes")
     own = rows.join(small_side(nodes.select(F.col("node").alias("uid"))), "uid", "left_semi")
-    tokens = own.select("uid", "n", F.explode("tokens").alias("token"))
+    tokens = own.select("uid", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select("token")
     groups = stage(tokens.join(stage(shared, "shared"), "token"), "groups")
     named = own.select("uid", "key", "name_a", "name_b")
+    filters, sets = _filters(frame, named, width, percent, repeated), _sets(frame, named, width)
 
     # A set of which most prefix tokens are shared stands in the middle of its copies: theirs have tokens of their own.
     weights = stage(groups.groupBy("uid").agg((F.count("*") / F.first("n")).alias("weight")), "weights")
@@ -282,7 +322,7 @@ def similar_components(
         pairs = stage(_star(groups_now, percent), "pairs")
         if not pairs.take(1):
             break
-        found = stage(_links(pairs, frame, named, width, percent, repeated), "links")
+        found = stage(_links(pairs, filters, sets, percent), "links")
         links, done = (found, pairs) if links is None else (links.unionByName(found), done.unionByName(pairs))
         roots = components(links)
     if links is None:  # every leader is of another size than its group; the pairs are left to the rest
@@ -291,7 +331,7 @@ def similar_components(
     rest = _rest(_open_groups(groups, roots), percent).join(done, ["a", "b"], "left_anti")
     pairs = stage(rest.join(done.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
     if pairs.take(1):
-        found = stage(_links(pairs, frame, named, width, percent, repeated), "links")
+        found = stage(_links(pairs, filters, sets, percent), "links")
         roots = components(links.unionByName(found)) if found.take(1) else roots
 
     named_roots = nodes.join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select(
@@ -318,7 +358,8 @@ def _open_groups(groups: DataFrame, roots: DataFrame) -> DataFrame:
 def _star(groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of the weightiest member of every group with all members of other components; of a later round, of the
     weightiest member outside the component that holds the weightiest of all."""
-    best = lambda rows, name: rows.groupBy("token").agg(F.max(F.struct("weight", (-F.col("uid")).alias("minus"), "n", *[c for c in rows.columns if c == "root"])).alias(name))
+    own = lambda rows: F.struct("weight", (-F.col("uid")).alias("minus"), "n", "pos", *[c for c in rows.columns if c == "root"])
+    best = lambda rows, name: rows.groupBy("token").agg(F.max(own(rows)).alias(name))
     if "root" not in groups.columns:
         leaders = best(groups, "leader")
         other = F.col("uid") != -F.col("leader.minus")
@@ -327,14 +368,15 @@ def _star(groups: DataFrame, percent: int) -> DataFrame:
         outside = groups.join(first.select("token", F.col("first.root").alias("taken")), "token").where("root != taken").drop("taken")
         leaders = best(outside, "leader")
         other = F.col("root") != F.col("leader.root")
-    near = groups.join(leaders, "token").where(other & _close(F.col("n"), F.col("leader.n"), percent))
+    near = groups.join(leaders, "token").where(other & _room(F.col("n"), F.col("pos"), F.col("leader.n"), F.col("leader.pos"), percent))
     return near.select((-F.col("leader.minus")).alias("a"), F.col("uid").alias("b")).distinct()
 
 
 def _rest(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a token and are in different components."""
-    a, b = (groups.select(*(F.col(c).alias(f"{side}_{c}") for c in ("token", "uid", "n", "root"))) for side in ("a", "b"))
-    different = (F.col("a_uid") < F.col("b_uid")) & (F.col("a_root") != F.col("b_root")) & _close(F.col("a_n"), F.col("b_n"), percent)
+    """Pairs of different components that share a token at places that allow the similarity, as the first one they share does."""
+    a, b = (groups.select(*(F.col(c).alias(f"{side}_{c}") for c in ("token", "uid", "n", "pos", "root"))) for side in ("a", "b"))
+    room = _room(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), percent)
+    different = (F.col("a_uid") < F.col("b_uid")) & (F.col("a_root") != F.col("b_root")) & room
     return a.join(b, (F.col("a_token") == F.col("b_token")) & different).select(F.col("a_uid").alias("a"), F.col("b_uid").alias("b")).distinct()
 
 
@@ -344,7 +386,7 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", widt
     Rows are told apart by a number of their own, so unlike rows that share a key, or have none, all stay.
     Rows without words are components of their own.
     """
-    row = next(name for name in map("row{}".format, count()) if name not in map(str.lower, documents.columns))
+    row = fresh_name(documents.columns, "row")
     numbered = stage(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
     found = stage(similar_components(numbered, row, text, width, percent), "components").select(F.col(row).alias("one"), "component_id")
     keyed = found.join(numbered.select(F.col(row).alias("one"), F.col(key).alias("key")), "one")
