@@ -30,7 +30,7 @@ from seriesloom.staging import stage
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 40_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 CACHED_LENGTH = 48
 # The characters that the tokenizer takes as white space, and its pattern of words.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -38,9 +38,15 @@ WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]
 _BY_WHITE = re.compile(f"[{WHITE}]+")
 _OTHER_SEPARATORS = re.compile("[\x1c-\x1f]")
 _FIND_WORDS = regex.compile(WORDS).findall
+_SYLLABLE_PARTS = {chr(c) for first, last in ((0x1100, 0x11FF), (0xA960, 0xA97F), (0xD7B0, 0xD7FF)) for c in range(first, last + 1)}
 _BYTE_CHARACTERS = {byte: character for character, byte in byte_symbols().items()}
 
 
+def plain(text: str) -> str:
+    """Composed and lower-cased, a sigma by itself and not by its place."""
+    return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+
+
 class Remembered(dict):
     """A function of strings that remembers the results of short ones, up to a bound."""
 
@@ -62,8 +68,8 @@ class TokenIds:
 
     No word of the tokenizer's pattern holds white space, so a text is the chain of its chunks between
     white space; chunks and words are remembered, and only new words are merged by the tokenizer's model.
-    With ``exact`` the ids are those of ``encode(text, add_special_tokens=False)``: chunks that hold an added token or anything
-    but ASCII go through the tokenizer as a whole.  Without, added tokens are ordinary text.
+    With ``exact`` the ids are those of ``encode(text, add_special_tokens=False)``: chunks that hold an added token, or a character on which
+    both ways were not seen to agree, go through the tokenizer as a whole.  Without, added tokens are ordinary text.
     """
 
     def __init__(self, vocabulary: bytes, exact: bool = False):
@@ -74,10 +80,27 @@ class TokenIds:
         self.exact = exact
         added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)").search
 
+        def by_tokenizer(chunk: str) -> bytes:
+            return np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+        def agrees(character: str) -> bool:
+            """Whether a character beyond ASCII gives the same ids both ways, beside letters, digits and marks.
+
+            Marks that combine, and the parts of Korean syllables, depend on what stands before them.
+            """
+            if unicodedata.category(character).startswith("M") or character in _SYLLABLE_PARTS:
+                return False
+            beside = [character, f"a{character}b", f"1{character}2", f"-{character}-", f"'{character}s", character + character]
+            return all(by_tokenizer(text) == self.chunk[plain(text)] for text in beside)
+
+        self.agreed = Remembered(agrees)
+
         def encoded(chunk: str) -> bytes:
-            if chunk.isascii() and not added(chunk):
+            if added(chunk):
+                return by_tokenizer(chunk)
+            if chunk.isascii():
                 return self.chunk[chunk.lower()]
-            return np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return self.chunk[plain(chunk)] if all(self.agreed[c] for c in set(chunk) if c > "\x7f") else by_tokenizer(chunk)
 
         self.whole = Remembered(encoded)
 
@@ -85,7 +108,7 @@ class TokenIds:
         if self.exact:
             chunks = filter(None, _BY_WHITE.split(text)) if _OTHER_SEPARATORS.search(text) else text.split()
             return b"".join(map(self.whole.__getitem__, chunks))
-        text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()  # sigma by itself, not by its place
+        text = plain(text)
         if _OTHER_SEPARATORS.search(text):  # Python also splits at these, the tokenizer does not
             chunks = filter(None, _BY_WHITE.split(text))
         else:
