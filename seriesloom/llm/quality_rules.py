@@ -34,6 +34,7 @@ CLASSES = ["lower", "upper", "digit", "space", "symbol", "other_ascii", "beyond_
 RUN_WORDS = 200_000
 HELD_WORDS = 1_000_000
 HELD_LANGUAGES = 100_000
+PART_WORDS = 20_000_000  # words of a small language that one task judges
 
 
 @dataclass(frozen=True)
@@ -161,8 +162,10 @@ def language_references(documents: DataFrame, sized: DataFrame, rules: Rules, te
 
         def found(language: str) -> pa.RecordBatch:
             counts, total = held.pop(language), sizes.pop(language)
-            words = [word for word, n in counts.items() if n >= share * total]
-            return pa.RecordBatch.from_arrays([pa.array([language] * len(words), pa.string()), pa.array(words, pa.binary())], names=["lang", "word"])
+            words = {word: n for word, n in counts.items() if 2 * n >= share * total}
+            return pa.RecordBatch.from_arrays(
+                [pa.array([language] * len(words), pa.string()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], names=["lang", "word", "n"]
+            )
 
         for batch in batches:
             for part in text_slices(batch):
@@ -177,14 +180,15 @@ def language_references(documents: DataFrame, sized: DataFrame, rules: Rules, te
         for language in list(held):
             yield found(language)
 
-    common = frame.mapInArrow(candidates, "lang string, word binary").groupBy("lang", "word").count()
+    common = frame.mapInArrow(candidates, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
     everything = sized.agg(F.sum("words").alias("all_words"))
     large = sized.crossJoin(F.broadcast(everything)).where(F.col("words") >= rules.language_share * F.col("all_words")).where("words > 0")
     found = {row["lang"]: row for row in large.collect()}  # at most 1 / language_share rows
     wanted: dict[str, set] = {language: set() for language in found}
-    kept = common.where(F.col("lang").isin(list(found))) if found else common.limit(0)
-    for row in kept.toLocalIterator():
+    sizes = documents.sparkSession.createDataFrame([(language, row["words"]) for language, row in found.items()], "lang string, words long")
+    # Runs that do not name a word hold less than half of its share, so the others hold the other half: at most 2 / share words per language.
+    for row in common.join(F.broadcast(sizes), "lang").where(2 * F.col("n") >= share * F.col("words")).toLocalIterator():
         wanted[row["lang"]].add(bytes(row["word"]))
     shipped = documents.sparkSession.sparkContext.broadcast(wanted)
 
@@ -204,7 +208,6 @@ def language_references(documents: DataFrame, sized: DataFrame, rules: Rules, te
     out = {}
     for language, row in found.items():
         out[language] = {"words": row["words"], "classes": [row[name] for name in CLASSES], "common": {}}
-    sizes = documents.sparkSession.createDataFrame([(language, row["words"]) for language, row in found.items()], "lang string, words long")
     shared = counted.join(F.broadcast(sizes), "lang").where(F.col("n") >= share * F.col("words"))
     for row in shared.collect():  # at most 1 / common_share words per language
         out[row["lang"]]["common"][bytes(row["word"])] = row["n"]
@@ -325,5 +328,10 @@ def judge(documents: DataFrame, rules: Rules | None = None, key: str = "doc_id",
     held = F.col("lang").isin(list(references)) | (F.coalesce("text", F.lit("")) == "")
     rest = frame.where(~held)
     joined = small_references(rest, small, rules).select("lang", F.struct("words", "classes", "common").alias("reference"))
-    both = rest.unionByName(joined, allowMissingColumns=True).repartition("lang").sortWithinPartitions("lang", F.col("reference").isNull())
+    # A language goes to as many tasks as its words need, with its reference in front of each part.
+    parts = F.ceil(F.col("words") / PART_WORDS).cast("int").alias("parts")
+    many = small.select(F.col("lang").alias("same_lang"), parts)
+    dealt = rest.join(many, F.col("lang") == F.col("same_lang")).withColumn("part", F.pmod(F.xxhash64("text"), F.col("parts")).cast("int")).drop("same_lang", "parts")
+    ahead = joined.join(many, F.col("lang") == F.col("same_lang")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("same_lang", "parts")
+    both = dealt.unionByName(ahead, allowMissingColumns=True).repartition("lang", "part").sortWithinPartitions("lang", "part", F.col("reference").isNull()).drop("part")
     return frame.where(held).mapInArrow(measure, schema).unionByName(both.mapInArrow(measure_sorted, schema)).withColumnRenamed("key", key)

@@ -65,7 +65,7 @@ r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, window_words) AS n F
 e AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words
       FROM (SELECT doc_id, unnest(range(i, i + {quality_rules.WINDOW})) AS j FROM r WHERE n > 1) GROUP BY doc_id),
 l AS (SELECT lang, sum(n_words) AS words, {', '.join(f'sum({c}) AS {c}' for c in _CLASS_NAMES)} FROM f GROUP BY lang),
-k AS (SELECT * FROM l WHERE words > 0 AND words >= {_RULES.language_share} * (SELECT sum(words) FROM l)),
+k AS (SELECT * FROM l WHERE words > 0),
 c AS (SELECT lang, word, count(*) AS n, any_value(k.words) AS words FROM w JOIN k USING (lang) GROUP BY lang, word HAVING count(*) >= {_RULES.common_share} * any_value(k.words)),
 q AS (SELECT lang, word, n / words AS q FROM c UNION ALL SELECT lang, NULL, 1 - sum(n) / any_value(words) FROM c GROUP BY lang),
 o AS (SELECT f.doc_id, q.word, q.q, count(w.word) / any_value(f.n_words) AS p
