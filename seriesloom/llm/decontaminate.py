@@ -1,8 +1,9 @@
 """Benchmark decontamination with a positional inverted index, in DataFrame operations only.
 
 The index holds one posting (term, document, position) for every training token that
-is a test term, each task's part in order of term, and one posting of an empty term per
-document whose position is the document's number of words.  A search takes the rarest
+is a term of the given tests, each task's part in order of term, and one posting of an empty term per
+document whose position is the document's number of words.  Documents are rows, whatever their keys; other tests
+need an index of their own.  A search takes the rarest
 terms of every test window, shifts their positions by their place in the item, and
 intersects the lists: places of a document where at least two rare terms of an item stand at the right
 distance are candidates, and only there are the postings of all other terms looked
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import small_side
+from seriesloom.llm.common import fresh_name, small_side
 from seriesloom.staging import stage
 
 WINDOW = 10
@@ -43,7 +44,7 @@ class Tests:
 
 @dataclass(frozen=True)
 class Index:
-    """A staged table of postings (term, doc, pos); term -1 has the number of words as pos."""
+    """A staged table of postings (term, doc, pos, key); doc is the number of a row, term -1 has the number of words as pos and the row's key."""
 
     postings: DataFrame
 
@@ -57,14 +58,17 @@ def read_tests(benchmark: DataFrame, key: str = "item_id", text: str = "text") -
     return Tests(stage(exploded.join(vocabulary, "word").drop("word"), "places"), vocabulary)
 
 
-def build_index(documents: DataFrame, vocabulary: DataFrame, key: str = "doc_id", text: str = "text") -> Index:
-    """Postings of all test terms in all documents.  One pass over the texts, no shuffle for a vocabulary of bounded size."""
-    tokens = documents.select(
-        F.col(key).alias("doc"), F.posexplode(F.concat(words_of(F.col(text)), F.array(F.lit("")))).alias("pos", "word")
-    )
+def build_index(documents: DataFrame, vocabulary: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None) -> Index:
+    """Postings of all test terms in all documents.  One pass over the texts, no shuffle for a vocabulary of bounded size.
+
+    Rows are numbered on the way, or have their number in the column ``row``.
+    """
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    rows = documents.select(number.alias("doc"), F.col(key).alias("key"), F.concat(words_of(F.col(text)), F.array(F.lit(""))).alias("words"))
+    tokens = rows.select("doc", "key", F.posexplode("words").alias("pos", "word"))
     ends = F.lit(-1).cast("long")
     known = small_side(vocabulary.unionByName(vocabulary.sparkSession.range(1).select(F.lit("").alias("word"), ends.alias("term"))))
-    postings = tokens.join(known, "word").select("term", "doc", "pos")
+    postings = tokens.join(known, "word").select("term", "doc", "pos", F.when(F.col("term") < 0, F.col("key")).alias("key"))
     return Index(stage(postings.sortWithinPartitions("term"), "postings"))
 
 
@@ -95,8 +99,8 @@ def search(index: Index, tests: Tests, window: int = WINDOW, rare: int = RARE_TE
     wanted = candidates.join(small_side(tests.places), "item").select(
         "item", "item_key", "n", "place", "term", F.col("doc").alias("in_doc"), "shift", drift(F.col("shift") + F.col("place")).alias("pos")
     )
-    own = index.postings.join(docs.withColumnRenamed("doc", "in_doc"), F.col("doc").eqNullSafe(F.col("in_doc")), "left_semi")
-    here = (wanted["term"] == own["term"]) & (wanted["pos"] == own["pos"]) & wanted["in_doc"].eqNullSafe(own["doc"])
+    own = index.postings.join(docs.withColumnRenamed("doc", "in_doc"), F.col("doc") == F.col("in_doc"), "left_semi")
+    here = (wanted["term"] == own["term"]) & (wanted["pos"] == own["pos"]) & (wanted["in_doc"] == own["doc"])
     found = wanted.join(own, here, "left_semi").select(
         "item", "item_key", "n", F.col("in_doc").alias("doc"), "shift", "place", (F.col("pos") == F.col("shift") + F.col("place")).alias("exact")
     )
@@ -123,7 +127,7 @@ def hits(index: Index, tests: Tests, window: int = WINDOW, slop: int = 0) -> Dat
     items = matches.groupBy("doc").agg(
         F.array_sort(F.collect_set(F.when(F.col("exact"), name))).alias("items"), F.countDistinct(name).alias("n_near_items")
     )
-    joined = items.join(counts, F.col("hit_doc").eqNullSafe(F.col("doc")), "left")
+    joined = items.join(counts, F.col("hit_doc") == F.col("doc"), "left")
     return stage(joined.select(F.col("doc").alias("in_doc"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), "items", "n_near_items"), "hits")
 
 
@@ -131,19 +135,19 @@ def contamination(
     documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
     item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int = 0,
 ) -> DataFrame:
-    """``key``, n_words, n_hit, items (sorted as strings), n_items, n_near_items for every document.
+    """``key``, n_words, n_hit, items (sorted as strings), n_items, n_near_items for every row.
 
-    Rows with one key are one document and must have one text; NULL keys are one such document.  NULL and empty
+    Every row is a document of its own, also rows that share a key or have none.  NULL and empty
     texts have no words and no hits; NULL item keys count as an empty name; items without words never
     occur; other columns are not read.  Empty tables give no rows, or rows without hits.
     """
     tests = read_tests(benchmark, item_key, item_text)
     index = build_index(documents, tests.vocabulary, key, text)
     found = hits(index, tests, window, slop)
-    sizes = index.postings.where("term = -1").groupBy("doc").agg(F.max("pos").cast("long").alias("n_words"))
-    out = sizes.join(small_side(found), F.col("doc").eqNullSafe(F.col("in_doc")), "left")
+    sizes = index.postings.where("term = -1").select("doc", "key", F.col("pos").cast("long").alias("n_words"))
+    out = sizes.join(small_side(found), F.col("doc") == F.col("in_doc"), "left")
     return out.select(
-        F.col("doc").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("n_near_items", F.lit(0).cast("long")).alias("n_near_items"),
@@ -151,7 +155,13 @@ def contamination(
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents, with all their columns, that hold no window of a benchmark item."""
+    """The rows of ``documents``, with all their columns, that hold no window of a benchmark item.
+
+    Rows are told apart by a number of their own, so one that shares its key with a contaminated row stays.
+    """
+    row = fresh_name(documents.columns, "row")
+    numbered = stage(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
     tests = read_tests(benchmark, item_key, item_text)
-    found = hits(build_index(documents, tests.vocabulary, key, text), tests)
-    return documents.join(small_side(found.where("n_hit > 0").select("in_doc")), F.col("in_doc").eqNullSafe(documents[key]), "left_anti")
+    found = hits(build_index(numbered, tests.vocabulary, key, text, row), tests)
+    gone = stage(found.where("n_hit > 0").select(F.col("in_doc").alias(row)), "gone")
+    return numbered.join(small_side(gone), row, "left_anti").select(*[numbered[c] for c in documents.columns])
