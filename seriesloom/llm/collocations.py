@@ -5,20 +5,21 @@ every suffix and, of the reversed stretch, the words behind every prefix.  An in
 extended by one word to the right or left, in both indexes at once, so all phrases up to a depth are met with
 their counts and extensions without looking at the words again.  Counts are summed across the shards.
 
-The corpus is gone through twice.  First, all words and pairs are counted by a hash.  Then
-the frequent ones, and longer phrases all of whose pairs are frequent, are counted by their words.  Hashes that are
-frequent travel as a bitmap of fixed size; where it is full it lets more phrases pass, which only costs time.
+The corpus is gone through three times.  First, all words and pairs are counted by a hash.  Then
+the frequent ones, and triples of frequent pairs, are counted by their words, and last, phrases of four words whose triples are
+frequent.  What is frequent travels as a bitmap of hashes of fixed size; where it is full it lets more phrases pass, which only costs time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -150,9 +151,14 @@ class BidirectionalIndex:
 
 def phrase_hashes(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """A hash of every row of word numbers, of its length too."""
-    out = np.full(len(words), words.shape[1], np.uint64)
-    for column in words.T:
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + hashes[column])
+    return _chained(hashes[column] for column in words.T) if len(words) else np.empty(0, np.uint64)
+
+
+def _chained(columns: Iterable[np.ndarray]) -> np.ndarray:
+    columns = list(columns)
+    out = np.full(len(columns[0]), len(columns), np.uint64)
+    for column in columns:
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + column)
     return out
 
 
@@ -205,16 +211,16 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int, overlap: int) -
         yield vocabulary, np.concatenate(parts), sums, twice
 
 
-def _levels(words: np.ndarray, hashes: np.ndarray, depth: int, frequent: Bitmap | None) -> Iterator[Phrases]:
-    """Phrases of 1 to ``depth`` words; with ``frequent``, words and pairs in there and longer phrases all of whose pairs are."""
+def _levels(words: np.ndarray, hashes: np.ndarray, depth: int, frequent: Bitmap | None = None, known: int = 0) -> Iterator[Phrases]:
+    """Phrases of 1 to ``depth`` words; with ``frequent``, which holds phrases of up to ``known`` words, those whose parts of that length are in there."""
     index = BidirectionalIndex(words, len(hashes), depth)
-    phrases = index.single()
+    phrases, way = index.single(), "right"
     for n in range(1, depth + 1):
         if n > 1:
             way = "left" if n % 2 else "right"
             phrases = index.extended(phrases, way)
         if frequent is not None:
-            newest = phrases.words if n <= 2 else phrases.words[:, :2] if way == "left" else phrases.words[:, -2:]
+            newest = phrases.words[:, :known] if way == "left" else phrases.words[:, -known:]  # the other parts are those of the phrase before
             phrases = phrases.where(frequent.holds(phrase_hashes(newest, hashes)))
         yield phrases
 
@@ -226,7 +232,7 @@ def _frequent(frame: DataFrame, min_count: int, shard_words: int, width: int) ->
         for vocabulary, words, _, twice in _shards(batches, shard_words, DEPTH - 1):
             hashes = vocabulary.hashes()
             for stretch, sign in [(words, 1), *((x, -1) for x in twice)]:
-                for phrases in _levels(stretch, hashes, 2, None):
+                for phrases in _levels(stretch, hashes, 2):
                     names = phrase_hashes(phrases.words, hashes).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(sign * phrases.count)], names=["name", "n"])
 
@@ -234,15 +240,24 @@ def _frequent(frame: DataFrame, min_count: int, shard_words: int, width: int) ->
     return bitmap_of(counted.select("name"), width)
 
 
-def phrase_counts(
-    documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS, width: int = FILTER_BITS
-) -> DataFrame:
-    """lang, phrase, words, n of all phrases of 1 to 4 words that occur ``min_count`` times in a language, overlaps included.
+def _names_of(phrases: DataFrame) -> DataFrame:
+    """Hashes of phrases that are spelled out (lang, phrase, words), as the indexes have them."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vocabulary, by_length = Vocabulary(), {}
+            for language, phrase in zip(batch.column("lang").to_pylist(), raw_texts(batch, "phrase"), strict=True):
+                numbers = vocabulary.numbers(language, phrase.split(b" "))
+                by_length.setdefault(len(numbers), []).append(numbers)
+            hashes = vocabulary.hashes()
+            found = [phrase_hashes(np.array(rows), hashes) for rows in by_length.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64))], names=["name"])
+
+    return phrases.select("lang", "phrase").mapInArrow(names, "name long")
 
-    A row without words has the number of all word occurrences of the language.
-    """
-    frame = documents.select(F.coalesce(F.col(lang), F.lit(UNKNOWN_LANGUAGE)).alias("lang"), F.col(text).alias("text"))
-    frequent = documents.sparkSession.sparkContext.broadcast(_frequent(frame, min_count, shard_words, width))  # 2^width bits
+
+def _spelled(frame: DataFrame, least: int, most: int, frequent: Broadcast, known: int, shard_words: int) -> DataFrame:
+    """lang, phrase, words, n of phrases of ``least`` to ``most`` words whose parts of ``known`` words are frequent; from one word on, also the words of every language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["lang", "phrase", "words", "n"]
@@ -250,19 +265,36 @@ def phrase_counts(
             hashes = vocabulary.hashes()
             spelled = pa.array(vocabulary.words, pa.binary()).cast(pa.string())
             languages = pa.array(list(vocabulary.known), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.string()), pa.array([""] * len(sums)), pa.array([0] * len(sums), pa.int32()), pa.array(list(sums.values()), pa.int64())], names=names
-            )
+            if least == 1:
+                sizes = [pa.array(list(sums), pa.string()), pa.array([""] * len(sums)), pa.array([0] * len(sums), pa.int32()), pa.array(list(sums.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(sizes, names=names)
             of_word = np.array(vocabulary.languages)
             for stretch, sign in [(words, 1), *((x, -1) for x in twice)]:
-                for phrases in _levels(stretch, hashes, DEPTH, frequent.value):
+                for phrases in _levels(stretch, hashes, most, frequent.value, known):
+                    if phrases.words.shape[1] < least:
+                        continue
                     columns = [spelled.take(pa.array(column)) for column in phrases.words.T]
                     phrase = pc.binary_join_element_wise(*columns, " ") if len(columns) > 1 else columns[0]
                     length = pa.array(np.full(len(phrases.count), len(columns), np.int32))
                     yield pa.RecordBatch.from_arrays([languages.take(pa.array(of_word[phrases.words[:, 0]])), phrase, length, pa.array(sign * phrases.count)], names=names)
 
-    counted = frame.mapInArrow(count, "lang string, phrase string, words int, n long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    return counted.where((F.col("n") >= min_count) | (F.col("words") == 0))
+    return frame.mapInArrow(count, "lang string, phrase string, words int, n long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+
+
+def phrase_counts(
+    documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS, width: int = FILTER_BITS
+) -> DataFrame:
+    """lang, phrase, words, n of all phrases of 1 to 4 words that occur ``min_count`` times in a language, overlaps included.
+
+    A row without words has the number of all word occurrences of the language.
+    """
+    frame = documents.select(F.coalesce(F.col(lang), F.lit(UNKNOWN_LANGUAGE)).alias("lang"), F.col(text).alias("text"))
+    send = documents.sparkSession.sparkContext.broadcast  # bitmaps of 2^width bits
+    short = _spelled(frame, 1, DEPTH - 1, send(_frequent(frame, min_count, shard_words, width)), 2, shard_words)
+    short = stage(short.where((F.col("n") >= min_count) | (F.col("words") == 0)), "short-phrases")
+    names = _names_of(short.where("words > 0"))
+    long = _spelled(frame, DEPTH, DEPTH, send(bitmap_of(names, width)), DEPTH - 1, shard_words).where(F.col("n") >= min_count)
+    return short.unionByName(long)
 
 
 def _scored(counts: DataFrame) -> DataFrame:
