@@ -331,7 +331,8 @@ def judge(documents: DataFrame, rules: Rules | None = None, key: str = "doc_id",
     # A language goes to as many tasks as its words need, with its reference in front of each part.
     parts = F.ceil(F.col("words") / PART_WORDS).cast("int").alias("parts")
     many = small.select(F.col("lang").alias("same_lang"), parts)
-    dealt = rest.join(many, F.col("lang") == F.col("same_lang")).withColumn("part", F.pmod(F.xxhash64("text"), F.col("parts")).cast("int")).drop("same_lang", "parts")
+    part = F.pmod(F.xxhash64("text"), F.coalesce("parts", F.lit(1))).cast("int")  # a language without words has no parts
+    dealt = rest.join(many, F.col("lang") == F.col("same_lang"), "left").withColumn("part", part).drop("same_lang", "parts")
     ahead = joined.join(many, F.col("lang") == F.col("same_lang")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("same_lang", "parts")
     both = dealt.unionByName(ahead, allowMissingColumns=True).repartition("lang", "part").sortWithinPartitions("lang", "part", F.col("reference").isNull()).drop("part")
     return frame.where(held).mapInArrow(measure, schema).unionByName(both.mapInArrow(measure_sorted, schema)).withColumnRenamed("key", key)
