@@ -10,12 +10,23 @@ from seriesloom.llm.queries import WORD_BPE
 from seriesloom.staging import stage
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000  # rows carry whole texts, so batches of the usual size would hold tens of MB per task
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Python workers get at most ``BATCH_ROWS`` rows at once, for the rest of the session, as stages are run by the caller."""
+    if int(spark.conf.get(BATCH)) > BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
+    _small_batches(spark)
     return quality_model.keep_good(docs, quality_model.train(docs, _table(spark, sf_dir, "labels")))
 
 
@@ -32,6 +43,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of similar ones: five-word shingles, a similarity of 0.8."""
+    _small_batches(spark)
     return ngram_join.keep_one(docs, width=5, percent=80)
 
 
@@ -42,6 +54,7 @@ def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces of all documents that are left."""
+    _small_batches(spark)
     return packing.pack(docs, WORD_BPE)
 
 
