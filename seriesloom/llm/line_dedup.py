@@ -59,18 +59,19 @@ def drop_boilerplate(
     text: Column,
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
-    max_loss: float = 1.0,
     copies_once: bool = False,
+    name: str = "cleaned",
 ) -> DataFrame:
-    """All columns of ``pages`` and a last column ``cleaned`` = (text, n_lines, n_dropped).
+    """All columns of ``pages`` and a last column ``name`` = (text, n_lines, n_dropped); ``pages`` must not have a column of that name.
 
     Lines are cut at \\n and compared whole; those without a visible character are neither counted nor dropped.
     A line is dropped if more than ``ratio`` of the pages of its host, and at least ``min_pages``, hold
-    it.  A page that would lose more than ``max_loss`` of its characters is a copy rather than a page with boilerplate and stays
-    whole.  A page counts once per line; repeated rows are pages of their own, but with ``copies_once`` all pages of a host with
+    it.  A page counts once per line; repeated rows are pages of their own, but with ``copies_once`` all pages of a host with
     the same text are one page, so copies do not make their lines boilerplate.  NULL texts stay NULL with no lines;
     pages without a host are one host.
     """
+    if name.lower() in map(str.lower, pages.columns):
+        raise ValueError(f"the table has a column {name} already")
     names = [f"c{i}" for i in range(len(pages.columns))]
     frame = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("page"), host.alias("host"), F.split(text, "\n").alias("lines"))
     marked = boilerplate(frame.select("host", F.coalesce("lines", F.array().cast("array<string>")).alias("lines")), ratio, min_pages, copies_once)
@@ -80,15 +81,11 @@ def drop_boilerplate(
     kept = F.when(F.size(dropped) == 0, F.col("lines")).otherwise(
         F.filter("lines", lambda line: ~(_has_word(line) & F.array_contains(dropped, _hash(line))))
     )
-    chars = lambda lines: F.length(F.array_join(lines, ""))
     out = joined.select("page", "lines", kept.alias("kept"))
-    guarded = F.when(chars("kept") >= (1 - max_loss) * chars("lines"), F.col("kept")).otherwise(F.col("lines"))
     cleaned = F.struct(
         F.array_join("kept", "\n").alias("text"),
         F.coalesce(F.size(F.filter("lines", _has_word)).cast("long"), F.lit(0)).alias("n_lines"),
         F.coalesce((F.size("lines") - F.size("kept")).cast("long"), F.lit(0)).alias("n_dropped"),
     )
-    flat = out.select("page", "lines", guarded.alias("kept")).select(
-        *[F.col("page").getField(c).alias(n) for c, n in zip(pages.columns, names, strict=True)], cleaned.alias("cleaned")
-    )
-    return flat.toDF(*pages.columns, "cleaned")
+    flat = out.select(*[F.col("page").getField(c).alias(n) for c, n in zip(pages.columns, names, strict=True)], cleaned.alias("cleaned"))
+    return flat.toDF(*pages.columns, name)

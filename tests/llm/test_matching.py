@@ -105,6 +105,37 @@ def test_many_near_copies_take_few_comparisons(spark):
     assert sum(seen) < 20 * len(rows)
 
 
+def test_copies_with_ten_edits_each_make_few_pairs(spark):
+    """Texts of one original that resemble it too little: they share tokens, but not at places that allow a link."""
+    chance = random.Random(6)
+    rows = []
+    for i in range(120):
+        words = [f"x{j}" for j in range(200)]
+        for at in chance.sample(range(200), 10):
+            words[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(words), "en", "x"))
+    seen, links = [], ngram_join._links
+    try:
+        ngram_join._links = lambda pairs, *more: (seen.append(pairs.count()), links(pairs, *more))[1]
+        got = ngram_join.similar_components(documents(spark, rows), width=4, percent=85).collect()
+    finally:
+        ngram_join._links = links
+    assert counted(tuple(r) for r in got) == counted(brute_similar(rows, 4, 85))
+    assert sum(seen) < 10 * len(rows)
+
+
+def test_orders_are_unlike():
+    """The prefixes of the three orders share about as many tokens as chance gives."""
+    import numpy as np
+
+    tokens = np.unique(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64))
+    repeated = ngram_join.Repeated(tokens[:500], np.full(500, 7))
+    one, two, three = (set(p.tolist()) for p in ngram_join.prefixes(tokens, [1, 2, 3], 80, repeated))
+    for a, b in ((one, two), (one, three), (two, three)):
+        assert len(a) == len(b) == 201 and len(a & b) < 80
+    assert one.isdisjoint(tokens[:500].tolist())
+
+
 def test_near_copies_under_excerpts_are_linked(spark):
     """Excerpts lead all groups of two near copies and are too short for either."""
     words = [f"w{i}" for i in range(30)]
@@ -178,6 +209,19 @@ def test_hits_equal_brute_force(spark, clashing):
     assert got == brute_hits(rows, items, decontaminate.WINDOW)
 
 
+def test_unlike_rows_of_one_id_are_documents_of_their_own(spark):
+    clean = "a clean text that no item has anything to do with"
+    for key in (5, None):
+        rows = [(1, PASSAGE, "en", "x"), (key, PASSAGE, "en", "x"), (key, clean, "en", "x"), (key, "", "en", "x"), (key, clean, "en", "x")]
+        frame = documents(spark, rows).withColumn("in_doc", F.lit("x")).withColumn("row0", F.lit(1))
+        benchmark = spark.createDataFrame(ITEMS[:2], "item_id long, text string, doc string")
+        got = decontaminate.contamination(frame, benchmark).collect()
+        assert counted((r.doc_id, r.n_words, r.n_hit > 0) for r in got) == counted((k, len(words_of(t)), t == PASSAGE) for k, t, *_ in rows)
+        kept = decontaminate.drop_contaminated(frame, benchmark)
+        assert kept.columns == frame.columns
+        assert counted((r.doc_id, r.text) for r in kept.collect()) == counted((k, t) for k, t, *_ in rows if t != PASSAGE)
+
+
 def test_proximity(spark):
     rows = [(1, "a0 b0 c0 d0 e0 zz", "en", "x"), (2, "yy a0 zz b0 c0 d0 e0", "en", "x"), (3, "a0 c0 b0 d0 e0", "en", "x"), (4, "a0 zz zz zz b0 c0", "en", "x")]
     benchmark = spark.createDataFrame([(1, "A0 b0 c0 d0 e0")], "item_id long, text string")

@@ -73,6 +73,38 @@ def test_small_languages_are_judged(spark):
             assert within[key][name] == (pytest.approx(one[name]) if isinstance(one[name], float) else one[name])
 
 
+def test_few_candidates_of_many_unlike_runs(spark, monkeypatch):
+    """Words that are common in one run only are no candidates, however many runs there are."""
+    monkeypatch.setattr(quality_rules, "RUN_WORDS", 300)
+    rows = [(i, " ".join(["the", "of", *(f"w{i}x{j % 50}" for j in range(298))]) , "en", "s") for i in range(300)]
+    docs = documents(spark, rows)
+    rules = quality_rules.Rules()
+    wanted, session = [], type(spark.sparkContext)
+    broadcast = session.broadcast
+    monkeypatch.setattr(session, "broadcast", lambda self, value: (wanted.append(value), broadcast(self, value))[1])
+    sized = quality_rules.language_sizes(docs)
+    references = quality_rules.language_references(docs, sized, rules)
+    assert len(wanted) == 1 and {b"the", b"of"} <= wanted[0]["en"] and len(wanted[0]["en"]) <= 2 / rules.common_share
+    assert set(references["en"]["common"]) == {b"the", b"of"}
+
+
+def test_small_languages_in_parts_are_judged_alike(spark, monkeypatch):
+    rows = [(i, " ".join(f"the cat{i}x{j} and dog" for j in range(40)), "en" if i % 2 else "xx", "s") for i in range(40)]
+    rules = quality_rules.Rules(language_share=2.0)  # every language is a small one
+    whole = counted(quality_rules.judge(documents(spark, rows), rules).collect())
+    monkeypatch.setattr(quality_rules, "PART_WORDS", 300)
+    assert counted(quality_rules.judge(documents(spark, rows), rules).collect()) == whole
+    assert counted(quality_rules.judge(documents(spark, rows)).collect()) == whole
+
+
+def test_clashing_result_column_is_refused(spark):
+    frame = documents(spark).withColumn("Cleaned", F.lit(1))
+    with pytest.raises(ValueError, match="cleaned"):
+        line_dedup.drop_boilerplate(frame, F.col("source"), F.col("text"))
+    out = line_dedup.drop_boilerplate(frame, F.col("source"), F.col("text"), name="result")
+    assert out.columns == [*frame.columns, "result"] and out.count() == len(REPEATED)
+
+
 def test_rules_on_empty_and_clashing_tables(spark):
     assert quality_rules.judge(documents(spark, [])).count() == 0
     assert counted(quality_rules.judge(documents(spark)).collect()) == counted(quality_rules.judge(documents(spark, clashing=True)).collect())
@@ -130,7 +162,7 @@ def test_lines_equal_brute_force(spark):
 def test_copies_stay_whole(spark):
     rows = [(i, "one line\nand another", "en", "x") for i in range(5)]
     frame = documents(spark, rows)
-    out = line_dedup.drop_boilerplate(frame, frame["source"], frame["text"], max_loss=0.5).collect()
+    out = line_dedup.drop_boilerplate(frame, frame["source"], frame["text"], copies_once=True).collect()
     assert {r.cleaned.text for r in out} == {"one line\nand another"}
     assert line_dedup.drop_boilerplate(documents(spark, []), F.col("source"), F.col("text")).count() == 0
 
@@ -154,16 +186,35 @@ def brute_runs(pieces, least):
 
 
 def brute_spans(rows, least):
-    texts = {key: re.findall(span_dedup.SENTENCE, text or "") for key, text, *_ in rows}
+    """Every row is a document; the first place of a run is that of the smallest id, none ahead, then of the first row."""
+    texts = [re.findall(span_dedup.SENTENCE, row[1] or "") for row in rows]
+    order = [(row[0] is not None, row[0] or 0, i) for i, row in enumerate(rows)]
     places = {}
-    for key, pieces in texts.items():
+    for row, pieces in enumerate(texts):
         for i, j in brute_runs(pieces, least):
-            places.setdefault(tuple(p.strip(" \t\n\r\x0b\x0c") for p in pieces[i : j + 1]), []).append((key, i, j))
+            places.setdefault(tuple(p.strip(" \t\n\r\x0b\x0c") for p in pieces[i : j + 1]), []).append((order[row], row, i, j))
     gone = set()
     for found in places.values():
-        first = min((key is not None, key or 0, i) for key, i, _ in found)
-        gone |= {(key, s) for key, i, j in found if (key is not None, key or 0, i) != first for s in range(i, j + 1)}
-    return [(key, None if text is None else "".join(p for j, p in enumerate(texts[key]) if (key, j) not in gone)) for key, text, *_ in rows]
+        first = min((place, i) for place, _, i, _ in found)
+        gone |= {(row, s) for place, row, i, j in found if (place, i) != first for s in range(i, j + 1)}
+    return [(row[0], None if row[1] is None else "".join(p for j, p in enumerate(texts[n]) if (n, j) not in gone)) for n, row in enumerate(rows)]
+
+
+def test_unlike_rows_of_one_id_are_documents_of_their_own(spark):
+    """A text found nowhere else stays, whatever id it shares."""
+    alone = "nothing like this stands anywhere else in the table. It has words of its own, many more than the twenty that a run of sentences needs here, so it counts."
+    for key in (5, None):
+        rows = [(1, PASSAGE, "en", "x"), (key, PASSAGE, "en", "x"), (key, alone, "en", "x"), (key, PASSAGE, "en", "x")]
+        got = span_dedup.drop_repeated_spans(documents(spark, rows).coalesce(1)).collect()
+        assert counted((r.doc_id, r.text) for r in got) == counted(brute_spans(rows, span_dedup.MIN_WORDS))
+        assert alone in {r.text for r in got} and sum(r.text == PASSAGE for r in got) == 1 and len(got) == 4
+
+
+def test_any_bitmap_and_any_broadcast_give_the_same(spark, monkeypatch):
+    rows = counted((r.doc_id, r.text) for r in span_dedup.drop_repeated_spans(documents(spark), min_words=4).collect())
+    monkeypatch.setattr(span_dedup, "FILTER_BITS", 6)
+    monkeypatch.setattr(span_dedup, "HELD_BYTES", 0)
+    assert counted((r.doc_id, r.text) for r in span_dedup.drop_repeated_spans(documents(spark), min_words=4).collect()) == rows
 
 
 @pytest.mark.parametrize("clashing", [False, True])
@@ -198,6 +249,34 @@ def test_scores(spark, tables):
         assert row.held_out == (row.doc_id is not None and zlib.crc32(str(row.doc_id).encode()) % 3 == 1)
 
 
+def test_splits_equal_exhaustive_search():
+    """One tree of two levels: every split is the best of all features and places, by the gain of the logistic loss."""
+    chance = np.random.default_rng(3)
+    rows = np.round(chance.normal(size=(60, 4)), 1)
+    labels = ((rows[:, 1] > 0.2) ^ (chance.random(60) < 0.2)).astype(float)
+    settings = quality_model.Settings(trees=1, depth=2, bins=64, min_rows=5)
+    forest = quality_model.fit(rows, labels, settings)
+    share = labels.mean()
+    slope, bend = share - labels, np.full(60, share * (1 - share))
+
+    def value(inside):
+        return slope[inside].sum() ** 2 / (bend[inside].sum() + settings.smoothing)
+
+    def best(inside):
+        gains = [
+            value(inside & (rows[:, j] <= edge)) + value(inside & (rows[:, j] > edge)) - value(inside)
+            for j in range(4) for edge in np.unique(rows[inside, j])
+            if min((inside & (rows[:, j] <= edge)).sum(), (inside & (rows[:, j] > edge)).sum()) >= settings.min_rows
+        ]
+        return max(gains, default=0)
+
+    for node, inside in ((0, np.ones(60, bool)), (1, rows[:, forest.feature[0, 0]] <= forest.threshold[0, 0]), (2, rows[:, forest.feature[0, 0]] > forest.threshold[0, 0])):
+        left = inside & (rows[:, forest.feature[0, node]] <= forest.threshold[0, node])
+        right = inside & ~left
+        if np.isfinite(forest.threshold[0, node]):
+            assert value(left) + value(right) - value(inside) == pytest.approx(best(inside), rel=0.05)
+
+
 def test_trees_as_arrays_equal_walking():
     chance = np.random.default_rng(0)
     rows = chance.normal(size=(400, len(quality_model.STATISTICS)))

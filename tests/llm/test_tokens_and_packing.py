@@ -87,6 +87,15 @@ def test_exact_ids_equal_the_default_tokenizer(spark, tables):
     assert [(r.length, r.ids_crc32) for r in rows] == [(4, zlib.crc32(np.array([3306, 49407, 1002, 1], dtype="<u4").tobytes()))]
 
 
+def test_ids_of_every_single_code_point():
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    ids = packing.TokenIds(token_counts.read_vocabulary(VOCABULARY), exact=True)
+    every = [chr(i) for i in range(0x3400) if not 0xD800 <= i < 0xE000]
+    texts = [shape.format(c) for c in every for shape in ("{}", "a{}", "{}b1", "é{}ö")]
+    for text, found in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids.of(text), "<u4").tolist() == found.ids, repr(text)
+
+
 @pytest.mark.parametrize("group", [3, 40_000])
 def test_pieces_are_whole_and_gapless(spark, group):
     tokenizer = Tokenizer.from_file(VOCABULARY)
