@@ -8,16 +8,18 @@ leftmost-first alternation finds the same tokens.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters of faces, and of URLs as the generic URI syntax lists them.
-EYES = ":;=8"
-NOSES = "-o*'"
-MOUTHS = ")]([dDpP/:}{@|\\"
-HATS = "<>"
+FACE_SIGNS = {"eyes": ":;=8", "nose": "-o*'", "mouth": ")]([dDpP/:}{@|\\", "hat": "<>"}
 URI = "-._~:/?#[]@!$&'()*+,;=%"
 
+FACE_SHAPES = ["hat eyes nose mouth", "hat eyes mouth", "eyes nose mouth", "eyes mouth"]  # longer ones first
+PHONE_GROUPS = {11: (1, 3, 3, 4), 10: (3, 3, 4), 8: (1, 3, 4), 7: (3, 4)}  # longer ones first
+
 SPACE = r"\x09-\x0d\x1c-\x20\x85\p{Z}"
 WORD = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
@@ -31,35 +33,49 @@ def one_of(characters: str) -> str:
     return "[" + "".join(c if c.isalnum() else f"\\x{ord(c):02x}" for c in both) + "]"
 
 
-def maybe(part: str) -> str:
-    return f"(?:{part})?"
-
-
 def joined(characters: str, marks: str) -> str:
     """Two or more runs of ``characters`` with ``marks`` between them."""
     return f"[{characters}]+(?:[{marks}]+[{characters}]+)+"
 
 
-def phone() -> str:
-    """A country code of 0 or 1 and an area code, both optional, then three and four digits; gaps are blanks, dots and dashes."""
-    gap = f"[-.{SPACE}]*"
-    three = f"{DIGIT}{{3}}"
-    area = rf"(?:\({three}\)|{three})"
-    return maybe(rf"\+?[01]{gap}") + maybe(area + gap) + three + gap + f"{DIGIT}{{4}}"
+def either(parts: Iterable[str]) -> str:
+    """One of the parts, the first that fits."""
+    return "(?:" + "|".join(parts) + ")"
+
+
+def phone(digits: int) -> str:
+    """A number of so many digits in the groups of ``PHONE_GROUPS``, with any blanks, dots and dashes between groups.
+
+    A single digit in front is a trunk prefix or country code of the North American plan; a group of three that others
+    follow at least twice is an area code and may be in brackets.
+    """
+    groups = PHONE_GROUPS[digits]
+
+    def spelled(place: int) -> str:
+        size = groups[place]
+        if size == 1:
+            return r"\+?[01]"
+        plain = f"{DIGIT}{{{size}}}"
+        return either([rf"\({plain}\)", plain]) if size == 3 and place + 2 < len(groups) else plain
+
+    return f"[-.{SPACE}]*".join(map(spelled, range(len(groups))))
+
+
+def face(shape: str) -> str:
+    """The signs of a shape one after the other, as ``FACE_SIGNS`` has them."""
+    return "".join(one_of(FACE_SIGNS[part]) for part in shape.split())
 
 
-def face(mirrored: bool = False) -> str:
-    """A hat, eyes, a nose and a mouth; only eyes and mouth are needed."""
-    parts = [maybe(one_of(HATS)), one_of(EYES), maybe(one_of(NOSES)), one_of(MOUTHS)]
-    return "".join(reversed(parts) if mirrored else parts)
+def mirrored(shape: str) -> str:
+    return " ".join(reversed(shape.split()))
 
 
 URL = rf"[hH][tT][tT][pP][sS]?://(?:[{LETTER}0-9]|{one_of(URI)})+"
 KINDS = {
-    "phone": phone(),
+    "phone": either(map(phone, PHONE_GROUPS)),
     "url": URL,
-    "face": face(),
-    "mirrored face": face(mirrored=True),
+    "face": either(map(face, FACE_SHAPES)),
+    "mirrored face": either(face(mirrored(shape)) for shape in FACE_SHAPES),
     "markup": "<[^<>]+>",
     "user": f"@[{WORD}]+",
     "topic": f"#+(?:{joined(WORD, MARK)}|[{WORD}]{{2,}})",  # a single character is no topic

@@ -36,6 +36,27 @@ def test_tokens(spark, given, expected):
     assert tokens_of(spark, given) == [expected]
 
 
+def test_phone_numbers_have_seven_eight_ten_or_eleven_digits(spark):
+    """Groups of three and four digits, an area code and a prefix of 0 or 1 before them; gaps may be absent."""
+    whole = ["555-1234", "5551234", "555 . 1234", "1-555-1234", "212-555-1234", "(212)5551234", "+1 (212) 555-1234", "0 212.555.1234", "12125551234"]
+    for number in whole:
+        assert tokens_of(spark, f"x {number}, y") == [["x", number, ",", "y"]]
+    for given, expected in (("55-1234", ["55-1234"]), ("555123", ["555123"]), ("9-555-1234", ["9-555-1234"]), ("(555)1234", ["(", "555", ")", "1234"]), ("123456789", ["12345678", "9"])):
+        assert tokens_of(spark, given) == [expected]
+
+
+@pytest.mark.parametrize("shape", tok.FACE_SHAPES)
+def test_faces_of_every_shape_read_both_ways(spark, shape):
+    signs = [tok.FACE_SIGNS[part] for part in shape.split()]
+    faces = ["".join(s[i % len(s)] for s in signs) for i in range(12)]
+    for face in [*faces, *(f[::-1] for f in faces)]:
+        assert tokens_of(spark, f"a {face} b") == [["a", face.lower(), "b"]], face
+
+
+def test_noses_and_hats_alone_are_no_faces(spark):
+    assert tokens_of(spark, "- ) > 8 < o") == [["-", ")", ">", "8", "<", "o"]]
+
+
 def test_words_keep_case_and_marks(spark):
     df = spark.createDataFrame([("You are  My sunshine\nmy only sunshine",)], "text string")
     counts = {r["word"]: r["n"] for r in text.word_counts(df).collect()}
