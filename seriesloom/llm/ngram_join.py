@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,8 @@ BLOCK_TOKENS = 1_000_000
 REPEATED_TOKENS = 1_000_000
 BIN_BITS = 9
 STAR_ROUNDS = 3
-CACHED_WORDS = 100_000
+CACHED_WORDS = 200_000
+TABLE_BITS = 24
 _LONGS = T.ArrayType(T.LongType())
 
 
@@ -74,11 +76,21 @@ class Repeated:
     tokens: np.ndarray
     counts: np.ndarray
 
+    @cached_property
+    def beginnings(self) -> np.ndarray:
+        """Whether any token has these upper bits, so that most others need no search."""
+        table = np.zeros(1 << TABLE_BITS, bool)
+        table[self.tokens >> np.uint64(64 - TABLE_BITS)] = True
+        return table
+
     def of(self, tokens: np.ndarray) -> np.ndarray:
-        if not len(self.tokens):
-            return np.zeros(len(tokens), np.int64)
-        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-        return np.where(self.tokens[at] == tokens, self.counts[at], 0)
+        out = np.zeros(len(tokens), np.int64)
+        likely = np.flatnonzero(self.beginnings[tokens >> np.uint64(64 - TABLE_BITS)])
+        if len(likely):
+            some = tokens[likely]
+            at = np.minimum(np.searchsorted(self.tokens, some), len(self.tokens) - 1)
+            out[likely] = np.where(self.tokens[at] == some, self.counts[at], 0)
+        return out
 
 
 def prefixes(tokens: np.ndarray, orders: Sequence[int], percent: int, repeated: Repeated) -> list[np.ndarray]:
