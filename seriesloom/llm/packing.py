@@ -30,7 +30,7 @@ from seriesloom.staging import stage
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 40_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 300_000
 CACHED_LENGTH = 48
 # The characters that the tokenizer takes as white space, and its pattern of words.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -68,8 +68,8 @@ class TokenIds:
 
     No word of the tokenizer's pattern holds white space, so a text is the chain of its chunks between
     white space; chunks and words are remembered, and only new words are merged by the tokenizer's model.
-    With ``exact`` the ids are those of ``encode(text, add_special_tokens=False)``: chunks that hold an added token, or a character on which
-    both ways were not seen to agree, go through the tokenizer as a whole.  Without, added tokens are ordinary text.
+    With ``exact`` the ids are those of ``encode(text, add_special_tokens=False)``: in a text that holds an added token, or a character on which
+    both ways were not seen to agree, the chunks with these go through the tokenizer.  Without, added tokens are ordinary text.
     """
 
     def __init__(self, vocabulary: bytes, exact: bool = False):
@@ -78,7 +78,7 @@ class TokenIds:
         word = Remembered(lambda w: np.array([t.id for t in merge(w.encode().decode("latin-1").translate(_BYTE_CHARACTERS))], dtype="<u4").tobytes())
         self.chunk = Remembered(lambda chunk: b"".join(map(word.__getitem__, _FIND_WORDS(chunk))))
         self.exact = exact
-        added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)").search
+        self.added = added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)").search
 
         def by_tokenizer(chunk: str) -> bytes:
             return np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -105,7 +105,7 @@ class TokenIds:
         self.whole = Remembered(encoded)
 
     def of(self, text: str) -> bytes:
-        if self.exact:
+        if self.exact and (self.added(text) or not all(self.agreed[c] for c in set(text) if c > "\x7f")):
             chunks = filter(None, _BY_WHITE.split(text)) if _OTHER_SEPARATORS.search(text) else text.split()
             return b"".join(map(self.whole.__getitem__, chunks))
         text = plain(text)
