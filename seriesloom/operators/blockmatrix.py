@@ -62,13 +62,20 @@ class BlockMatrix:
         inside = self.blocks.select("row_block", "col_block", F.posexplode(cut).alias("r", "values"))
         return inside.select((F.col("row_block") * self.block + F.col("r")).alias("row"), (F.col("col_block") * self.block).alias("column"), "values")
 
-    def reshape(self, rows: int, columns: int) -> BlockMatrix:
-        """The elements in row order under other sizes, as stretches that are cut where the new blocks begin."""
-        if rows * columns != self.rows * self.columns:
+    def reshape(self, rows: int, columns: int, rest: float | None = None) -> BlockMatrix:
+        """The elements in row order under other sizes, as stretches that are cut where the new blocks begin.
+
+        With ``rest`` the new sizes may hold more elements; those behind the last one have this value.
+        """
+        held, wanted = self.rows * self.columns, rows * columns
+        if wanted != held and (rest is None or wanted < held):
             raise ValueError(f"{self.rows} x {self.columns} elements do not fill {rows} x {columns}")
-        runs = self.runs()
-        first = F.col("row") * self.columns + F.col("column")
-        return from_runs(runs.select(first.alias("first"), "values"), rows, columns, self.block)
+        runs = self.runs().select((F.col("row") * self.columns + F.col("column")).alias("first"), "values")
+        if wanted > held:
+            added = self.blocks.sparkSession.range(held, wanted, self.block).withColumnRenamed("id", "first")
+            size = F.least(F.lit(self.block), F.lit(wanted) - F.col("first")).cast("int")
+            runs = runs.unionByName(added.select("first", F.array_repeat(F.lit(float(rest)), size).alias("values")))
+        return from_runs(runs, rows, columns, self.block)
 
     def below(self, other: BlockMatrix) -> BlockMatrix:
         """Both matrices as one, ``other`` under this one."""

@@ -385,11 +385,13 @@ def matrix_gram(spark, folder):
         SELECT p // 40 AS "row", p % 40 AS "column", round(v, 6) + 0.0 AS value FROM placed""",
 )
 def matrix_reshape(spark, folder):
-    """The matrix above its double, under rows of 40 elements."""
+    """The matrix above its double, under rows of 40 elements; the last one may be shorter."""
     a = _series_matrix(spark, folder)
     double = blockmatrix.BlockMatrix(a.blocks.withColumn("values", F.transform("values", lambda v: v * 2)), a.rows, a.columns, a.block)
     both = a.below(double)
-    return both.reshape(both.rows * both.columns // 40, 40).cells().withColumn("value", r6(F.col("value")))
+    elements = both.rows * both.columns
+    cells = both.reshape(-(-elements // 40), 40, rest=0.0).cells()
+    return cells.where(F.col("row") * 40 + F.col("column") < elements).withColumn("value", r6(F.col("value")))
 
 
 @query(

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesloom.operators import blockmatrix as bm
+from seriesloom.plans import QUERIES
 
 
 def matrix(spark, array, block=4):
@@ -41,6 +42,25 @@ def test_reshape(spark, array, sizes):
     assert np.array_equal(dense(matrix(spark, array).reshape(*sizes)), array.reshape(sizes))
 
 
+@pytest.mark.parametrize("sizes", [(8, 9), (24, 3), (1, 71), (71, 1), (12, 10)])
+def test_reshape_with_a_rest(spark, array, sizes):
+    expected = np.concatenate([array.ravel(), np.full(sizes[0] * sizes[1] - 70, 5.0)]).reshape(sizes)
+    assert np.array_equal(dense(matrix(spark, array).reshape(*sizes, rest=5.0)), expected)
+    with pytest.raises(ValueError, match="do not fill"):
+        matrix(spark, array).reshape(*sizes)
+
+
+def test_reshape_query_with_a_shorter_last_row(spark, tmp_path):
+    """Of 3 series, 2 x 3 x 64 elements, nine rows of 40 are full."""
+    vectors = np.random.default_rng(4).normal(size=(3, 64)).astype(np.float32)
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = {(r["row"], r["column"]): r["value"] for r in QUERIES["matrix_reshape"](spark, str(tmp_path)).collect()}
+    filled = np.where(np.abs(vectors.astype(float)) >= 0.01, vectors.astype(float), 0.0).ravel()
+    expected = np.round(np.concatenate([filled, 2 * filled]), 6)
+    assert len(found) == 384 and all(found[p // 40, p % 40] == pytest.approx(v, abs=2e-6) for p, v in enumerate(expected))
+
+
 @pytest.mark.parametrize("block", [3, 4])
 def test_stacks(spark, array, block):
     other = np.random.default_rng(1).normal(size=(3, 7))
