@@ -12,6 +12,7 @@ from seriesloom.operators.text import each, with_group
 from seriesloom.plans.registry import query
 from seriesloom.plans.views import WORDS_SQL, messages, table, user_groups
 from seriesloom.sources.readers import spread
+from seriesloom.staging import stage
 
 # --------------------------------------------------------------------- joins
 # No join carries a hint: Spark broadcasts a side below its size threshold and
@@ -108,7 +109,12 @@ def reduce_sum(spark, folder):
 
 @query("sum_squares", "SELECT sum(l_partkey * l_partkey)::BIGINT AS total FROM lineitem")
 def sum_squares(spark, folder):
-    return table(spark, folder, "lineitem").agg(F.sum(F.col("l_partkey") * F.col("l_partkey")).alias("total"))
+    """A bigint like the SQL's; a sum that no bigint holds, where the SQL stops with an error, is a decimal."""
+    square = (F.col("l_partkey") * F.col("l_partkey")).cast("decimal(38,0)")
+    exact = stage(table(spark, folder, "lineitem").agg(F.sum(square).alias("total")), "total")
+    if exact.where(F.col("total") > F.lit((1 << 63) - 1)).take(1):
+        return exact
+    return exact.select(F.col("total").cast("long").alias("total"))
 
 
 @query(
