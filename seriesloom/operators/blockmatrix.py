@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesloom.functions.arrowtools import list_column
 from seriesloom.staging import stage
 
 BLOCK = 128
 MERGE_PARTS = 16
 HELD_BYTES = 128 << 20
+TILE = 16  # blocks on a side
+GROUPS_PER_CORE = 4
 _BLOCKS = T.StructType(
     [T.StructField("row_block", T.LongType()), T.StructField("col_block", T.LongType()), T.StructField("values", T.ArrayType(T.DoubleType()))]
 )
@@ -91,9 +93,14 @@ class BlockMatrix:
         return self.transpose().below(other.transpose()).transpose()
 
     def __matmul__(self, other: BlockMatrix) -> BlockMatrix:
-        """Product: blocks meet by the inner number, and products of one place are added per task, in salted parts, then as a whole."""
+        """Product: blocks meet by the inner number, and products of one place are added per task, in salted parts, then as a whole.
+
+        With a single inner block every place has one product, which is never shuffled.
+        """
         if self.columns != other.rows or self.block != other.block:
             raise ValueError(f"{self.rows} x {self.columns} and {other.rows} x {other.columns} cannot be multiplied")
+        if self.columns <= self.block:
+            return self._times_in_tiles(other)
         left = self.blocks.select(F.col("row_block").alias("i"), F.col("col_block").alias("k"), F.col("values").alias("a"))
         right = other.blocks.select(F.col("row_block").alias("k"), F.col("col_block").alias("j"), F.col("values").alias("b"))
         met = left.join(right, "k").select("i", "j", "k", "a", "b")
@@ -120,10 +127,47 @@ class BlockMatrix:
         merged = salted.mapInArrow(_add_up, _BLOCKS).repartition(*place).sortWithinPartitions(*place)
         return BlockMatrix(merged.mapInArrow(_add_up, _BLOCKS), rows, columns, size)
 
+    def _times_in_tiles(self, other: BlockMatrix) -> BlockMatrix:
+        """Product over a single inner block: nothing is left to add, so only the factors are shuffled.
+
+        Tiles of blocks are dealt to a grid of about ``GROUPS_PER_CORE`` groups a core, so a factor is copied
+        about as often as the root of that number; every tile of one meets every tile of the other once.
+        """
+        spark = self.blocks.sparkSession
+        high, wide = (-(-n // (self.block * TILE)) for n in (self.rows, other.columns))
+        groups = GROUPS_PER_CORE * spark.sparkContext.defaultParallelism
+        down = max(1, min(high, ceil(groups**0.5)))
+        across = max(1, min(wide, ceil(groups / down)))
+
+        def dealt(blocks: DataFrame, number: str, name: str, own: str, own_parts: int, others: str, other_parts: int) -> DataFrame:
+            tile = F.floor(F.col(number) / TILE).alias("tile")
+            tiles = blocks.groupBy(tile).agg(F.collect_list(F.struct(F.col(number).alias("number"), "values")).alias(name))
+            part = F.pmod("tile", F.lit(own_parts)).cast("int").alias(own)
+            copies = tiles.select(part, F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1))).alias(others), name)
+            return copies.repartition(down * across, "down", "across")
+
+        left = dealt(self.blocks, "row_block", "a", "down", down, "across", across)
+        right = dealt(other.blocks, "col_block", "b", "across", across, "down", down)
+        inner = self.columns
+
+        def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    js, bs = _tile(batch.column("b"), at)
+                    bs = [b.reshape(inner, -1) for b in bs]
+                    for i, a in zip(*_tile(batch.column("a"), at), strict=True):
+                        a = a.reshape(-1, inner)
+                        yield _as_batch([(i, j, a @ b) for j, b in zip(js, bs, strict=True)])
+
+        met = left.join(right, ["down", "across"]).select("a", "b")
+        return BlockMatrix(met.mapInArrow(multiply, _BLOCKS), self.rows, other.columns, self.block)
+
     def cells(self) -> DataFrame:
         """One row per element: row, column, value."""
-        runs = self.runs().select("row", "column", F.posexplode("values").alias("at", "value"))
-        return runs.select("row", (F.col("column") + F.col("at")).alias("column"), "value")
+        top, start = (F.col("row_block") * self.block).alias("top"), (F.col("col_block") * self.block).alias("start")
+        inside = self.blocks.select(top, start, self._width(F.col("col_block")).alias("width"), F.posexplode_outer("values").alias("at", "value"))
+        row, column = F.col("top") + F.call_function("div", F.col("at"), F.col("width")), F.col("start") + F.col("at") % F.col("width")
+        return inside.select(row.alias("row"), column.alias("column"), "value")
 
     def staged(self) -> BlockMatrix:
         return BlockMatrix(stage(self.blocks, "blocks"), self.rows, self.columns, self.block)
@@ -133,6 +177,12 @@ def _elements(column: pa.ListArray, at: int) -> np.ndarray:
     return column[at].values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
 
 
+def _tile(column: pa.ListArray, at: int) -> tuple[list[int], list[np.ndarray]]:
+    """Numbers and elements of the blocks of a tile."""
+    numbers, values = column[at].values.flatten()
+    return numbers.to_pylist(), [_elements(values, one) for one in range(len(values))]
+
+
 def _block(batch: pa.RecordBatch, at: int, rows: int, columns: int, size: int) -> tuple[int, int, np.ndarray]:
     i, j = batch.column("row_block")[at].as_py(), batch.column("col_block")[at].as_py()
     return i, j, _elements(batch.column("values"), at).reshape(min(size, rows - i * size), min(size, columns - j * size))
@@ -140,8 +190,9 @@ def _block(batch: pa.RecordBatch, at: int, rows: int, columns: int, size: int) -
 
 def _as_batch(blocks: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
     i, j, values = zip(*blocks, strict=True)
-    lists = [list_column(np.ascontiguousarray(one).reshape(1, -1)) for one in values]
-    return pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.concat_arrays(lists)], names=_BLOCKS.names)
+    ends = np.cumsum([0, *(one.size for one in values)]).astype(np.int32)
+    flat = np.concatenate([one.ravel() for one in values])
+    return pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=_BLOCKS.names)
 
 
 def _batches(held: dict[tuple[int, int], np.ndarray]) -> Iterator[pa.RecordBatch]:

@@ -77,6 +77,17 @@ def test_products(spark, array, block):
     assert np.allclose(dense(a @ b), array @ other) and np.allclose(dense(a @ a.transpose()), array @ array.T)
 
 
+@pytest.mark.parametrize("groups", [1, 7])
+def test_products_over_one_inner_block_are_not_shuffled(spark, monkeypatch, groups):
+    monkeypatch.setattr(bm, "TILE", 2)
+    monkeypatch.setattr(bm, "GROUPS_PER_CORE", groups)
+    one, two = (np.random.default_rng(seed).normal(size=size) for seed, size in ((5, (43, 4)), (6, (4, 30))))
+    product = matrix(spark, one) @ matrix(spark, two)
+    assert np.allclose(dense(product), one @ two)
+    text = product.blocks._jdf.queryExecution().executedPlan().toString()
+    assert text.index("MapInArrow") < text.index("Exchange")  # the topmost exchange lies below the products
+
+
 def test_products_in_many_parts(spark, array, monkeypatch):
     monkeypatch.setattr(bm, "HELD_BYTES", 200)
     m = matrix(spark, array, 2)
