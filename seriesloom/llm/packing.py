@@ -35,6 +35,7 @@ CACHED_LENGTH = 48
 # The characters that the tokenizer takes as white space, and its pattern of words.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
+_ENDS = frozenset(".,;:!?")
 _BY_WHITE = re.compile(f"[{WHITE}]+")
 _OTHER_SEPARATORS = re.compile("[\x1c-\x1f]")
 _FIND_WORDS = regex.compile(WORDS).findall
@@ -48,16 +49,22 @@ def plain(text: str) -> str:
 
 
 class Remembered(dict):
-    """A function of strings that remembers the results of short ones, up to a bound."""
+    """A function of strings that remembers the results of short ones, up to a bound.
+
+    A full memory becomes the old one, from which results that are wanted again return, so frequent strings stay.
+    """
 
     def __init__(self, function: Callable[[str], bytes]):
         super().__init__()
-        self.function = function
+        self.function, self.old = function, {}
 
     def __missing__(self, value: str) -> bytes:
-        result = self.function(value)
+        result = self.old.get(value)
+        if result is None:
+            result = self.function(value)
         if len(value) <= CACHED_LENGTH:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= CACHED_WORDS // 2:
+                self.old = dict(self)
                 self.clear()
             self[value] = result
         return result
@@ -75,8 +82,17 @@ class TokenIds:
     def __init__(self, vocabulary: bytes, exact: bool = False):
         tokenizer = Tokenizer.from_str(vocabulary.decode())
         merge = tokenizer.model.tokenize
-        word = Remembered(lambda w: np.array([t.id for t in merge(w.encode().decode("latin-1").translate(_BYTE_CHARACTERS))], dtype="<u4").tobytes())
-        self.chunk = Remembered(lambda chunk: b"".join(map(word.__getitem__, _FIND_WORDS(chunk))))
+        word = Remembered(lambda w: b"".join([t.id.to_bytes(4, "little") for t in merge(w.encode().decode("latin-1").translate(_BYTE_CHARACTERS))]))
+
+        def chained(chunk: str) -> bytes:
+            """Ids of the words; letters alone, or before one mark, need no search for them."""
+            if chunk.isalpha():
+                return word[chunk]
+            if chunk[-1:] in _ENDS and chunk[:-1].isalpha():
+                return word[chunk[:-1]] + word[chunk[-1]]
+            return b"".join(map(word.__getitem__, _FIND_WORDS(chunk)))
+
+        self.chunk = Remembered(chained)
         self.exact = exact
         self.added = added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)").search
 

@@ -150,3 +150,20 @@ def test_packing_moves_to_the_smallest_sum_of_squares():
 def test_packing_nothing(spark):
     assert packing.pack(documents(spark, []), VOCABULARY).count() == 0
     assert packing.pack(documents(spark, clashing=True), VOCABULARY).count() == len(packing.pack(documents(spark), VOCABULARY).collect())
+
+
+def test_frequent_strings_stay_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 8)
+    seen = []
+    known = packing.Remembered(lambda w: (seen.append(w), w.encode())[1])
+    for i in range(30):
+        assert known["often"] == b"often" and known[f"w{i}"] == f"w{i}".encode()
+        assert len(known) + len(known.old) <= 8
+    assert seen.count("often") == 1
+
+
+@pytest.mark.parametrize("chunk", ["word", "word,", "straße!", "don't", "it's.", "'s", "a1", "…", ".", "x.y", "über?", "ab!!"])
+def test_chunks_of_letters_and_a_mark(chunk):
+    vocabulary = token_counts.read_vocabulary(VOCABULARY)
+    expected = Tokenizer.from_str(vocabulary.decode()).encode(chunk, add_special_tokens=False).ids
+    assert np.frombuffer(packing.TokenIds(vocabulary, exact=True).of(chunk), "<u4").tolist() == expected
