@@ -17,15 +17,17 @@ per member, and no link between components is lost.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +43,8 @@ BIN_BITS = 9
 STAR_ROUNDS = 3
 CACHED_WORDS = 200_000
 TABLE_BITS = 24
+SLICE_BYTES = 1 << 20  # texts whose words are hashed together
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000  # rows carry whole texts
 _LONGS = T.ArrayType(T.LongType())
 
 
@@ -56,13 +60,22 @@ class WordHashes(dict):
         return value
 
 
-def shingles(text: bytes, width: int, known: dict) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``width`` lower-cased words; fewer words are one run."""
-    words = text.lower().split()
-    ids = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    if len(words) >= width:
-        return np.unique(polynomial(ids, width))
-    return polynomial(ids, len(words)) ^ np.uint64(len(words)) if words else np.empty(0, np.uint64)
+def shingle_sets(texts: Sequence[bytes], width: int, known: dict) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes of the runs of ``width`` lower-cased words; fewer words are one run.  All texts are hashed together."""
+    words = [text.lower().split() for text in texts]
+    ids = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=sum(map(len, words)))
+    runs = polynomial(ids, width)  # also some that cross two texts
+    out, at = [], 0
+    for n in map(len, words):
+        if n >= width:
+            tokens = np.sort(runs[at : at + n - width + 1])
+            fresh = np.ones(len(tokens), bool)
+            np.not_equal(tokens[1:], tokens[:-1], out=fresh[1:])
+            out.append(tokens[fresh])
+        else:
+            out.append(polynomial(ids[at : at + n], n) ^ np.uint64(n) if n else np.empty(0, np.uint64))
+        at += n
+    return out
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -94,28 +107,44 @@ class Repeated:
 
 
 def prefixes(tokens: np.ndarray, orders: Sequence[int], percent: int, repeated: Repeated) -> list[np.ndarray]:
-    """The first tokens of a set under each of the orders, in that order; order 1 puts rare tokens first, the others are hashes."""
-    if not len(tokens):
-        return [tokens for _ in orders]
-    length, out = prefix_length(len(tokens), percent), []
-    for order in orders:
-        key = mixed(tokens, order)
-        if order == 1:
-            key = np.minimum(repeated.of(tokens), 1023).astype(np.uint64) << np.uint64(54) | (key >> np.uint64(10))
-        first = np.argpartition(key, length - 1)[:length]
-        out.append(tokens[first[np.argsort(key[first])]])
+    """The first tokens of a set under each of the orders."""
+    return [prefix_sets([tokens], order, percent, repeated)[0] for order in orders]
+
+
+def prefix_sets(sets: list[np.ndarray], order: int, percent: int, repeated: Repeated) -> list[np.ndarray]:
+    """The first tokens of every set under one of the orders, in that order; order 1 puts rare tokens first, the others are hashes."""
+    tokens = _flat(sets)
+    keys = mixed(tokens, order)
+    if order == 1:
+        keys = np.minimum(repeated.of(tokens), 1023).astype(np.uint64) << np.uint64(54) | (keys >> np.uint64(10))
+    out, at = [], 0
+    for one in sets:
+        if len(one):
+            key, length = keys[at : at + len(one)], prefix_length(len(one), percent)
+            first = np.argpartition(key, length - 1)[:length]
+            out.append(one[first[np.argsort(key[first])]])
+            at += len(one)
+        else:
+            out.append(one)
     return out
 
 
+def _flat(sets: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(sets) if sets else np.empty(0, np.uint64)
+
+
 def binned(tokens: np.ndarray) -> bytes | None:
     """Tokens per bin, a byte each; None if a bin has more than fit.  The bins of two sets bound their intersection."""
     counts = np.bincount((mixed(tokens, 5) >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS)
     return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
 
 
-def _name(tokens: np.ndarray) -> tuple[int, int]:
-    """128 bits that name a set, whatever the order of its tokens."""
-    return tuple(int(mixed(tokens, seed).sum(dtype=np.uint64).view(np.int64)) for seed in (11, 12))
+def _names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that name every set, whatever the order of its tokens."""
+    tokens = _flat(sets)
+    ends = np.cumsum([0, *map(len, sets)])
+    sums = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(tokens, seed), dtype=np.uint64)]) for seed in (11, 12))
+    return tuple((upto[ends[1:]] - upto[ends[:-1]]).view(np.int64) for upto in sums)
 
 
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -139,9 +168,8 @@ def _repeated(documents: DataFrame, width: int) -> Repeated:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, block, seen, size = WordHashes(), [], set(), 0
         for batch in batches:
-            for part in text_slices(batch):
-                for text in raw_texts(part):
-                    tokens = shingles(text, width, known)
+            for part in text_slices(batch, limit=SLICE_BYTES):
+                for tokens in shingle_sets(raw_texts(part), width, known):
                     name = hash(tokens.tobytes())
                     if len(tokens) and name not in seen:
                         seen.add(name)
@@ -173,14 +201,12 @@ def _signatures(documents: DataFrame, width: int, percent: int, repeated: Broadc
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            for part in text_slices(batch):
-                sets = [shingles(text, width, known) for text in raw_texts(part)]
-                names = [_name(x) for x in sets]
-                first = [prefixes(x, [1], percent, repeated.value)[0].view(np.int64) for x in sets]
+            for part in text_slices(batch, limit=SLICE_BYTES):
+                sets = shingle_sets(raw_texts(part), width, known)
+                first = [x.view(np.int64) for x in prefix_sets(sets, 1, percent, repeated.value)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), pa.array([len(x) for x in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()),
-                     pa.array([b for _, b in names], pa.int64()), _lists(first, pa.int64())], names=schema.names,
-                )
+                    [part.column("key"), pa.array([len(x) for x in sets], pa.int64()), *map(pa.array, _names(sets)), _lists(first, pa.int64())], names=schema.names
+                )
 
     return documents.mapInArrow(sign, schema)
 
@@ -206,13 +232,9 @@ class Measured:
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = WordHashes()
             for batch in batches:
-                for part in text_slices(batch):
-                    sets = [x for x in (shingles(text, width, known) for text in raw_texts(part)) if len(x)]
-                    names = [_name(x) for x in sets]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
-                         *measure(sets)], names=schema.names,
-                    )
+                for part in text_slices(batch, limit=SLICE_BYTES):
+                    sets = [x for x in shingle_sets(raw_texts(part), width, known) if len(x)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, _names(sets)), pa.array([len(x) for x in sets], pa.int64()), *measure(sets)], names=schema.names)
 
         named = small_side(wanted.select("uid", "name_a", "name_b"))
         return _texts(self.documents, wanted).mapInArrow(build, schema).join(named, ["name_a", "name_b"]).drop("name_a", "name_b")
@@ -235,8 +257,8 @@ def _filters(documents: DataFrame, named: DataFrame, width: int, percent: int, r
     """Prefixes under the second and third order, and bins."""
 
     def measure(sets: list[np.ndarray]) -> list[pa.Array]:
-        two = [prefixes(x, [2, 3], percent, repeated.value) for x in sets]
-        return [*(_lists([x[i].view(np.int64) for x in two], pa.int64()) for i in (0, 1)), pa.array([binned(x) for x in sets], pa.binary())]
+        two = (prefix_sets(sets, order, percent, repeated.value) for order in (2, 3))
+        return [*(_lists([x.view(np.int64) for x in one], pa.int64()) for one in two), pa.array([binned(x) for x in sets], pa.binary())]
 
     return Measured(documents, named, {"second": _LONGS, "third": _LONGS, "bins": T.BinaryType()}, width, measure)
 
@@ -308,10 +330,22 @@ def similar_components(
     component.  Rows without words have n_shingles 0 and are their own component.  NULL keys take part, but never
     name a component that has another key; other columns are not read.
     """
-    with passing() as keep:  # the tables of the search go when the components are known
+    with passing() as keep, _small_batches(documents.sparkSession):  # the tables of the search go when the components are known
         return keep(stage(_components_of(documents, key, text, width, percent), "similar"))
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python workers get at most ``BATCH_ROWS`` rows at once."""
+    before = spark.conf.get(BATCH)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def _components_of(documents: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     frame = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     repeated = documents.sparkSession.sparkContext.broadcast(_repeated(frame, width))  # at most REPEATED_TOKENS pairs of numbers

@@ -136,6 +136,26 @@ def test_orders_are_unlike():
     assert one.isdisjoint(tokens[:500].tolist())
 
 
+def test_similar_components_reads_few_texts_at_once(spark, monkeypatch):
+    seen, search, name = [], ngram_join._components_of, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(ngram_join, "_components_of", lambda *args: (seen.append(int(spark.conf.get(name))), search(*args))[1])
+    ngram_join.similar_components(documents(spark, [(1, "a b c d e", "en", "x")]))
+    assert seen == [1000] and spark.conf.get(name) == before
+
+
+def test_shingles_of_texts_hashed_together():
+    import numpy as np
+
+    texts = [b"a B c d e", b"", b"a b", b"A b c d", b"a b a b a b", b" \n", b"b c D e"]
+    together, known = ngram_join.shingle_sets(texts, 4, ngram_join.WordHashes()), ngram_join.WordHashes()
+    for text, tokens in zip(texts, together, strict=True):
+        assert np.array_equal(tokens, ngram_join.shingle_sets([text], 4, known)[0]) and np.all(tokens[1:] > tokens[:-1])
+    assert [len(x) for x in together] == [2, 0, 1, 1, 2, 0, 1]
+    assert set(together[0]) == {*together[3], *together[6]}
+    assert [int(a) for a in ngram_join._names(together)[0]] == [int(ngram_join._names([x])[0][0]) for x in together]
+
+
 def test_near_copies_under_excerpts_are_linked(spark):
     """Excerpts lead all groups of two near copies and are too short for either."""
     words = [f"w{i}" for i in range(30)]
