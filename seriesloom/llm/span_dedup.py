@@ -26,7 +26,7 @@ SENTENCE = r"[^.!?,;:\n]*[.!?,;:\n]+|[^.!?,;:\n]+"
 MIN_WORDS = 20
 _FIND = re.compile(SENTENCE.encode()).findall
 FILTER_BITS = 27
-HELD_BYTES = 16 << 20  # arrays of places up to which the tasks hold them
+HELD_BYTES = 1 << 20  # arrays of places up to which the tasks hold them
 _ALL = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -100,8 +100,9 @@ def repeated_sentences(numbered: DataFrame, min_words: int = MIN_WORDS) -> DataF
     run = ["run_a", "run_b"]
     firsts = spans.groupBy(*run).agg(F.min(occurrence).alias("first"), F.max(occurrence).alias("last")).where("first != last")
     later = spans.join(stage(firsts.select(*run, "first"), "firsts"), run).where(occurrence != F.col("first"))
-    covered = later.select("row", F.explode(F.sequence("place", "stop")).alias("sentence"))
-    return covered.distinct().groupBy("row").agg(F.collect_list("sentence").alias("gone"))
+    # A run ends where its text says, so a place of a row has one; overlapping runs meet as ends, not as all their sentences.
+    runs = later.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "stop"))).alias("runs"))
+    return runs.select("row", F.array_distinct(F.flatten(F.transform("runs", lambda run: F.sequence(run["place"], run["stop"])))).alias("gone"))
 
 
 def drop_repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

@@ -217,6 +217,15 @@ def test_any_bitmap_and_any_broadcast_give_the_same(spark, monkeypatch):
     assert counted((r.doc_id, r.text) for r in span_dedup.drop_repeated_spans(documents(spark), min_words=4).collect()) == rows
 
 
+def test_overlapping_runs_are_not_spelled_out(spark):
+    """Their sentences are put together per row; a row of its own for each would grow with the runs times their length."""
+    sentences = [f"w{i}a w{i}b." for i in range(12)]
+    rows = [(0, 1, " ".join(sentences)), (1, 2, "x y z. " + " ".join(sentences[2:9]))]
+    gone = span_dedup.repeated_sentences(spark.createDataFrame(rows, "row long, key long, text string"), min_words=4)
+    assert {r["row"]: sorted(r["gone"]) for r in gone.collect()} == {1: [1, 2, 3, 4, 5, 6, 7]}
+    assert "Generate" not in gone._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_spans_equal_brute_force(spark, clashing):
     chance = random.Random(2)
