@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.llm.common import bitmap_of, mixed, raw_texts, text_slices
@@ -100,9 +100,14 @@ def repeated_sentences(numbered: DataFrame, min_words: int = MIN_WORDS) -> DataF
     run = ["run_a", "run_b"]
     firsts = spans.groupBy(*run).agg(F.min(occurrence).alias("first"), F.max(occurrence).alias("last")).where("first != last")
     later = spans.join(stage(firsts.select(*run, "first"), "firsts"), run).where(occurrence != F.col("first"))
-    # A run ends where its text says, so a place of a row has one; overlapping runs meet as ends, not as all their sentences.
     runs = later.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "stop"))).alias("runs"))
-    return runs.select("row", F.array_distinct(F.flatten(F.transform("runs", lambda run: F.sequence(run["place"], run["stop"])))).alias("gone"))
+    return runs.select("row", F.flatten(F.transform("runs", _fresh)).alias("gone"))
+
+
+def _fresh(run: Column, i: Column) -> Column:
+    """The sentences of a run that the one before it does not have; a later run of a text never ends earlier."""
+    begin = F.greatest(run["place"], F.coalesce(F.get("runs", i - 1)["stop"] + 1, F.lit(0)))
+    return F.when(begin <= run["stop"], F.sequence(begin, run["stop"])).otherwise(F.array().cast("array<int>"))
 
 
 def drop_repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

@@ -222,7 +222,7 @@ def test_overlapping_runs_are_not_spelled_out(spark):
     sentences = [f"w{i}a w{i}b." for i in range(12)]
     rows = [(0, 1, " ".join(sentences)), (1, 2, "x y z. " + " ".join(sentences[2:9]))]
     gone = span_dedup.repeated_sentences(spark.createDataFrame(rows, "row long, key long, text string"), min_words=4)
-    assert {r["row"]: sorted(r["gone"]) for r in gone.collect()} == {1: [1, 2, 3, 4, 5, 6, 7]}
+    assert {r["row"]: r["gone"] for r in gone.collect()} == {1: [1, 2, 3, 4, 5, 6, 7]}
     assert "Generate" not in gone._jdf.queryExecution().executedPlan().toString()
 
 
