@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import Bitmap, bitmap_of, mixed, raw_texts, text_slices
+from seriesloom.llm.common import Bitmap, bitmap_of, mixed, raw_texts, small_batches, text_slices
 from seriesloom.operators.ordered import top_per_group
 from seriesloom.staging import stage
 
@@ -31,6 +31,7 @@ DEPTH = 4
 MIN_COUNT = 30
 SHARD_WORDS = 1_000_000
 PART_BYTES = 1 << 22
+BLOCK_WORDS = 1 << 17  # occurrences that are extended at once, unless a single phrase has more
 FILTER_BITS = 27
 UNKNOWN_LANGUAGE = "und"
 SEPARATOR = b"\xff"  # stands in no UTF-8 text
@@ -38,16 +39,19 @@ _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"ab
 
 
 class _Words(dict):
-    """Numbers of the words of one language, from the shard's vocabulary."""
+    """Numbers of the words of one language, as places in the lists of the shard.
 
-    def __init__(self, vocabulary: Vocabulary, language: int):
+    It knows the lists but not their vocabulary: a cycle of the two would keep every shard in memory until the collector runs.
+    """
+
+    def __init__(self, words: list[bytes], languages: list[int], language: int):
         super().__init__({SEPARATOR: 0})
-        self.vocabulary, self.language = vocabulary, language
+        self.words, self.languages, self.language = words, languages, language
 
     def __missing__(self, word: bytes) -> int:
-        self.vocabulary.words.append(word)
-        self.vocabulary.languages.append(self.language)
-        number = self[word] = len(self.vocabulary.words) - 1
+        self.words.append(word)
+        self.languages.append(self.language)
+        number = self[word] = len(self.words) - 1
         return number
 
 
@@ -60,7 +64,7 @@ class Vocabulary:
 
     def numbers(self, language: str, tokens: list[bytes]) -> np.ndarray:
         if language not in self.known:
-            self.known[language] = _Words(self, len(self.known))
+            self.known[language] = _Words(self.words, self.languages, len(self.known))
         return np.fromiter(map(self.known[language].__getitem__, tokens), np.int64, len(tokens))
 
     def hashes(self) -> np.ndarray:
@@ -79,16 +83,27 @@ class Phrases:
     low: np.ndarray
     reverse_low: np.ndarray
 
-    def where(self, kept: np.ndarray) -> Phrases:
+    def where(self, kept: np.ndarray | slice) -> Phrases:
         return Phrases(self.words[kept], self.count[kept], self.low[kept], self.reverse_low[kept])
 
+    def blocks(self, most: int) -> Iterator[Phrases]:
+        """Runs of phrases that occur at most ``most`` times together; one that occurs more often is a run of its own."""
+        ends, start = np.cumsum(self.count), 0
+        while start < len(ends):
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield self.where(slice(start, stop))
+            start = stop
+
 
 def _numbered(keys: np.ndarray) -> np.ndarray:
     """Ranks of the distinct keys."""
     order = np.argsort(keys)
     ordered = keys[order]
-    ranks = np.empty(len(keys), np.int64)
-    ranks[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+    fresh = ordered[1:] != ordered[:-1]
+    del ordered
+    ranks = np.zeros(len(keys), np.int32)
+    ranks[order[1:]] = np.cumsum(fresh, dtype=np.int32)
     return ranks
 
 
@@ -100,8 +115,10 @@ class Side:
         while reach < depth:
             if reach > 1:
                 ranks = _numbered(keys)
-            behind = np.concatenate([ranks[reach:], np.zeros(reach, np.int64)])
-            keys, reach = ranks * (int(ranks.max()) + 1) + behind, 2 * reach
+            keys = ranks.astype(np.int64)
+            keys *= int(ranks.max()) + 1
+            keys[:-reach] += ranks[reach:]
+            reach *= 2
         del ranks
         order = np.argsort(keys, kind="stable").astype(np.int32)
         del keys
@@ -114,8 +131,8 @@ class BidirectionalIndex:
     """Enumerates the phrases of a shard up to ``depth`` words; ``words`` are numbers, 0 separates pieces."""
 
     def __init__(self, words: np.ndarray, vocabulary: int, depth: int = DEPTH):
-        ends = np.zeros(depth, np.int64)
-        whole = np.concatenate([ends[:1], words, ends])
+        ends = np.zeros(depth, np.int32)
+        whole = np.concatenate([ends[:1], words.astype(np.int32), ends])
         self.size, self.depth = vocabulary, depth
         self.sides = {"right": Side(np.concatenate([ends[:1], whole[::-1], ends]), depth - 1)}
         if depth > 2:
@@ -205,24 +222,41 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int, overlap: int) -
                     if repeated:
                         twice.append(vocabulary.numbers(language, repeated))
                     if size >= shard_words:
-                        yield vocabulary, np.concatenate(parts), sums, twice
+                        parts = [np.concatenate(parts)]
+                        yield vocabulary, parts.pop(), sums, twice
                         vocabulary, parts, size, sums, twice = Vocabulary(), [], 0, {}, []
     if parts:
         yield vocabulary, np.concatenate(parts), sums, twice
 
 
+def _trimmed(words: np.ndarray, hashes: np.ndarray, frequent: Bitmap, width: int) -> np.ndarray:
+    """The words that stand in a frequent phrase of ``width`` words; a separator takes the place of others between them."""
+    kept = np.zeros(len(words), bool)
+    if len(words) >= width:
+        held = frequent.holds(phrase_hashes(np.lib.stride_tricks.sliding_window_view(words, width), hashes))
+        for i in range(width):
+            kept[i : i + len(held)] |= held
+    kept &= words > 0
+    ends = np.concatenate([[False], kept[:-1]]) & ~kept
+    return np.where(kept, words, 0)[kept | ends]
+
+
 def _levels(words: np.ndarray, hashes: np.ndarray, depth: int, frequent: Bitmap | None = None, known: int = 0) -> Iterator[Phrases]:
-    """Phrases of 1 to ``depth`` words; with ``frequent``, which holds phrases of up to ``known`` words, those whose parts of that length are in there."""
+    """Phrases of 1 to ``depth`` words, block by block of their beginnings; with ``frequent``, which holds phrases of up to ``known`` words, those whose parts of that length are in there."""
     index = BidirectionalIndex(words, len(hashes), depth)
-    phrases, way = index.single(), "right"
-    for n in range(1, depth + 1):
-        if n > 1:
-            way = "left" if n % 2 else "right"
-            phrases = index.extended(phrases, way)
-        if frequent is not None:
-            newest = phrases.words[:, :known] if way == "left" else phrases.words[:, -known:]  # the other parts are those of the phrase before
-            phrases = phrases.where(frequent.holds(phrase_hashes(newest, hashes)))
+
+    def kept(phrases: Phrases, way: str) -> Phrases:
+        if frequent is None:
+            return phrases
+        newest = phrases.words[:, :known] if way == "left" else phrases.words[:, -known:]  # the other parts are those of the phrase before
+        return phrases.where(frequent.holds(phrase_hashes(newest, hashes)))
+
+    for phrases in kept(index.single(), "right").blocks(BLOCK_WORDS):
         yield phrases
+        for n in range(2, depth + 1):
+            way = "left" if n % 2 else "right"
+            phrases = kept(index.extended(phrases, way), way)
+            yield phrases
 
 
 def _frequent(frame: DataFrame, min_count: int, shard_words: int, width: int) -> Bitmap:
@@ -270,7 +304,8 @@ def _spelled(frame: DataFrame, least: int, most: int, frequent: Broadcast, known
                 yield pa.RecordBatch.from_arrays(sizes, names=names)
             of_word = np.array(vocabulary.languages)
             for stretch, sign in [(words, 1), *((x, -1) for x in twice)]:
-                for phrases in _levels(stretch, hashes, most, frequent.value, known):
+                held = _trimmed(stretch, hashes, frequent.value, min(least, known))
+                for phrases in _levels(held, hashes, most, frequent.value, known):
                     if phrases.words.shape[1] < least:
                         continue
                     columns = [spelled.take(pa.array(column)) for column in phrases.words.T]
@@ -328,7 +363,8 @@ def collocations(
     counts too, but then so does the one between.  NULL texts have no words, a NULL language is ``und``; repeated rows count each;
     whole texts are read and other columns are not; without frequent phrases the result is empty.
     """
-    counts = stage(phrase_counts(documents, text, lang, min_count, shard_words, width), "phrases")
+    with small_batches(documents.sparkSession):
+        counts = stage(phrase_counts(documents, text, lang, min_count, shard_words, width), "phrases")
     totals = counts.where("words = 0").select("lang", F.col("n").alias("total"))
     most = F.coalesce("most", F.lit(0)).cast("decimal(19, 0)")
     own = _scored(counts).join(_covered(counts), ["lang", "phrase"], "left").where(100 * most < cover_percent * F.col("a").cast("decimal(19, 0)"))

@@ -17,7 +17,6 @@ per member, and no link between components is lost.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import chain
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesloom.llm.common import fresh_name, mixed, polynomial, raw_texts, small_side, text_slices
+from seriesloom.llm.common import fresh_name, mixed, polynomial, raw_texts, small_batches, small_side, text_slices
 from seriesloom.llm.components import components
 from seriesloom.staging import passing, stage
 
@@ -44,7 +43,6 @@ STAR_ROUNDS = 3
 CACHED_WORDS = 200_000
 TABLE_BITS = 24
 SLICE_BYTES = 1 << 20  # texts whose words are hashed together
-BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000  # rows carry whole texts
 _LONGS = T.ArrayType(T.LongType())
 
 
@@ -330,22 +328,10 @@ def similar_components(
     component.  Rows without words have n_shingles 0 and are their own component.  NULL keys take part, but never
     name a component that has another key; other columns are not read.
     """
-    with passing() as keep, _small_batches(documents.sparkSession):  # the tables of the search go when the components are known
+    with passing() as keep, small_batches(documents.sparkSession):  # the tables of the search go when the components are known
         return keep(stage(_components_of(documents, key, text, width, percent), "similar"))
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Python workers get at most ``BATCH_ROWS`` rows at once."""
-    before = spark.conf.get(BATCH)
-    if not 0 < int(before) <= BATCH_ROWS:
-        spark.conf.set(BATCH, str(BATCH_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(BATCH, before)
-
-
 def _components_of(documents: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     frame = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     repeated = documents.sparkSession.sparkContext.broadcast(_repeated(frame, width))  # at most REPEATED_TOKENS pairs of numbers

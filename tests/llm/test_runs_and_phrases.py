@@ -1,13 +1,16 @@
 """Periodic runs and collocations against brute force."""
 
+import gc
 import hashlib
 import os
 import random
 import re
 import sys
+import weakref
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -189,3 +192,44 @@ def test_awkward_documents_have_phrases(spark):
     assert sorted(map(tuple, collocations.collocations(documents(spark, short), min_count=2).collect())) == brute_collocations(short, 2, 2000)
     assert collocations.collocations(spark.createDataFrame([], SCHEMA)).collect() == []
     assert collocations.collocations(spark.createDataFrame([(1, None, None, None)], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("most", [1, 50, 10**6])
+def test_phrases_are_extended_block_by_block(monkeypatch, most):
+    """A block holds few occurrences, unless one word has more of them; together the blocks give every phrase once."""
+    monkeypatch.setattr(collocations, "BLOCK_WORDS", most, raising=False)
+    words = np.random.default_rng(7).integers(0, 9, 600)
+    commonest = int(np.bincount(words)[1:].max())
+    found = Counter()
+    for phrases in collocations._levels(words, np.arange(9, dtype=np.uint64), 4):
+        assert phrases.count.sum() <= max(most, commonest)
+        assert len(set(map(tuple, phrases.words.tolist())) & set(found)) == 0
+        found.update(dict(zip(map(tuple, phrases.words.tolist()), phrases.count.tolist(), strict=True)))
+    assert found == Counter(t for n in range(1, 5) for i in range(601 - n) if 0 not in (t := tuple(words[i : i + n].tolist())))
+
+
+def test_shards_go_without_the_collector():
+    """Nothing keeps a shard's vocabulary once the next one is read."""
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de"] * 3, "text": ["a b c", "d e, f"] * 3})
+    gc.disable()
+    try:
+        seen = [weakref.ref(shard[0]) for shard in collocations._shards(iter([batch]), 4, 3)]
+        assert len(seen) > 2 and [ref() for ref in seen] == [None] * len(seen)
+    finally:
+        gc.enable()
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+def test_trimmed_words_keep_frequent_phrases(width):
+    """Only words in a frequent phrase stay, with a separator where others were, so no phrase is lost or made."""
+    rng = np.random.default_rng(width)
+    words, hashes = rng.integers(0, 5, 300), rng.integers(0, 2**63, 5).astype(np.uint64)
+    windows = [tuple(words[i : i + width].tolist()) for i in range(301 - width)]
+    chosen = {w for w in windows if 0 not in w and sum(w) % 3 == 0}
+    bits = np.zeros(1 << 14, np.uint64)
+    for name in collocations.phrase_hashes(np.array(sorted(chosen)), hashes).tolist():
+        bits[name >> 50] |= np.uint64(1 << (name >> 44 & 63))
+    got = collocations._trimmed(words, hashes, collocations.Bitmap(bits, 20), width)
+    inside = [any(windows[j] in chosen for j in range(max(0, i - width + 1), min(i + 1, len(windows)))) for i in range(300)]
+    assert " ".join("".join(str(w) if k else " " for w, k in zip(words, inside, strict=True)).split()) == "".join(map(str, got.tolist())).replace("0", " ").strip()
+    assert collocations._trimmed(words[:0], hashes, collocations.Bitmap(bits, 20), width).tolist() == []
