@@ -18,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,14 +31,15 @@ from seriesloom.staging import stage
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 40_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 CACHED_LENGTH = 48
 # The characters that the tokenizer takes as white space, and its pattern of words.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
 _ENDS = frozenset(".,;:!?")
 _BY_WHITE = re.compile(f"[{WHITE}]+")
-_OTHER_SEPARATORS = re.compile("[\x1c-\x1f]")
+_WIDE = frozenset("\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000").union(map(chr, range(0x2000, 0x200B)))
+_WIDE_WHITE = re.compile(f"[{''.join(sorted(_WIDE))}]")
 _FIND_WORDS = regex.compile(WORDS).findall
 _SYLLABLE_PARTS = {chr(c) for first, last in ((0x1100, 0x11FF), (0xA960, 0xA97F), (0xD7B0, 0xD7FF)) for c in range(first, last + 1)}
 _BYTE_CHARACTERS = {byte: character for character, byte in byte_symbols().items()}
@@ -82,17 +84,23 @@ class TokenIds:
     def __init__(self, vocabulary: bytes, exact: bool = False):
         tokenizer = Tokenizer.from_str(vocabulary.decode())
         merge = tokenizer.model.tokenize
-        word = Remembered(lambda w: b"".join([t.id.to_bytes(4, "little") for t in merge(w.encode().decode("latin-1").translate(_BYTE_CHARACTERS))]))
+        packed = [i.to_bytes(4, "little") for i in range(max(tokenizer.get_vocab().values(), default=0) + 1)]
+
+        def merged(word: str) -> bytes:
+            """Ids of a word; letters of ASCII stand for their own bytes."""
+            spelled = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+            return b"".join([packed[t.id] for t in merge(spelled)])
 
         def chained(chunk: str) -> bytes:
-            """Ids of the words; letters alone, or before one mark, need no search for them."""
+            """Ids of the words; letters alone, or before one mark, need no search for them.  A word is a chunk of one word."""
             if chunk.isalpha():
-                return word[chunk]
+                return merged(chunk)
             if chunk[-1:] in _ENDS and chunk[:-1].isalpha():
-                return word[chunk[:-1]] + word[chunk[-1]]
-            return b"".join(map(word.__getitem__, _FIND_WORDS(chunk)))
+                return known[chunk[:-1]] + known[chunk[-1]]
+            words = _FIND_WORDS(chunk)
+            return merged(chunk) if words == [chunk] else b"".join([known[w] for w in words])
 
-        self.chunk = Remembered(chained)
+        self.chunk = known = Remembered(chained)
         self.exact = exact
         self.added = added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or "(?!)").search
 
@@ -120,16 +128,39 @@ class TokenIds:
 
         self.whole = Remembered(encoded)
 
+    def spaced(self, text: str) -> str | None:
+        """The text as ``plain`` gives it, with no white space beyond ASCII; None if chunks of it may have to go through the tokenizer."""
+        if self.exact and self.added(text):
+            return None
+        if text.isascii():
+            return text.lower()
+        characters = set(text)
+        if self.exact and not all([self.agreed[c] for c in characters if c > "\x7f"]):
+            return None
+        return plain(text) if _WIDE.isdisjoint(characters) else _WIDE_WHITE.sub(" ", plain(text))
+
     def of(self, text: str) -> bytes:
-        if self.exact and (self.added(text) or not all(self.agreed[c] for c in set(text) if c > "\x7f")):
-            chunks = filter(None, _BY_WHITE.split(text)) if _OTHER_SEPARATORS.search(text) else text.split()
-            return b"".join(map(self.whole.__getitem__, chunks))
-        text = plain(text)
-        if _OTHER_SEPARATORS.search(text):  # Python also splits at these, the tokenizer does not
-            chunks = filter(None, _BY_WHITE.split(text))
-        else:
-            chunks = text.split()
-        return b"".join(map(self.chunk.__getitem__, chunks))
+        return self.of_all([text])[0]
+
+    def of_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; a chunk that several places hold is looked up once."""
+        spaced = [self.spaced(text) for text in texts]
+        # Arrow splits at the white space of ASCII, as the tokenizer does; Python would also split at \x1c to \x1f.
+        parts = pc.ascii_split_whitespace(pa.array([text or "" for text in spaced], pa.large_string()))
+        chunks = parts.flatten().dictionary_encode()
+        found = list(map(self.chunk.__getitem__, chunks.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        which = chunks.indices.to_numpy()
+        each = sizes[which]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        ids = ids[np.repeat(first[which] - upto[:-1], each) + np.arange(upto[-1])]
+        ends = upto[parts.offsets.to_numpy()]
+        rows = zip(texts, spaced, ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+        return [self._mixed(text) if plainly is None else ids[at:to].tobytes() for text, plainly, at, to in rows]
+
+    def _mixed(self, text: str) -> bytes:
+        return b"".join(map(self.whole.__getitem__, filter(None, _BY_WHITE.split(text))))
 
 
 @lru_cache(maxsize=1)
@@ -148,12 +179,13 @@ def tokenised(documents: DataFrame, vocabulary: str, key: str = "doc_id", text:
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = token_ids(source.value).of
+        ids_of_all = token_ids(source.value).of_all
         for batch in batches:
             for part in text_slices(batch):
                 owner, pieces, starts, lengths, sums = [], [], [], [], []
-                for row, value in enumerate(part.column("text").to_pylist()):
-                    ids = memoryview((ids_of(value) if value else b"") + end)
+                texts = [value or "" for value in part.column("text").to_pylist()]
+                for row, text_ids in enumerate(ids_of_all(texts)):
+                    ids = memoryview(text_ids + end)
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[at : at + 4 * capacity]
                         owner.append(row)

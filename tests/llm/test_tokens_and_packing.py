@@ -167,3 +167,28 @@ def test_chunks_of_letters_and_a_mark(chunk):
     vocabulary = token_counts.read_vocabulary(VOCABULARY)
     expected = Tokenizer.from_str(vocabulary.decode()).encode(chunk, add_special_tokens=False).ids
     assert np.frombuffer(packing.TokenIds(vocabulary, exact=True).of(chunk), "<u4").tolist() == expected
+
+
+def test_ids_of_texts_side_by_side():
+    """Each text has the tokenizer's ids, whatever its neighbours."""
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    ids = packing.TokenIds(token_counts.read_vocabulary(VOCABULARY), exact=True)
+    texts = ["", " \t\n", "One two, one\u00a0two\u2003THREE", "a\x1cb\x1fc \x85d", "x<|endoftext|> one", "two e\u0301 \u0130 \u3000", "\u1100\u1161 it's ''s 's !?.", "", "straße two,"]
+    expected = [found.ids for found in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(found, "<u4").tolist() for found in ids.of_all(texts)] == expected
+    assert ids.of_all([]) == []
+
+
+def test_lookups_follow_the_distinct_chunks():
+    ids = packing.TokenIds(token_counts.read_vocabulary(VOCABULARY), exact=True)
+
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, chunk):
+            Counted.asked += 1
+            return look_up[chunk]
+
+    look_up, ids.chunk = ids.chunk, Counted()
+    ids.of_all(["one two one two"] * 100)
+    assert Counted.asked == 2
