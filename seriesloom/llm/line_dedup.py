@@ -32,7 +32,8 @@ def visible_text(html: Column) -> Column:
 
 
 def _has_word(line: Column) -> Column:
-    return F.length(F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))) > 0
+    """Reads a line only up to its first visible character."""
+    return F.ltrim(line, F.lit(" \t\r\x0b\x0c")) != ""
 
 
 def _hash(line: Column) -> Column:
@@ -42,7 +43,7 @@ def _hash(line: Column) -> Column:
 
 def boilerplate(lines: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """host and hashes of its boilerplate lines, from rows of host and lines; pages of one text count once with ``copies_once``."""
-    hashes = F.array_distinct(F.transform(F.filter("lines", _has_word), _hash))
+    hashes = F.transform(F.filter(F.array_distinct("lines"), _has_word), _hash)
     if copies_once:
         lines = lines.select("host", _hash(F.array_join("lines", "\n")).alias("text"), hashes.alias("hashes")).groupBy("host", "text").agg(F.first("hashes").alias("hashes"))
         lines, hashes = stage(lines, "texts"), F.col("hashes")

@@ -2,6 +2,7 @@ import os
 import random
 import re
 import sys
+import time
 
 import numpy as np
 import pytest
@@ -167,6 +168,32 @@ def test_copies_stay_whole(spark):
     assert line_dedup.drop_boilerplate(documents(spark, []), F.col("source"), F.col("text")).count() == 0
 
 
+def test_lines_are_visible_by_their_first_character(spark, capsys):
+    """No line is rewritten to see whether it has a visible character, and lines are made distinct as texts, not as pairs of hashes."""
+    lines = ["", " ", "\t\r\x0b\x0c ", "\xa0", " \t x", "x ", "\x1c", "\u2003", "\r\x00", "é\t"]
+    frame = spark.createDataFrame([(line,) for line in [*lines, None]], "line string").select("line", line_dedup._has_word(F.col("line")).alias("seen"))
+    assert [r.seen for r in frame.collect()] == [bool(line.strip(" \t\r\x0b\x0c")) for line in lines] + [None]
+    rows = [(i, "\n".join([*lines, "x ", f"own {i}"]), "en", "x") for i in range(4)]
+    pages = documents(spark, rows)
+    out = line_dedup.drop_boilerplate(pages, pages["source"], pages["text"])
+    assert counted((r.doc_id, r.cleaned.text) for r in out.collect()) == counted(brute_lines(rows, line_dedup.RATIO, line_dedup.MIN_PAGES))
+    assert {(r.cleaned.n_lines, r.cleaned.n_dropped) for r in out.collect()} == {(9, 8)}
+    out.explain()
+    assert "translate" not in capsys.readouterr().out
+
+
+def test_page_of_many_lines(spark):
+    """The distinct lines of a page take time in proportion to the lines; comparing all pairs of 200,000 would take minutes."""
+    many = [f"line {i}" for i in range(200_000)]
+    rows = [(1, "\n".join([*many, "all", "all"]), "en", "x"), (2, "all", "en", "x"), (3, "all", "en", "x")]
+    frame = documents(spark, rows)
+    began = time.monotonic()
+    out = line_dedup.drop_boilerplate(frame, frame["source"], frame["text"]).collect()
+    assert {r.doc_id: r.cleaned.n_dropped for r in out} == {1: 2, 2: 1, 3: 1}
+    assert next(r for r in out if r.doc_id == 1).cleaned.text == "\n".join(many)
+    assert time.monotonic() - began < 60
+
+
 def test_hosts_and_visible_text(spark):
     frame = spark.createDataFrame([("HTTPS://u@Www.A.org:8/x?y", "<p>a<b>b</b><!-- <p>c --><script>var t='</p>';</script><li>d</li> \n e"), ("none", None), (None, "")], "url string, html string")
     rows = frame.select(line_dedup.host_of(F.col("url")), line_dedup.visible_text(F.col("html"))).collect()
