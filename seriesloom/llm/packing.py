@@ -31,8 +31,9 @@ from seriesloom.staging import stage
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 40_000
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 CACHED_LENGTH = 48
+SLICE_BYTES = 1 << 20  # texts whose chunks are looked up together
 # The characters that the tokenizer takes as white space, and its pattern of words.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
@@ -181,7 +182,7 @@ def tokenised(documents: DataFrame, vocabulary: str, key: str = "doc_id", text:
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of_all = token_ids(source.value).of_all
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=SLICE_BYTES):
                 owner, pieces, starts, lengths, sums = [], [], [], [], []
                 texts = [value or "" for value in part.column("text").to_pylist()]
                 for row, text_ids in enumerate(ids_of_all(texts)):
