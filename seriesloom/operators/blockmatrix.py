@@ -7,7 +7,7 @@ and no matrix has to fit anywhere.  Missing elements are NaN and spread through
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from math import ceil
 
@@ -24,6 +24,12 @@ MERGE_PARTS = 16
 HELD_BYTES = 128 << 20
 TILE = 16  # blocks on a side
 GROUPS_PER_CORE = 4
+HELD_TILES = 48  # of one factor in a task
+GROUP_SPREAD = 4  # partitions for a group, so that few hold two
+STACK = 4  # blocks of rows that are multiplied at once
+FOLDED_ROWS = 1 << 13
+#: Elements as numbers of their rows, numbers of their columns in order, and an array that holds until the next one is asked for.
+Rectangle = tuple[np.ndarray, np.ndarray, np.ndarray]
 _BLOCKS = T.StructType(
     [T.StructField("row_block", T.LongType()), T.StructField("col_block", T.LongType()), T.StructField("values", T.ArrayType(T.DoubleType()))]
 )
@@ -31,12 +37,18 @@ _BLOCKS = T.StructType(
 
 @dataclass(frozen=True)
 class BlockMatrix:
-    """Blocks with the number of rows and columns of the whole matrix and of a block."""
+    """Blocks with the number of rows and columns of the whole matrix and of a block.
+
+    ``made`` has the rows from which the tasks make the elements, and how, if these are not stored; ``turned`` is
+    the matrix of which this is the transpose.
+    """
 
     blocks: DataFrame
     rows: int
     columns: int
     block: int = BLOCK
+    made: tuple[DataFrame, Callable[[Iterable[pa.RecordBatch]], Iterator[Rectangle]]] | None = None
+    turned: BlockMatrix | None = None
 
     def _height(self, row_block: Column) -> Column:
         return F.least(F.lit(self.block), F.lit(self.rows) - row_block * self.block)
@@ -55,7 +67,7 @@ class BlockMatrix:
                     i, j, one = _block(batch, at, rows, columns, size)
                     yield _as_batch([(j, i, one.T)])
 
-        return BlockMatrix(self.blocks.mapInArrow(turn, _BLOCKS), self.columns, self.rows, size)
+        return BlockMatrix(self.blocks.mapInArrow(turn, _BLOCKS), self.columns, self.rows, size, turned=self)
 
     def runs(self) -> DataFrame:
         """Stretches of a row inside a block: row, column of the first element, values."""
@@ -130,45 +142,94 @@ class BlockMatrix:
     def _times_in_tiles(self, other: BlockMatrix) -> BlockMatrix:
         """Product over a single inner block: nothing is left to add, so only the factors are shuffled.
 
-        Tiles of blocks are dealt to a grid of about ``GROUPS_PER_CORE`` groups a core, so a factor is copied
-        about as often as the root of that number; every tile of one meets every tile of the other once.
+        Blocks are dealt to a grid of about ``GROUPS_PER_CORE`` groups a core, so a factor is copied about as often
+        as the root of that number, or as often as its parts have to be for ``HELD_TILES``.  A group holds its part
+        of the left factor, which every tile of its part of the right one meets once.  With the own transpose the
+        groups on one side of the diagonal give those on the other as well.
         """
         spark = self.blocks.sparkSession
         high, wide = (-(-n // (self.block * TILE)) for n in (self.rows, other.columns))
         groups = GROUPS_PER_CORE * spark.sparkContext.defaultParallelism
-        down = max(1, min(high, ceil(groups**0.5)))
-        across = max(1, min(wide, ceil(groups / down)))
-
-        def dealt(blocks: DataFrame, number: str, name: str, own: str, own_parts: int, others: str, other_parts: int) -> DataFrame:
-            tile = F.floor(F.col(number) / TILE).alias("tile")
-            tiles = blocks.groupBy(tile).agg(F.collect_list(F.struct(F.col(number).alias("number"), "values")).alias(name))
-            part = F.pmod("tile", F.lit(own_parts)).cast("int").alias(own)
-            copies = tiles.select(part, F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1))).alias(others), name)
-            return copies.repartition(down * across, "down", "across")
-
-        left = dealt(self.blocks, "row_block", "a", "down", down, "across", across)
-        right = dealt(other.blocks, "col_block", "b", "across", across, "down", down)
-        inner = self.columns
+        down = max(1, min(high, ceil(groups**0.5)), -(-high // HELD_TILES))
+        across = max(1, min(wide, ceil(groups / down)), -(-wide // HELD_TILES))
+        mirrored = other.turned is self
+        if mirrored:
+            down = across = max(1, min(high, ceil((2 * groups) ** 0.5)), -(-high // HELD_TILES))
+        inner, size, tile = self.columns, self.block, TILE
+
+        def dealt(blocks: DataFrame, side: int, number: str, own: str, own_parts: int, others: str, other_parts: int) -> DataFrame:
+            part = F.pmod(F.col(number), F.lit(own_parts)).cast("int")
+            first, last = part if mirrored and not side else F.lit(0), part if mirrored and side else F.lit(other_parts - 1)
+            return blocks.select(part.alias(own), F.explode(F.sequence(first, last)).alias(others), F.lit(side).alias("side"), F.col(number).alias("number"), "values")
+
+        left = dealt(self.blocks, 0, "row_block", "down", down, "across", across)
+        right = dealt(other.blocks, 1, "col_block", "across", across, "down", down)
+        met = left.unionByName(right).repartition(GROUP_SPREAD * down * across, "down", "across").sortWithinPartitions("down", "across", "side", "number")
+
+        def products(batches: Iterable[pa.RecordBatch]) -> Iterator[Rectangle]:
+            group, held, waiting, aside = None, [], [], False
+            for batch in batches:
+                names = ("down", "across", "side", "number")
+                for at, (*here, side, number) in enumerate(zip(*(batch.column(c).to_pylist() for c in names), strict=True)):
+                    if here != group or len(waiting) == tile:
+                        yield from _stretches(held, waiting, size, aside)
+                        waiting = []
+                    if here != group:
+                        group, held, aside = here, [], mirrored and here[0] != here[1]
+                    values = _elements(batch.column("values"), at)
+                    if side:
+                        waiting.append((number, values.reshape(inner, -1)))
+                    else:
+                        held.append((number, values.reshape(-1, inner)))
+            yield from _stretches(held, waiting, size, aside)
 
         def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for at in range(batch.num_rows):
-                    js, bs = _tile(batch.column("b"), at)
-                    bs = [b.reshape(inner, -1) for b in bs]
-                    for i, a in zip(*_tile(batch.column("a"), at), strict=True):
-                        a = a.reshape(-1, inner)
-                        yield _as_batch([(i, j, a @ b) for j, b in zip(js, bs, strict=True)])
+            for rows, columns, values in products(batches):
+                tops, starts = (np.flatnonzero(numbers % size == 0) for numbers in (rows, columns))
+                for top, row in zip(tops, np.split(values, tops[1:]), strict=True):
+                    parts = zip(starts, np.split(row, starts[1:], axis=1), strict=True)
+                    yield _as_batch([(int(rows[top]) // size, int(columns[at]) // size, part) for at, part in parts])
 
-        met = left.join(right, ["down", "across"]).select("a", "b")
-        return BlockMatrix(met.mapInArrow(multiply, _BLOCKS), self.rows, other.columns, self.block)
+        return BlockMatrix(met.mapInArrow(multiply, _BLOCKS), self.rows, other.columns, size, (met, products))
 
-    def cells(self) -> DataFrame:
-        """One row per element: row, column, value."""
+    def cells(self, fold: Callable[[np.ndarray, np.ndarray, np.ndarray], list[pa.Array]] | None = None, schema: str | None = None) -> DataFrame:
+        """One row per element: row, column, value.
+
+        With ``fold`` the task that holds or makes the elements hands them over in rectangles, as numbers of their rows, of their
+        columns and an array, and what it returns, columns of ``schema``, takes their place: figures of a row that the caller merges.
+        """
+        if fold is not None:
+            return self._folded(fold, schema)
         top, start = (F.col("row_block") * self.block).alias("top"), (F.col("col_block") * self.block).alias("start")
         inside = self.blocks.select(top, start, self._width(F.col("col_block")).alias("width"), F.posexplode_outer("values").alias("at", "value"))
         row, column = F.col("top") + F.call_function("div", F.col("at"), F.col("width")), F.col("start") + F.col("at") % F.col("width")
         return inside.select(row.alias("row"), column.alias("column"), "value")
 
+    def _folded(self, fold: Callable[[np.ndarray, np.ndarray, np.ndarray], list[pa.Array]], schema: str) -> DataFrame:
+        rows, columns, size = self.rows, self.columns, self.block
+
+        def stored(batches: Iterable[pa.RecordBatch]) -> Iterator[Rectangle]:
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    i, j, one = _block(batch, at, rows, columns, size)
+                    yield i * size + np.arange(one.shape[0]), j * size + np.arange(one.shape[1]), one
+
+        source, rectangles = self.made or (self.blocks, stored)
+        names = T.StructType.fromDDL(schema).names
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, many = [], 0
+            for rectangle in rectangles(batches):
+                held.append(pa.RecordBatch.from_arrays(fold(*rectangle), names=names))
+                many += held[-1].num_rows
+                if many >= FOLDED_ROWS:
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, many = [], 0
+            if held:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+        return source.mapInArrow(run, schema)
+
     def staged(self) -> BlockMatrix:
         return BlockMatrix(stage(self.blocks, "blocks"), self.rows, self.columns, self.block)
 
@@ -177,10 +238,19 @@ def _elements(column: pa.ListArray, at: int) -> np.ndarray:
     return column[at].values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
 
 
-def _tile(column: pa.ListArray, at: int) -> tuple[list[int], list[np.ndarray]]:
-    """Numbers and elements of the blocks of a tile."""
-    numbers, values = column[at].values.flatten()
-    return numbers.to_pylist(), [_elements(values, one) for one in range(len(values))]
+def _stretches(held: list[tuple[int, np.ndarray]], waiting: list[tuple[int, np.ndarray]], size: int, mirrored: bool) -> Iterator[Rectangle]:
+    """Products of the held blocks of rows, some at once, with the waiting blocks of columns beside each other; if mirrored also turned."""
+    if not held or not waiting:
+        return
+    numbers = lambda blocks, axis: np.concatenate([number * size + np.arange(one.shape[axis]) for number, one in blocks])
+    columns, beside = numbers(waiting, 1), np.concatenate([one for _, one in waiting], axis=1)
+    place = np.empty((STACK * size, len(columns)))
+    for at in range(0, len(held), STACK):
+        rows, below = numbers(held[at : at + STACK], 0), np.concatenate([one for _, one in held[at : at + STACK]])
+        values = np.matmul(below, beside, out=place[: len(below)])
+        yield rows, columns, values
+        if mirrored:
+            yield columns, rows, values.T
 
 
 def _block(batch: pa.RecordBatch, at: int, rows: int, columns: int, size: int) -> tuple[int, int, np.ndarray]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from math import pi
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from seriesloom.operators import blockmatrix, ordered
@@ -364,6 +366,13 @@ def _series_matrix(spark, folder):
     return blockmatrix.from_rows(numbered, "i", "values", DAYS).staged()
 
 
+def _row_figures(rows, columns, values):
+    """Of every row of a rectangle its number, sum, largest element and element on the diagonal, if that is inside."""
+    at = np.minimum(np.searchsorted(columns, rows), len(columns) - 1)
+    own = pa.array(values[np.arange(len(rows)), at], mask=columns[at] != rows)
+    return [pa.array(rows), pa.array(values.sum(axis=1)), pa.array(values.max(axis=1)), own]
+
+
 @query(
     "matrix_gram",
     f"""WITH {_FILLED_SQL} SELECT a.i AS "row", round(sum(list_inner_product(a.x, b.x)), 6) + 0.0 AS total,
@@ -371,10 +380,10 @@ def _series_matrix(spark, folder):
         FROM vectors a, vectors b GROUP BY 1""",
 )
 def matrix_gram(spark, folder):
-    """A·Aᵀ of all series, by a join of their blocks; of each row its sum, largest element and diagonal."""
+    """A·Aᵀ of all series, where their blocks meet; of each row its sum, largest element and diagonal."""
     a = _series_matrix(spark, folder)
-    cells = (a @ a.transpose()).cells()
-    found = cells.groupBy("row").agg(F.sum("value").alias("total"), F.max("value").alias("largest"), F.max(F.when(F.col("row") == F.col("column"), F.col("value"))).alias("own"))
+    cells = (a @ a.transpose()).cells(_row_figures, "row long, total double, largest double, own double")
+    found = cells.groupBy("row").agg(F.sum("total").alias("total"), F.max("largest").alias("largest"), F.max("own").alias("own"))
     return found.select("row", *(r6(F.col(c)).alias(c) for c in ("total", "largest", "own")))
 
 

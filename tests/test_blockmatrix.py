@@ -1,6 +1,7 @@
 """Matrices of blocks against numpy."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +119,40 @@ def test_blocks_are_joined_by_the_inner_number(spark, array):
     m = matrix(spark, array)
     text = (m @ m.transpose()).blocks._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("block", [4, 16])
+def test_cells_are_folded_where_they_are_made(spark, monkeypatch, block):
+    """Products over one inner block, and over several, give every element once, and no element leaves its task."""
+    monkeypatch.setattr(bm, "TILE", 2)
+    monkeypatch.setattr(bm, "HELD_TILES", 1)
+
+    def sums(rows, columns, values):
+        return [pa.array(rows), pa.array(values.sum(axis=1)), pa.array(values @ columns.astype(float))]
+
+    array = np.random.default_rng(8).normal(size=(37, 7))
+    m = matrix(spark, array, block)
+    product, expected = m @ m.transpose(), array @ array.T
+    assert np.allclose(dense(product), expected)
+    parts = product.cells(sums, "row long, total double, weighted double")
+    text = parts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text[: text.index("MapInArrow")]
+    found = parts.groupBy("row").agg(F.sum("total").alias("total"), F.sum("weighted").alias("weighted")).orderBy("row").collect()
+    assert [r["row"] for r in found] == list(range(37))
+    assert np.allclose([r["total"] for r in found], expected.sum(axis=1))
+    assert np.allclose([r["weighted"] for r in found], expected @ np.arange(37.0))
+
+
+def test_gram_query_hands_over_few_rows(spark, tmp_path):
+    """300 series in three blocks: figures of a row come once per part of the other factor, not as 300 cells."""
+    vectors = np.random.default_rng(6).normal(size=(300, 64)).astype(np.float32)
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    query = QUERIES["matrix_gram"](spark, str(tmp_path))
+    assert "posexplode" not in query._jdf.queryExecution().executedPlan().toString()
+    found = {r["row"]: r for r in query.collect()}
+    a = np.where(np.abs(vectors.astype(float)) >= 0.01, vectors.astype(float), 0.0)
+    gram = a @ a.T
+    assert len(found) == 300
+    for i, r in found.items():
+        assert [r["total"], r["largest"], r["own"]] == pytest.approx([gram[i].sum(), gram[i].max(), gram[i, i]], abs=2e-6)
